@@ -14,11 +14,33 @@ from pyspark.sql import functions as F
 
 from terrace.sources.staging import stage
 
+# Rounds planned together before the shifts are stored and looked at.
+ROUNDS_PER_PASS = 5
+
 
 def _clip(col: Column, low: float, high: float) -> Column:
     return F.greatest(F.least(col, F.lit(float(high))), F.lit(float(low)))
 
 
+def _round(
+    condensed: DataFrame, shifts: DataFrame, low: float, high: float, tolerance: float,
+) -> DataFrame:
+    """One round: the error of every group under its shift, added unless it is near."""
+    moved = _clip(F.col("__v") + F.col("__s"), low, high)
+    # decimals keep the sum independent of the order in which parts arrive
+    mass = F.sum((F.col("__w") * moved.cast("decimal(9,6)")).cast("decimal(38,9)"))
+    mean = mass.cast("double") / F.sum("__w").cast("double")
+    errors = (
+        condensed.join(shifts, "__g")
+        .groupBy("__g")
+        .agg(F.max("__s").alias("__s"), (F.max("__t") - mean).alias("__e"))
+    )
+    near = F.abs(F.col("__e")) < tolerance
+    return errors.select(
+        "__g", F.when(near, F.col("__s")).otherwise(F.col("__s") + F.col("__e")).alias("__s"),
+        near.alias("__done"))
+
+
 def calibrate_to_group_mean(
     df: DataFrame, targets: DataFrame, value: str = "value", weight: str = "weight",
     group: str = "group_id", target: str = "target", low: float = 2.0, high: float = 99.0,
@@ -41,22 +63,10 @@ def calibrate_to_group_mean(
 
     shifts = condensed.select("__g").distinct().select(
         "__g", F.lit(0.0).alias("__s"), F.lit(False).alias("__done"))
-    for _ in range(iterations):
-        moved = _clip(F.col("__v") + F.col("__s"), low, high)
-        # decimals keep the sum independent of the order in which parts arrive
-        mass = F.sum((F.col("__w") * moved.cast("decimal(9,6)")).cast("decimal(38,9)"))
-        mean = (mass.cast("double") / F.sum("__w").cast("double"))
-        rounds = (
-            condensed.join(shifts, "__g")
-            .groupBy("__g")
-            .agg(F.max("__s").alias("__s"), (F.max("__t") - mean).alias("__e"))
-        )
-        near = F.abs(F.col("__e")) < tolerance
-        shifts = stage(rounds.select(
-            "__g",
-            F.when(near, F.col("__s")).otherwise(F.col("__s") + F.col("__e")).alias("__s"),
-            near.alias("__done"),
-        ), "calibration-shift")
+    for start in range(0, iterations, ROUNDS_PER_PASS):
+        for _ in range(start, min(start + ROUNDS_PER_PASS, iterations)):
+            shifts = _round(condensed, shifts, low, high, tolerance)
+        shifts = stage(shifts, "calibration-shift")
         if shifts.where(~F.col("__done")).isEmpty():
             break
     shift = shifts.select(F.col("__g").alias("__gs"), "__s")

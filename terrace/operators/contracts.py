@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from terrace.operators.enrich import mark_known
+from terrace.sources.staging import stage
 
 ROW_RULES = ("not_null", "range", "allowed", "regex", "foreign_key")
 REASON = "_quarantine_reason"
@@ -112,12 +113,16 @@ def _row_condition(df: DataFrame, check: Check) -> Column:
 
 def apply_contract(
     df: DataFrame, contract: Contract, references: Mapping[str, DataFrame] | None = None,
+    stored: bool = False,
 ) -> Outcome:
     """Split ``df`` into valid and quarantined rows and report every check.
 
     Only critical row checks quarantine, also within their tolerance (Q10); the
     reason column lists them in declaration order (Q11). Checks on an absent
     column or reference are reported as SKIPPED and not scored (Q13).
+
+    ``stored`` writes the marked rows once to the shared folder, so that the
+    report and both sides read them back instead of repeating the joins.
     """
     references = references or {}
     skipped: list[tuple[int, Check]] = []
@@ -152,14 +157,16 @@ def apply_contract(
     ]
     reason = F.concat_ws("|", *reasons) if reasons else F.lit("")
     marked = marked.withColumn(REASON, reason)
+    if stored:
+        marked = stage(marked, "contract")
 
     valid = marked.where(F.col(REASON) == "").drop(REASON, *markers)
     quarantine = marked.where(F.col(REASON) != "").drop(*markers)
-    report = _report(df, marked, row, table, skipped)
+    report = _report(marked, row, table, skipped)
     return Outcome(valid, quarantine, report, [c for _, c in skipped])
 
 
-def _report(df, marked, row, table, skipped) -> DataFrame:
+def _report(marked, row, table, skipped) -> DataFrame:
     """Q01, Q02, Q09, Q14-Q16: one row per check."""
     metrics = marked.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -190,7 +197,7 @@ def _report(df, marked, row, table, skipped) -> DataFrame:
     for i, c in table:
         if c.rule == "unique":
             # null keys count as a value; the first aggregate combines map-side
-            per_key = df.groupBy(*c.needed).agg(F.count(F.lit(1)).alias("n"))
+            per_key = marked.groupBy(*c.needed).agg(F.count(F.lit(1)).alias("n"))
             repeats = per_key.agg(
                 F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
                 F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeats"),

@@ -13,18 +13,24 @@ from terrace.plans.retail import table
 from terrace.sources.staging import stage
 
 
+def staged_groups(spark, sf_dir):
+    """Group totals, stored because several branches read them."""
+    return stage(retail.group_years(spark, sf_dir), "group-years")
+
+
 def facts(spark, sf_dir):
-    """Unranked entity facts beside the staged group totals."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
-    fact = retail.entity_fact(spark, sf_dir, groups)
-    return products.entity_facts(fact, retail.dim_entity(spark, sf_dir)), groups
+    """Unranked entity facts beside the group totals and the targets."""
+    groups = staged_groups(spark, sf_dir)
+    targets = retail.targets_of(spark, sf_dir, groups)
+    fact = retail.entity_fact(spark, sf_dir, targets)
+    return products.entity_facts(fact, retail.dim_entity(spark, sf_dir)), groups, targets
 
 
 def view(spark, sf_dir):
-    """Ranked entity view beside the staged group totals."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
-    fact = retail.entity_fact(spark, sf_dir, groups)
-    return products.entity_view(fact, retail.dim_entity(spark, sf_dir)), groups
+    """Ranked entity view."""
+    targets = retail.targets_of(spark, sf_dir, staged_groups(spark, sf_dir))
+    fact = retail.entity_fact(spark, sf_dir, targets)
+    return products.entity_view(fact, retail.dim_entity(spark, sf_dir))
 
 
 _VIEW = """yr, entity_id, assessed, successes, indicator, target, gap, entity_name, group_id,
@@ -34,7 +40,7 @@ _VIEW = """yr, entity_id, assessed, successes, indicator, target, gap, entity_na
 @query("entity_view", with_model(f"select {_VIEW}, rank_all, rank_group from view"))
 def entity_view(spark, sf_dir):
     """G08, J03, P19, P21, P22, W02, W03."""
-    return view(spark, sf_dir)[0]
+    return view(spark, sf_dir)
 
 
 _TVA = f"""
@@ -65,8 +71,8 @@ _TVA_COLUMNS = ("yr", "group_id", "group_name", "region", "assessed", "successes
 @query("target_vs_actual", with_model(f"select {', '.join(_TVA_COLUMNS)} from tv", _TVA))
 def target_vs_actual(spark, sf_dir):
     """G09, A01-A04, J04, P14, P20, P23-P25."""
-    base, groups = facts(spark, sf_dir)
-    published = retail.published_of(spark, sf_dir, groups).select(
+    base, groups, targets = facts(spark, sf_dir)
+    published = retail.published_of(groups, targets).select(
         "yr", "group_id", "published", "target")
     return products.target_vs_actual(base, published).select(*_TVA_COLUMNS)
 
@@ -91,7 +97,7 @@ def target_vs_actual(spark, sf_dir):
                      from view0 group by 1) a on a.yr = y.yr)"""))
 def national_evolution(spark, sf_dir):
     """G10, A06, A10, J05, P24, P26, W04."""
-    base, groups = facts(spark, sf_dir)
+    base, groups, _ = facts(spark, sf_dir)
     national = retail.national_fact(groups).select("yr", "target", "published")
     return products.time_evolution(national, base, retail.GOAL)
 
@@ -113,7 +119,7 @@ panel as (
 
 
 def panel(spark, sf_dir):
-    base, _ = facts(spark, sf_dir)
+    base = facts(spark, sf_dir)[0]
     return products.inequality_panel(stage(base, "entity-facts"))
 
 
@@ -131,7 +137,7 @@ def inequality_panel(spark, sf_dir):
     where rank_all <= 100 or rank_all > n - 100"""))
 def ranking_extremes(spark, sf_dir):
     """G12, J06, P29, T01, W08."""
-    return products.ranking_product(view(spark, sf_dir)[0])
+    return products.ranking_product(view(spark, sf_dir))
 
 
 @query("leakage_safe_features", with_model(f"""

@@ -56,7 +56,7 @@ class Lakehouse:
         contract = self.contracts.get(layer, {}).get(table, Contract())
         location = self.location(layer, table)
         with self.log.step(layer, table, location) as step:
-            outcome = apply_contract(stage(df, f"{layer}-{table}"), contract, references)
+            outcome = apply_contract(df, contract, references, stored=True)
             report = stage(outcome.report, "contract-report")
             summary = contract_summary(report).head()
             step.rows_in = summary["rows_in"]

@@ -101,9 +101,9 @@ def targets_of(spark: SparkSession, sf_dir: str, groups: DataFrame) -> DataFrame
     return t.group_targets(base, BASE_YEAR, GOAL_YEAR, GOAL)
 
 
-def published_of(spark: SparkSession, sf_dir: str, groups: DataFrame) -> DataFrame:
+def published_of(groups: DataFrame, targets: DataFrame) -> DataFrame:
     """Group fact with target, published value, availability and gap."""
-    targets = targets_of(spark, sf_dir, groups).select("yr", "group_id", "target")
+    targets = targets.select("yr", "group_id", "target")
     joined = targets.join(groups.select("yr", "group_id", "published"), ["yr", "group_id"], "left")
     return joined.withColumns({
         "available": c.available(F.col("published")),
@@ -111,9 +111,9 @@ def published_of(spark: SparkSession, sf_dir: str, groups: DataFrame) -> DataFra
     })
 
 
-def entity_fact(spark: SparkSession, sf_dir: str, groups: DataFrame) -> DataFrame:
+def entity_fact(spark: SparkSession, sf_dir: str, targets: DataFrame) -> DataFrame:
     """Entity-year fact with indicator, the group's target and the gap."""
-    targets = targets_of(spark, sf_dir, groups).select("yr", "group_id", "target")
+    targets = targets.select("yr", "group_id", "target")
     keys = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("entity_id"), F.col("c_nationkey").cast("long").alias("group_id"))
     fact = entity_years(spark, sf_dir).join(keys, "entity_id", "left")

@@ -10,9 +10,9 @@ from terrace.functions import columns as c
 from terrace.functions.text import standardize_name
 from terrace.operators import dedup, enrich, lineage
 from terrace.plans import retail
+from terrace.plans.gold_queries import staged_groups
 from terrace.plans.registry import half_up, query, with_model
 from terrace.plans.retail import table
-from terrace.sources.staging import stage
 
 _INGESTED = datetime(2026, 1, 15, 6, 30)
 
@@ -121,7 +121,7 @@ def dim_entity(spark, sf_dir):
                from n) p on p.yr = y.yr"""))
 def fact_national(spark, sf_dir):
     """G04, R08, P12, P14."""
-    return retail.national_fact(stage(retail.group_years(spark, sf_dir), "group-years"))
+    return retail.national_fact(staged_groups(spark, sf_dir))
 
 
 @query("fact_group", with_model(f"""
@@ -130,16 +130,16 @@ def fact_national(spark, sf_dir):
     from tgt left join g on g.yr = tgt.yr and g.group_id = tgt.group_id"""))
 def fact_group(spark, sf_dir):
     """G05, P12, P14."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
-    return retail.published_of(spark, sf_dir, groups)
+    groups = staged_groups(spark, sf_dir)
+    return retail.published_of(groups, retail.targets_of(spark, sf_dir, groups))
 
 
 @query("fact_indicator", with_model("""
     select yr, entity_id, assessed, successes, indicator, target, gap from fact"""))
 def fact_indicator(spark, sf_dir):
     """G06, P14-P16, P23."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
-    return retail.entity_fact(spark, sf_dir, groups)
+    targets = retail.targets_of(spark, sf_dir, staged_groups(spark, sf_dir))
+    return retail.entity_fact(spark, sf_dir, targets)
 
 
 @query("fact_micro_cutoff", """

@@ -9,7 +9,7 @@ from terrace.operators import sampling
 from terrace.operators import targets as t
 from terrace.operators.calibration import calibrate_to_group_mean
 from terrace.plans import retail
-from terrace.plans.gold_queries import facts
+from terrace.plans.gold_queries import facts, staged_groups
 from terrace.plans.registry import MODEL, half_up, query, with_model
 from terrace.plans.retail import table
 from terrace.sources.staging import stage
@@ -19,7 +19,7 @@ from terrace.sources.staging import stage
     select group_id, base, base_source, yr, target, target_source from tgt"""))
 def target_trajectory(spark, sf_dir):
     """R08, R10."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
+    groups = staged_groups(spark, sf_dir)
     return retail.targets_of(spark, sf_dir, groups)
 
 
@@ -37,7 +37,7 @@ s0 as (select group_id, max(computed) filter (where yr = 1995) as b0,
     from nat left join s0 using (group_id), nb""", _SPARSE))
 def baseline_fallback(spark, sf_dir):
     """Every third (year, group) is uncollected."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
+    groups = staged_groups(spark, sf_dir)
     sparse = groups.withColumn(
         "computed", F.when((F.col("yr") + F.col("group_id")) % 3 != 0, F.col("computed")))
     return t.baselines(retail.dim_group(spark, sf_dir), sparse, retail.national_years(groups),
@@ -56,7 +56,7 @@ def baseline_fallback(spark, sf_dir):
     left join n on n.yr = y.yr"""))
 def group_value_fallback(spark, sf_dir):
     """R06, R10, P33."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
+    groups = staged_groups(spark, sf_dir)
     years = t.scaffold(retail.dim_group(spark, sf_dir).select("group_id"),
                        retail.BASE_YEAR, retail.LAST_YEAR)
     return t.group_values_with_fallback(years, groups, retail.national_years(groups),
@@ -75,7 +75,7 @@ def group_value_fallback(spark, sf_dir):
       union all select max(yr) + 1, 80.0::double from n)"""))
 def national_target(spark, sf_dir):
     """Whole-percent results up to 1998 as published targets, then a line to the goal."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
+    groups = staged_groups(spark, sf_dir)
     national = retail.national_years(groups)
     published = national.where(F.col("yr") <= 1998).select(
         "yr", F.round("computed", 0).alias("target"))
@@ -142,9 +142,9 @@ def _calibration_sql(rounds: int = 40) -> str:
     parts = [f"""cv as (
       select yr, entity_id, group_id, assessed, {clip.format('indicator * 1.6 - 20')} as v from view0
       ),
+    tg as (select group_id, target from tgt where yr = 2001),
     ct as materialized (
       select cv.group_id, v, assessed as w, tg.target from cv join tg using (group_id)),
-    tg as (select group_id, target from tgt where yr = 2001),
     s0 as materialized (select distinct group_id, 0.0::double as s, false as done from ct)"""]
     for i in range(rounds):
         moved = clip.format("v + s")
@@ -164,9 +164,8 @@ def _calibration_sql(rounds: int = 40) -> str:
 @query("calibrate_group", _calibration_sql())
 def calibrate_group(spark, sf_dir):
     """Stretched indicators calibrated to the group's last target."""
-    groups = stage(retail.group_years(spark, sf_dir), "group-years")
-    rows, _ = facts(spark, sf_dir)
-    goal = retail.targets_of(spark, sf_dir, groups).where(F.col("yr") == retail.LAST_YEAR)
+    rows, _, targets = facts(spark, sf_dir)
+    goal = targets.where(F.col("yr") == retail.LAST_YEAR)
     stretched = rows.withColumn("value", F.col("indicator") * 1.6 - 20)
     stretched = stage(stretched.select("yr", "entity_id", "group_id", "assessed", "value"), "stretched")
     out = calibrate_to_group_mean(stretched, goal.select("group_id", "target"), weight="assessed")
