@@ -14,7 +14,7 @@ from functools import reduce
 from pathlib import Path
 
 import yaml
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -227,7 +227,6 @@ def _report(marked, row, table, skipped) -> DataFrame:
             "%d of %d row(s) violate, %d allowed", "violations", "rows", "allowed"))
         .select("position", "rule", "column", "critical", "rows", "quarantined", "violations",
                 "allowed", "passed", "status", "detail")
-        .orderBy("position")
     )
 
 
@@ -247,9 +246,28 @@ def contract_summary(report: DataFrame) -> DataFrame:
     ).withColumn("rows_valid", F.col("rows_in") - F.col("rows_quarantined"))
 
 
-def enforce(report: DataFrame, table: str = "table") -> None:
-    """Q17: raise when a critical check failed. Reads one row per check."""
-    failed = report.where((F.col("status") == "FAIL")).select("rule", "column", "detail").collect()
+def summarize(rows: Sequence[Row]) -> dict:
+    """The same figures from a collected report, which has one row per check."""
+    scored = [r for r in rows if r["passed"] is not None and r["position"] > 0]
+    failed = [r for r in scored if not r["passed"]]
+    rows_in = max((r["rows"] or 0 for r in rows), default=0)
+    quarantined = max((r["quarantined"] or 0 for r in rows), default=0)
+    return {
+        "rows_in": rows_in,
+        "rows_quarantined": quarantined,
+        "rows_valid": rows_in - quarantined,
+        "checks_total": len(scored),
+        "checks_failed": len(failed),
+        "critical_failed": sum(r["critical"] for r in failed),
+        "score": round(100.0 * (len(scored) - len(failed)) / len(scored), 1) if scored else 100.0,
+    }
+
+
+def enforce(report: DataFrame | Sequence[Row], table: str = "table") -> None:
+    """Q17: raise when a critical check failed."""
+    if isinstance(report, DataFrame):
+        report = report.where(F.col("status") == "FAIL").collect()
+    failed = [r for r in report if r["status"] == "FAIL"]
     if failed:
         text = "; ".join(f"{r['rule']}:{r['column']} ({r['detail']})" for r in failed)
         raise ContractViolation(f"{table}: {text}")

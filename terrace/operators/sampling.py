@@ -45,7 +45,7 @@ def _line(df: DataFrame, key: str, weight: str, buckets: int) -> tuple[DataFrame
 
 
 def weighted_sample(
-    df: DataFrame, key: str, weight: str, n: int, seed: int = 42, buckets: int = 64,
+    df: DataFrame, key: str, weight: str, n: int, seed: int = 42, buckets: int = 4096,
     cells: int | None = None,
 ) -> DataFrame:
     """``n`` draws (draw, key), each entity with probability weight / total.

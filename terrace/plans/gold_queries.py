@@ -15,22 +15,22 @@ from terrace.sources.staging import stage
 
 def staged_groups(spark, sf_dir):
     """Group totals, stored because several branches read them."""
-    return stage(retail.group_years(spark, sf_dir), "group-years")
+    return stage(retail.group_years(retail.supplied(spark, sf_dir)), "group-years")
 
 
 def facts(spark, sf_dir):
     """Unranked entity facts beside the group totals and the targets."""
     groups = staged_groups(spark, sf_dir)
-    targets = retail.targets_of(spark, sf_dir, groups)
-    fact = retail.entity_fact(spark, sf_dir, targets)
-    return products.entity_facts(fact, retail.dim_entity(spark, sf_dir)), groups, targets
+    targets = retail.targets_of(retail.supplied(spark, sf_dir), groups)
+    fact = retail.entity_fact(retail.supplied(spark, sf_dir), targets)
+    return products.entity_facts(fact, retail.dim_entity(retail.supplied(spark, sf_dir))), groups, targets
 
 
 def view(spark, sf_dir):
     """Ranked entity view."""
-    targets = retail.targets_of(spark, sf_dir, staged_groups(spark, sf_dir))
-    fact = retail.entity_fact(spark, sf_dir, targets)
-    return products.entity_view(fact, retail.dim_entity(spark, sf_dir))
+    targets = retail.targets_of(retail.supplied(spark, sf_dir), staged_groups(spark, sf_dir))
+    fact = retail.entity_fact(retail.supplied(spark, sf_dir), targets)
+    return products.entity_view(fact, retail.dim_entity(retail.supplied(spark, sf_dir)))
 
 
 _VIEW = """yr, entity_id, assessed, successes, indicator, target, gap, entity_name, group_id,

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from terrace.operators.contracts import Contract, apply_contract, contract_summary, enforce
+from terrace.operators.contracts import Contract, apply_contract, enforce, summarize
 from terrace.operators.lineage import with_lineage
 from terrace.operators.runlog import RunLog
 from terrace.sources import tables
-from terrace.sources.staging import stage
 
 
 @dataclass
@@ -25,6 +25,7 @@ class Lakehouse:
     contracts: Mapping[str, Mapping[str, Contract]] = field(default_factory=dict)
     fmt: str = "parquet"
     stop_on_critical: bool = True
+    parallel: int = 4
     log: RunLog | None = None
 
     def __post_init__(self):
@@ -57,14 +58,14 @@ class Lakehouse:
         location = self.location(layer, table)
         with self.log.step(layer, table, location) as step:
             outcome = apply_contract(df, contract, references, stored=True)
-            report = stage(outcome.report, "contract-report")
-            summary = contract_summary(report).head()
+            report = sorted(outcome.report.collect(), key=lambda r: r["position"])
+            summary = summarize(report)
             step.rows_in = summary["rows_in"]
             step.rows_quarantined = summary["rows_quarantined"]
             step.quality_score = summary["score"]
             step.details = {"checks": [
-                r.asDict() for r in report.where("position > 0").select(
-                    "rule", "column", "critical", "status", "detail").collect()]}
+                {c: r[c] for c in ("rule", "column", "critical", "status", "detail")}
+                for r in report if r["position"] > 0]}
             if summary["rows_quarantined"]:
                 tables.write_quarantine(outcome.quarantine, self.root, layer, table)
             if self.stop_on_critical:
@@ -85,5 +86,12 @@ class Lakehouse:
         return self.publish(stamped, "bronze", entity, partition_by=partition_by,
                             overwrite="dynamic")
 
+    def together(self, *jobs: Callable[[], object]) -> list:
+        """Independent steps submitted side by side, so that one step's small jobs
+        do not leave the cluster idle; the first failure is raised after all ended."""
+        with ThreadPoolExecutor(max_workers=self.parallel) as pool:
+            futures = [pool.submit(job) for job in jobs]
+        return [f.result() for f in futures]
+
     def save_log(self) -> str:
         return self.log.save(self.root)

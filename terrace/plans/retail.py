@@ -8,6 +8,9 @@ missing for some (year, nation). Targets run from the 1995 baseline to 80 in 200
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,10 @@ SIZE_EDGES = (2000, 6000)
 SIZE_LABELS = ("SMALL", "MEDIUM", "LARGE")
 
 
+# Reads a named input table, from the supplied files or from a bronze layer.
+Read = Callable[[str], DataFrame]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A supplied table; a known schema spares the inference job."""
     reader = spark.read
@@ -34,9 +41,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dim_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supplied(spark: SparkSession, sf_dir: str) -> Read:
+    """Reader of the supplied files."""
+    return partial(table, spark, sf_dir)
+
+
+def dim_group(read: Read) -> DataFrame:
     """Nations with their region, names and codes standardised."""
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    nation, region = read("nation"), read("region")
     joined = enrich(nation, region, {"n_regionkey": "r_regionkey"}, ["r_name"])
     return joined.select(
         F.col("n_nationkey").cast("long").alias("group_id"),
@@ -45,22 +57,22 @@ def dim_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dim_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_entity(read: Read) -> DataFrame:
     """Customers with group attributes, size class and availability flag."""
-    customer = table(spark, sf_dir, "customer").select(
+    customer = read("customer").select(
         F.col("c_custkey").alias("entity_id"), F.trim("c_name").alias("entity_name"),
         F.col("c_nationkey").cast("long").alias("group_id"),
         F.col("c_acctbal").alias("context"))
-    joined = enrich(customer, dim_group(spark, sf_dir), "group_id", ["group_name", "region"])
+    joined = enrich(customer, dim_group(read), "group_id", ["group_name", "region"])
     return joined.withColumns({
         "context_available": c.available(F.col("context")),
         "size_class": c.band(F.col("context"), SIZE_EDGES, SIZE_LABELS),
     })
 
 
-def entity_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+def entity_years(read: Read) -> DataFrame:
     """Orders condensed to (year, customer); the sums are combined before the shuffle."""
-    orders = table(spark, sf_dir, "orders")
+    orders = read("orders")
     return orders.groupBy(
         F.year("o_orderdate").cast("long").alias("yr"), F.col("o_custkey").alias("entity_id"),
     ).agg(
@@ -69,13 +81,13 @@ def entity_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def group_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+def group_years(read: Read) -> DataFrame:
     """(year, nation) totals with the computed and the published indicator."""
-    keys = table(spark, sf_dir, "customer").select(
+    keys = read("customer").select(
         F.col("c_custkey").alias("entity_id"), F.col("c_nationkey").cast("long").alias("group_id"))
     # condensed by (customer, year) before the join, so orders never meet customers row by row
     totals = (
-        entity_years(spark, sf_dir).join(keys, "entity_id")
+        entity_years(read).join(keys, "entity_id")
         .groupBy("yr", "group_id")
         .agg(F.sum("assessed").alias("assessed"), F.sum("successes").alias("successes"))
     )
@@ -94,9 +106,9 @@ def national_years(groups: DataFrame) -> DataFrame:
     ).withColumn("computed", c.pct(F.col("successes"), F.col("assessed")))
 
 
-def targets_of(spark: SparkSession, sf_dir: str, groups: DataFrame) -> DataFrame:
+def targets_of(read: Read, groups: DataFrame) -> DataFrame:
     """(year, group) targets; ``groups`` is the staged ``group_years``."""
-    names = dim_group(spark, sf_dir)
+    names = dim_group(read)
     base = t.baselines(names, groups, national_years(groups), BASE_YEAR)
     return t.group_targets(base, BASE_YEAR, GOAL_YEAR, GOAL)
 
@@ -111,12 +123,12 @@ def published_of(groups: DataFrame, targets: DataFrame) -> DataFrame:
     })
 
 
-def entity_fact(spark: SparkSession, sf_dir: str, targets: DataFrame) -> DataFrame:
+def entity_fact(read: Read, targets: DataFrame) -> DataFrame:
     """Entity-year fact with indicator, the group's target and the gap."""
     targets = targets.select("yr", "group_id", "target")
-    keys = table(spark, sf_dir, "customer").select(
+    keys = read("customer").select(
         F.col("c_custkey").alias("entity_id"), F.col("c_nationkey").cast("long").alias("group_id"))
-    fact = entity_years(spark, sf_dir).join(keys, "entity_id", "left")
+    fact = entity_years(read).join(keys, "entity_id", "left")
     fact = fact.join(targets, ["yr", "group_id"], "left")
     return fact.select(
         "yr", "entity_id", "assessed",
@@ -126,7 +138,7 @@ def entity_fact(spark: SparkSession, sf_dir: str, targets: DataFrame) -> DataFra
     ).withColumn("gap", c.gap(F.col("indicator"), F.col("target")))
 
 
-def micro_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def micro_fact(read: Read) -> DataFrame:
     """Line items with codes cleaned, impossible scores nulled and the cut-off flag.
 
     Quantity 50 is taken as "no result" and quantities 1 and 2 as impossible,
@@ -134,7 +146,7 @@ def micro_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     score = F.when(F.col("l_quantity") <= 2, -F.col("l_quantity")).when(
         F.col("l_quantity") < 50, F.col("l_quantity"))
-    items = table(spark, sf_dir, "lineitem").select(
+    items = read("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", F.col("l_linenumber").cast("long").alias("line"),
         F.year("l_shipdate").cast("long").alias("yr"),
         c.canonical_code(F.concat(F.lit(" "), F.lower("l_returnflag"))).alias("returnflag"),

@@ -100,7 +100,7 @@ def derive_key_join(spark, sf_dir):
 @query("dim_group", with_model("select group_id, group_name, region from nat"))
 def dim_group(spark, sf_dir):
     """G02, P08."""
-    return retail.dim_group(spark, sf_dir)
+    return retail.dim_group(retail.supplied(spark, sf_dir))
 
 
 @query("dim_entity", with_model("""
@@ -108,7 +108,7 @@ def dim_group(spark, sf_dir):
            size_class from ent"""))
 def dim_entity(spark, sf_dir):
     """G03, J01, P12, P13."""
-    return retail.dim_entity(spark, sf_dir)
+    return retail.dim_entity(retail.supplied(spark, sf_dir))
 
 
 @query("fact_national", with_model(f"""
@@ -131,15 +131,15 @@ def fact_national(spark, sf_dir):
 def fact_group(spark, sf_dir):
     """G05, P12, P14."""
     groups = staged_groups(spark, sf_dir)
-    return retail.published_of(groups, retail.targets_of(spark, sf_dir, groups))
+    return retail.published_of(groups, retail.targets_of(retail.supplied(spark, sf_dir), groups))
 
 
 @query("fact_indicator", with_model("""
     select yr, entity_id, assessed, successes, indicator, target, gap from fact"""))
 def fact_indicator(spark, sf_dir):
     """G06, P14-P16, P23."""
-    targets = retail.targets_of(spark, sf_dir, staged_groups(spark, sf_dir))
-    return retail.entity_fact(spark, sf_dir, targets)
+    targets = retail.targets_of(retail.supplied(spark, sf_dir), staged_groups(spark, sf_dir))
+    return retail.entity_fact(retail.supplied(spark, sf_dir), targets)
 
 
 @query("fact_micro_cutoff", """
@@ -153,7 +153,7 @@ def fact_indicator(spark, sf_dir):
     from t""")
 def fact_micro_cutoff(spark, sf_dir):
     """G07, P08, P17, P18."""
-    return retail.micro_fact(spark, sf_dir)
+    return retail.micro_fact(retail.supplied(spark, sf_dir))
 
 
 @query("default_and_label", """

@@ -20,7 +20,7 @@ from terrace.sources.staging import stage
 def target_trajectory(spark, sf_dir):
     """R08, R10."""
     groups = staged_groups(spark, sf_dir)
-    return retail.targets_of(spark, sf_dir, groups)
+    return retail.targets_of(retail.supplied(spark, sf_dir), groups)
 
 
 _SPARSE = """
@@ -40,7 +40,7 @@ def baseline_fallback(spark, sf_dir):
     groups = staged_groups(spark, sf_dir)
     sparse = groups.withColumn(
         "computed", F.when((F.col("yr") + F.col("group_id")) % 3 != 0, F.col("computed")))
-    return t.baselines(retail.dim_group(spark, sf_dir), sparse, retail.national_years(groups),
+    return t.baselines(retail.dim_group(retail.supplied(spark, sf_dir)), sparse, retail.national_years(groups),
                        retail.BASE_YEAR)
 
 
@@ -57,7 +57,7 @@ def baseline_fallback(spark, sf_dir):
 def group_value_fallback(spark, sf_dir):
     """R06, R10, P33."""
     groups = staged_groups(spark, sf_dir)
-    years = t.scaffold(retail.dim_group(spark, sf_dir).select("group_id"),
+    years = t.scaffold(retail.dim_group(retail.supplied(spark, sf_dir)).select("group_id"),
                        retail.BASE_YEAR, retail.LAST_YEAR)
     return t.group_values_with_fallback(years, groups, retail.national_years(groups),
                                         retail.BASE_YEAR)
@@ -179,7 +179,7 @@ _DRAWS = """
 w as (
   select o_custkey as key, count(*) as w from orders group by 1),
 b as (
-  select *, ('0x' || substr(sha256(cast(key as varchar)), 1, 8))::bigint % 64 as bucket from w),
+  select *, ('0x' || substr(sha256(cast(key as varchar)), 1, 8))::bigint % 4096 as bucket from w),
 line as (
   select key, w, cast(sum(w) over (order by bucket, key) as bigint) - w as lo from b),
 tot as (select cast(sum(w) as bigint) as total from w),
