@@ -30,13 +30,14 @@ def _assembled(features: Sequence[str], estimator) -> Pipeline:
 def fit_ridge(train: DataFrame, label: str, features: Sequence[str], alpha: float = 1.0) -> PipelineModel:
     """Ridge with penalty ``alpha`` on the summed squared error.
 
-    Spark ML minimises the halved mean squared error, hence ``alpha / n``; the
-    normal-equation solver needs one pass over the data.
+    Spark ML minimises the halved mean squared error of a label scaled by its
+    standard deviation, hence ``alpha * sd / n``; the normal-equation solver
+    needs one pass over the data.
     """
-    n = train.count()
+    n, sd = train.agg(F.count(F.lit(1)), F.stddev_pop(label)).head()
     lr = LinearRegression(
-        labelCol=label, regParam=alpha / max(n, 1), elasticNetParam=0.0, standardization=False,
-        solver="normal")
+        labelCol=label, regParam=alpha * (sd or 0.0) / max(n, 1), elasticNetParam=0.0,
+        standardization=False, solver="normal")
     return _assembled(features, lr).fit(train)
 
 

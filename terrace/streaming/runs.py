@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -54,7 +55,10 @@ def supervise(
             running = [q for q in queries.values() if q.isActive]
             if not running:
                 return
-            running[0].awaitTermination(poll_s)
+            try:
+                running[0].awaitTermination(poll_s)
+            except StreamingQueryException:
+                continue  # named and raised by the next look at the queries
     finally:
         for query in reversed(list(queries.values())):
             query.stop()
