@@ -148,9 +148,19 @@ def pseudonym(*parts: Column, length: int = 16) -> Column:
 
 def exact_sum(col: Column, scale: int = 2) -> Column:
     """Sum through decimals: the same bits whatever the partitioning or the retries."""
-    return F.sum(col.cast(f"decimal(18,{scale})")).cast("double")
+    return _decimal_sum(col, scale).cast("double")
 
 
 def exact_mean(col: Column, scale: int = 2) -> Column:
-    """Mean through a decimal sum; null for an empty group."""
-    return F.try_divide(exact_sum(col, scale), F.count(col))
+    """Mean through a decimal sum and division, so that ties round as written; null for
+    an empty group."""
+    return exact_ratio(_decimal_sum(col, scale), F.count(col).cast("decimal(20,0)"))
+
+
+def exact_ratio(part: Column, whole: Column) -> Column:
+    """Quotient of two decimals as double, null for a zero divisor."""
+    return F.try_divide(part, whole).cast("double")
+
+
+def _decimal_sum(col: Column, scale: int) -> Column:
+    return F.sum(col.cast(f"decimal(18,{scale})"))

@@ -39,17 +39,22 @@ def entity_facts(fact: DataFrame, dim: DataFrame, tolerance: float = 0.5) -> Dat
     })
 
 
-def entity_view(
-    fact: DataFrame, dim: DataFrame, tolerance: float = 0.5, split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
-    """Entity facts with the rank inside the group and over all entities of a year."""
-    base = stage(entity_facts(fact, dim, tolerance), "entity-facts")
+def ranked_view(facts: DataFrame, split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """The ranks over all entities of a year and inside the group."""
+    base = stage(facts, "entity-facts")
     ranked = rank_within(base, ["yr"], "indicator", "entity_id", "rank_all",
                          split_above=split_above)
     return rank_within(ranked, ["yr", "group_id"], "indicator", "entity_id", "rank_group",
                        split_above=split_above)
 
 
+def entity_view(
+    fact: DataFrame, dim: DataFrame, tolerance: float = 0.5, split_above: int = SPLIT_ABOVE,
+) -> DataFrame:
+    """Entity facts with both ranks."""
+    return ranked_view(entity_facts(fact, dim, tolerance), split_above)
+
+
 def target_vs_actual(view: DataFrame, published: DataFrame, tolerance: float = 0.5) -> DataFrame:
     """Group totals beside the published value, with divergence, gap and status.
 

@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.columns import exact_mean, exact_sum
+from terrace.functions.columns import exact_mean, exact_ratio
 
 
 def weighted_mean(value: Column, weight: Column, digits: int = 1, scale: int = 4) -> Column:
     """Sum of value times weight over sum of weight, through decimals."""
+    exact = f"decimal(18,{scale})"
     return F.round(
-        F.try_divide(exact_sum(value * weight, scale), exact_sum(weight, scale)), digits)
+        exact_ratio(F.sum((value * weight).cast(exact)), F.sum(weight.cast(exact))), digits)
 
 
 def value_counts(df: DataFrame, *columns: str, name: str = "n") -> DataFrame:

@@ -13,24 +13,31 @@ from terrace.plans.retail import table
 from terrace.sources.staging import stage
 
 
-def staged_groups(spark, sf_dir):
+def staged_entities(spark, sf_dir):
+    """Orders condensed to entity and year: read once, stored, and used for everything else."""
+    return stage(retail.entity_years(retail.supplied(spark, sf_dir)), "entity-years")
+
+
+def staged_groups(spark, sf_dir, entities=None):
     """Group totals, stored because several branches read them."""
-    return stage(retail.group_years(retail.supplied(spark, sf_dir)), "group-years")
+    if entities is None:
+        entities = retail.entity_years(retail.supplied(spark, sf_dir))
+    return stage(retail.group_years(entities), "group-years")
 
 
 def facts(spark, sf_dir):
     """Unranked entity facts beside the group totals and the targets."""
-    groups = staged_groups(spark, sf_dir)
-    targets = retail.targets_of(retail.supplied(spark, sf_dir), groups)
-    fact = retail.entity_fact(retail.supplied(spark, sf_dir), targets)
-    return products.entity_facts(fact, retail.dim_entity(retail.supplied(spark, sf_dir))), groups, targets
+    read = retail.supplied(spark, sf_dir)
+    entities = staged_entities(spark, sf_dir)
+    groups = staged_groups(spark, sf_dir, entities)
+    targets = retail.targets_of(read, groups)
+    fact = retail.entity_fact(entities, targets)
+    return products.entity_facts(fact, retail.dim_entity(read)), groups, targets
 
 
 def view(spark, sf_dir):
     """Ranked entity view."""
-    targets = retail.targets_of(retail.supplied(spark, sf_dir), staged_groups(spark, sf_dir))
-    fact = retail.entity_fact(retail.supplied(spark, sf_dir), targets)
-    return products.entity_view(fact, retail.dim_entity(retail.supplied(spark, sf_dir)))
+    return products.ranked_view(facts(spark, sf_dir)[0])
 
 
 _VIEW = """yr, entity_id, assessed, successes, indicator, target, gap, entity_name, group_id,

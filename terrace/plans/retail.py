@@ -71,26 +71,27 @@ def dim_entity(read: Read) -> DataFrame:
 
 
 def entity_years(read: Read) -> DataFrame:
-    """Orders condensed to (year, customer); the sums are combined before the shuffle."""
-    orders = read("orders")
-    return orders.groupBy(
+    """Orders condensed to (year, customer) with the customer's nation.
+
+    The one pass over the orders: sums are combined before the shuffle, and
+    customers meet condensed rows instead of orders. Everything else derives
+    from this table, so callers store it.
+    """
+    condensed = read("orders").groupBy(
         F.year("o_orderdate").cast("long").alias("yr"), F.col("o_custkey").alias("entity_id"),
     ).agg(
         F.count(F.lit(1)).alias("assessed"),
         F.count_if(F.col("o_totalprice") >= SUCCESS_PRICE).alias("successes"),
     )
+    keys = read("customer").select(
+        F.col("c_custkey").alias("entity_id"), F.col("c_nationkey").cast("long").alias("group_id"))
+    return condensed.join(keys, "entity_id", "left")
 
 
-def group_years(read: Read) -> DataFrame:
+def group_years(entities: DataFrame) -> DataFrame:
     """(year, nation) totals with the computed and the published indicator."""
-    keys = read("customer").select(
-        F.col("c_custkey").alias("entity_id"), F.col("c_nationkey").cast("long").alias("group_id"))
-    # condensed by (customer, year) before the join, so orders never meet customers row by row
-    totals = (
-        entity_years(read).join(keys, "entity_id")
-        .groupBy("yr", "group_id")
-        .agg(F.sum("assessed").alias("assessed"), F.sum("successes").alias("successes"))
-    )
+    totals = entities.where(F.col("group_id").isNotNull()).groupBy("yr", "group_id").agg(
+        F.sum("assessed").alias("assessed"), F.sum("successes").alias("successes"))
     collected = F.pmod(F.col("yr") + F.col("group_id"), F.lit(9)) != 0
     return totals.select(
         "yr", "group_id", "assessed", "successes",
@@ -123,13 +124,9 @@ def published_of(groups: DataFrame, targets: DataFrame) -> DataFrame:
     })
 
 
-def entity_fact(read: Read, targets: DataFrame) -> DataFrame:
+def entity_fact(entities: DataFrame, targets: DataFrame) -> DataFrame:
     """Entity-year fact with indicator, the group's target and the gap."""
-    targets = targets.select("yr", "group_id", "target")
-    keys = read("customer").select(
-        F.col("c_custkey").alias("entity_id"), F.col("c_nationkey").cast("long").alias("group_id"))
-    fact = entity_years(read).join(keys, "entity_id", "left")
-    fact = fact.join(targets, ["yr", "group_id"], "left")
+    fact = entities.join(targets.select("yr", "group_id", "target"), ["yr", "group_id"], "left")
     return fact.select(
         "yr", "entity_id", "assessed",
         c.capped(F.col("successes"), F.col("assessed")).alias("successes"),

@@ -59,19 +59,20 @@ def run_silver(lake: Lakehouse) -> None:
             retail.dim_entity(read), "silver", "dim_entity", {"dim_group": nations})
 
     def totals_and_targets():
-        totals = lake.publish(retail.group_years(read), "silver", "group_years")
-        return totals, lake.publish(retail.targets_of(read, totals), "silver", "group_targets")
+        years = lake.publish(retail.entity_years(read), "silver", "entity_years")
+        totals = lake.publish(retail.group_years(years), "silver", "group_years")
+        return years, totals, lake.publish(retail.targets_of(read, totals), "silver", "group_targets")
 
     def micro():
         return lake.publish(retail.micro_fact(read), "silver", "fact_micro",
                             {"part": read("part")}, partition_by=["yr"])
 
-    (nations, entities), (totals, targets), _ = lake.together(dimensions, totals_and_targets, micro)
+    (nations, entities), (years, totals, targets), _ = lake.together(dimensions, totals_and_targets, micro)
     lake.together(
         lambda: lake.publish(retail.national_fact(totals), "silver", "fact_national"),
         lambda: lake.publish(retail.published_of(totals, targets), "silver", "fact_group",
                              {"dim_group": nations}),
-        lambda: lake.publish(retail.entity_fact(read, targets), "silver", "fact_indicator",
+        lambda: lake.publish(retail.entity_fact(years, targets), "silver", "fact_indicator",
                              {"dim_entity": entities}, partition_by=["yr"]),
     )
 

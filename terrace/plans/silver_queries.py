@@ -10,7 +10,7 @@ from terrace.functions import columns as c
 from terrace.functions.text import standardize_name
 from terrace.operators import dedup, enrich, lineage
 from terrace.plans import retail
-from terrace.plans.gold_queries import staged_groups
+from terrace.plans.gold_queries import staged_entities, staged_groups
 from terrace.plans.registry import half_up, query, with_model
 from terrace.plans.retail import table
 
@@ -138,8 +138,9 @@ def fact_group(spark, sf_dir):
     select yr, entity_id, assessed, successes, indicator, target, gap from fact"""))
 def fact_indicator(spark, sf_dir):
     """G06, P14-P16, P23."""
-    targets = retail.targets_of(retail.supplied(spark, sf_dir), staged_groups(spark, sf_dir))
-    return retail.entity_fact(retail.supplied(spark, sf_dir), targets)
+    entities = staged_entities(spark, sf_dir)
+    groups = staged_groups(spark, sf_dir, entities)
+    return retail.entity_fact(entities, retail.targets_of(retail.supplied(spark, sf_dir), groups))
 
 
 @query("fact_micro_cutoff", """

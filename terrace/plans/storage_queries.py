@@ -91,6 +91,7 @@ _LAYERED = " union all ".join(
      ("region", "nation", "customer", "orders", "part", "lineitem")]
     + [_step("silver", "dim_group", "select count(*) from nat"),
        _step("silver", "dim_entity", "select count(*) from ent"),
+       _step("silver", "entity_years", "select count(*) from ey"),
        _step("silver", "group_years", "select count(*) from g"),
        _step("silver", "group_targets", "select count(*) from tgt"),
        _step("silver", "fact_national", "select 8"),

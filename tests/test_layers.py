@@ -71,7 +71,7 @@ def test_staged_run(spark, sf_dir, tmp_path):
     house = retail_layers.lakehouse(spark, str(tmp_path / "lake"))
     retail_layers.run(house, land(spark, sf_dir), reprocess=True)
     steps = {(s.layer, s.table_name): s for s in house.log.steps}
-    assert len(steps) == 20 and all(s.status == "OK" for s in steps.values())
+    assert len(steps) == 21 and all(s.status == "OK" for s in steps.values())
     assert steps["silver", "fact_micro"].rows_quarantined > 0
     view = house.read("gold", "entity_view")
     ranking = house.read("gold", "ranking")
