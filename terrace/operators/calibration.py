@@ -17,6 +17,9 @@ from terrace.sources.staging import stage
 # Rounds planned together before the shifts are stored and looked at.
 ROUNDS_PER_PASS = 5
 
+# One shift per group takes some 32 bytes; up to this many are broadcast.
+BROADCAST_GROUPS = 100_000
+
 
 def _clip(col: Column, low: float, high: float) -> Column:
     return F.greatest(F.least(col, F.lit(float(high))), F.lit(float(low)))
@@ -63,9 +66,11 @@ def calibrate_to_group_mean(
 
     shifts = condensed.select("__g").distinct().select(
         "__g", F.lit(0.0).alias("__s"), F.lit(False).alias("__done"))
+    small = condensed.agg(F.count_distinct("__g")).head()[0] <= BROADCAST_GROUPS
     for start in range(0, iterations, ROUNDS_PER_PASS):
         for _ in range(start, min(start + ROUNDS_PER_PASS, iterations)):
-            shifts = _round(condensed, shifts, low, high, tolerance)
+            side = F.broadcast(shifts) if small else shifts
+            shifts = _round(condensed, side, low, high, tolerance)
         shifts = stage(shifts, "calibration-shift")
         if shifts.where(~F.col("__done")).isEmpty():
             break

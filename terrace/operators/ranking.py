@@ -141,10 +141,12 @@ def rank_extremes(
 ) -> DataFrame:
     """Best and worst ``k`` of every period from a table that carries ranks.
 
-    The group size is one small aggregate joined back; no row is reshuffled.
+    The group sizes are one small stored aggregate joined back; no row is reshuffled.
     When a period has fewer than ``2k`` rows, every rank up to ``k`` is BEST (D15).
     """
-    sizes = ranked.groupBy(F.col(period).alias("__period")).agg(F.max(rank).alias("__n"))
+    sizes = stage(
+        ranked.groupBy(F.col(period).alias("__period")).agg(F.max(rank).alias("__n")),
+        "period-sizes")
     return (
         ranked.join(sizes, F.col(period) == F.col("__period"), "left")
         .where((F.col(rank) <= k) | (F.col(rank) > F.col("__n") - k))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.operators.ranking import exact_quantile
+from terrace.sources.staging import stage
 
 
 def temporal_split(
@@ -90,7 +91,7 @@ def what_if(
     ``context``, and what they would gain from ``points`` percentage points."""
     known = df.where(F.col(context).isNotNull())
     cut = exact_quantile(known, context, entity, 0.25, by, "cut")
-    cut = cut.select(*[F.col(b).alias(f"__{b}") for b in by], "cut")
+    cut = stage(cut.select(*[F.col(b).alias(f"__{b}") for b in by], "cut"), "cuts")
     low = known.join(cut, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]).where(
         F.col(context) <= F.col("cut"))
     return low.groupBy(*by).agg(

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.sources.staging import stage
+
 
 def zscores(
     df: DataFrame, columns: Sequence[str], group: Sequence[str] = (), suffix: str = "_z",
@@ -35,6 +37,9 @@ def zscores(
         keys = [f"__g_{g}" for g in group]
         stats = stats.select(*[F.col(g).alias(k) for g, k in zip(group, keys)],
                              *[c for c in stats.columns if c not in group])
+        # stored, so that its size is known and a small one is broadcast instead of
+        # shuffling the rows by group
+        stats = stage(stats, "group-stats")
         on = [F.col(g).eqNullSafe(F.col(k)) for g, k in zip(group, keys)]
         joined = df.join(stats, on, "left")
     else:

@@ -30,7 +30,7 @@ def facts(spark, sf_dir):
     read = retail.supplied(spark, sf_dir)
     entities = staged_entities(spark, sf_dir)
     groups = staged_groups(spark, sf_dir, entities)
-    targets = retail.targets_of(read, groups)
+    targets = stage(retail.targets_of(read, groups), "targets")
     fact = retail.entity_fact(entities, targets)
     return products.entity_facts(fact, retail.dim_entity(read)), groups, targets
 

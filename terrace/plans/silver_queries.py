@@ -13,6 +13,7 @@ from terrace.plans import retail
 from terrace.plans.gold_queries import staged_entities, staged_groups
 from terrace.plans.registry import half_up, query, with_model
 from terrace.plans.retail import table
+from terrace.sources.staging import stage
 
 _INGESTED = datetime(2026, 1, 15, 6, 30)
 
@@ -140,7 +141,8 @@ def fact_indicator(spark, sf_dir):
     """G06, P14-P16, P23."""
     entities = staged_entities(spark, sf_dir)
     groups = staged_groups(spark, sf_dir, entities)
-    return retail.entity_fact(entities, retail.targets_of(retail.supplied(spark, sf_dir), groups))
+    targets = stage(retail.targets_of(retail.supplied(spark, sf_dir), groups), "targets")
+    return retail.entity_fact(entities, targets)
 
 
 @query("fact_micro_cutoff", """

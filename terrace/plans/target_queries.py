@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrace.functions import scoring
-from terrace.operators import sampling
+from terrace.operators import sampling, scoring
 from terrace.operators import targets as t
 from terrace.operators.calibration import calibrate_to_group_mean
 from terrace.plans import retail

@@ -31,7 +31,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/terrace/{uuid.uuid4().hex}/{label}"
+    return f"{_app_dir(spark)}/{uuid.uuid4().hex}/{label}"
+
+
+def _app_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/terrace/{spark.conf.get('spark.app.id', 'local')}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove this application's staged tables once no lazy result reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

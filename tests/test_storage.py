@@ -121,3 +121,13 @@ def test_session(spark):
     assert session.effective_format(spark, "ORC") == "orc"
     assert not session.has_kafka(spark)
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_staged_tables_are_dropped_by_application(spark):
+    out = staging.stage(spark.range(3))
+    folder = staging._app_dir(spark)
+    assert tables.exists(spark, folder) and out.count() == 3
+    other = f"{staging.shared_dir(spark)}/other"
+    tables.write_table(spark.range(1), other)
+    staging.drop_staged(spark)
+    assert not tables.exists(spark, folder) and tables.exists(spark, other)
