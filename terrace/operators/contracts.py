@@ -8,9 +8,9 @@ pre-aggregated pass over the key columns each.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from pathlib import Path
 
 import yaml
@@ -23,6 +23,8 @@ from terrace.sources.staging import stage
 
 ROW_RULES = ("not_null", "range", "allowed", "regex", "foreign_key")
 REASON = "_quarantine_reason"
+_META = ("array<struct<position int, rule string, column string, critical boolean, "
+         "tolerance_pct double, skipped boolean>>")
 
 
 class ContractViolation(RuntimeError):
@@ -173,43 +175,32 @@ def _report(marked, row, table, skipped) -> DataFrame:
         F.count_if(F.col(REASON) != "").alias("quarantined"),
         *[F.count_if(~cond).alias(f"v{i}") for i, _, cond in row],
     )
-
-    def entry(i: int, check: Check, violations: Column, skip: bool = False) -> Column:
-        return F.struct(
-            F.lit(i + 1).cast("int").alias("position"),
-            F.lit(check.rule).alias("rule"),
-            F.lit(check.target).cast("string").alias("column"),
-            F.lit(check.critical).alias("critical"),
-            F.lit(float(check.tolerance_pct)).alias("tolerance_pct"),
-            F.lit(skip).alias("skipped"),
-            violations.cast("long").alias("violations"),
-        )
-
-    entries = [entry(i, c, F.col(f"v{i}")) for i, c, _ in row]
-    entries += [
-        entry(i, c, F.greatest(F.lit(int(c.value)) - F.col("rows"), F.lit(0)))
-        for i, c in table if c.rule == "min_count"
-    ]
-    entries += [entry(i, c, F.lit(None), skip=True) for i, c in skipped]
-    parts = []
-    if entries:
-        parts.append(metrics.select("rows", "quarantined", F.inline(F.array(*entries))))
-    for i, c in table:
-        if c.rule == "unique":
+    violations = {i: F.col(f"v{i}") for i, _, _ in row}
+    violations |= {i: F.lit(None) for i, _ in skipped}
+    for i, check in table:
+        if check.rule == "min_count":
+            violations[i] = F.greatest(F.lit(int(check.value)) - F.col("rows"), F.lit(0))
+        else:
             # null keys count as a value; the first aggregate combines map-side
-            per_key = marked.groupBy(*c.needed).agg(F.count(F.lit(1)).alias("n"))
-            repeats = per_key.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeats"),
-            )
-            parts.append(repeats.select(
-                "rows", F.lit(None).cast("long").alias("quarantined"),
-                F.inline(F.array(entry(i, c, F.col("repeats"))))))
-    if not parts:
-        nothing = entry(-1, Check("none"), F.lit(0))
-        parts.append(metrics.select("rows", "quarantined", F.inline(F.array(nothing))))
-
-    long = reduce(DataFrame.unionByName, parts)
+            per_key = marked.groupBy(*check.needed).agg((F.count(F.lit(1)) - 1).alias("n"))
+            metrics = metrics.withColumn(
+                f"v{i}", per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar())
+            violations[i] = F.col(f"v{i}")
+
+    checks = [(i, c) for i, c, _ in row] + table
+    known = [(i, c, False) for i, c in checks] + [(i, c, True) for i, c in skipped]
+    if not known:
+        known, violations = [(-1, Check("none"), False)], {-1: F.lit(0)}
+    meta = [
+        {"position": i + 1, "rule": c.rule, "column": c.target, "critical": c.critical,
+         "tolerance_pct": float(c.tolerance_pct), "skipped": skip}
+        for i, c, skip in known
+    ]
+    counts = F.array(*[violations[i].cast("long") for i, _, _ in known])
+    zipped = F.arrays_zip(
+        F.from_json(F.lit(json.dumps(meta)), _META).alias("m"), counts.alias("violations"))
+    long = metrics.select("rows", "quarantined", F.inline(zipped)).select(
+        "rows", "quarantined", "m.*", "violations")
     allowed = F.when(
         F.col("rule").isin(*ROW_RULES), F.floor(F.col("rows") * F.col("tolerance_pct") / 100)
     ).otherwise(F.lit(0)).cast("long")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import exact_mean, exact_ratio
+from terrace.operators.ranking import exact_quantiles
 
 
 def weighted_mean(value: Column, weight: Column, digits: int = 1, scale: int = 4) -> Column:
@@ -37,17 +38,21 @@ def critical_summary(
 
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
-    """One row per column with count, mean, spread, extremes and exact quartiles."""
-    parts = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        parts.append(F.struct(
-            F.lit(c).alias("column"), F.count(x).alias("n"),
-            F.round(exact_mean(x), digits).alias("mean"),
-            F.round(F.stddev_samp(x), digits).alias("std"),
-            F.round(F.min(x), digits).alias("min"),
-            F.round(F.max(x), digits).alias("max")))
-    return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
+    """One row per column with count, mean, spread, extremes and exact interpolated
+    quartiles."""
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns],
+                        F.xxhash64(*columns).alias("__tie"))
+    long = numbers.unpivot(["__tie"], list(columns), "column", "x")
+    x = F.col("x")
+    stats = long.groupBy("column").agg(
+        F.count(x).alias("n"),
+        F.round(exact_mean(x), digits).alias("mean"),
+        F.round(F.stddev_samp(x), digits).alias("std"),
+        F.round(F.min(x), digits).alias("min"),
+        F.round(F.max(x), digits).alias("max"))
+    quartiles = exact_quantiles(long, "x", "__tie", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
+    rounded = [F.round(p, digits).alias(p) for p in ("p25", "p50", "p75")]
+    return stats.join(quartiles.select("column", *rounded), "column", "left")
 
 
 def raw_profile(

@@ -14,7 +14,7 @@ Approximate quantiles only move the cuts: whatever they are, the ranks are exact
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -155,26 +155,26 @@ def rank_extremes(
     )
 
 
-def exact_quantile(
-    df: DataFrame, value: str, tiebreak: str, p: float, by: Sequence[str], name: str = "quantile",
+def exact_quantiles(
+    df: DataFrame, value: str, tiebreak: str, points: Mapping[str, float], by: Sequence[str],
     split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
-    """linearly interpolated quantile per group, read off the exact ranks.
+    """linearly interpolated quantiles per group, one column per named point, read
+    off the exact ranks.
 
     The exact percentile aggregate would hold every distinct value of a group in
-    one buffer; here only the two rows around the quantile leave their cells.
+    one buffer; here only the rows around the quantiles leave their cells. Equal
+    values may trade places, so ``tiebreak`` need not be unique here.
     """
     known = df.where(F.col(value).isNotNull())
     ranked = rank_within(known, by, value, tiebreak, "__rank", descending=False,
                          size_name="__n", split_above=split_above)
-    spot = F.lit(1.0) + F.lit(float(p)) * (F.col("__n") - 1)
-    low, high = F.floor(spot), F.ceil(spot)
-    return (
-        ranked.where((F.col("__rank") == low) | (F.col("__rank") == high))
-        .groupBy(*by)
-        .agg(
-            F.max(F.when(F.col("__rank") == low, F.col(value))).alias("__a"),
-            F.max(F.when(F.col("__rank") == high, F.col(value))).alias("__b"),
-            F.max(spot - low).alias("__f"))
-        .select(*by, (F.col("__a") + (F.col("__b") - F.col("__a")) * F.col("__f")).alias(name))
-    )
+    near, results = F.lit(False), []
+    for name, p in points.items():
+        spot = F.lit(1.0) + F.lit(float(p)) * (F.col("__n") - 1)
+        low, high = F.col("__rank") == F.floor(spot), F.col("__rank") == F.ceil(spot)
+        near = near | low | high
+        a = F.max(F.when(low, F.col(value)))
+        b = F.max(F.when(high, F.col(value)))
+        results.append((a + (b - a) * F.max(spot - F.floor(spot))).alias(name))
+    return ranked.where(near).groupBy(*by).agg(*results)

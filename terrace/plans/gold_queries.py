@@ -256,6 +256,9 @@ def critical_summary(spark, sf_dir):
 @query("describe", " union all ".join(f"""
     select '{col}' as "column", count({col}) as n, {half_up(mean(col), 2)} as mean,
            {half_up(f'stddev_samp({col})', 2)} as std, {half_up(f'min({col})', 2)} as min,
+           {half_up(f'quantile_cont({col}, 0.25)', 2)} as p25,
+           {half_up(f'quantile_cont({col}, 0.5)', 2)} as p50,
+           {half_up(f'quantile_cont({col}, 0.75)', 2)} as p75,
            {half_up(f'max({col})', 2)} as max from lineitem"""
     for col in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")))
 def describe(spark, sf_dir):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrace.operators.ranking import exact_quantile, ntile_of, rank_extremes, rank_within
+from terrace.operators.ranking import exact_quantiles, ntile_of, rank_extremes, rank_within
 from terrace.sources.staging import stage
 
 
@@ -59,7 +59,7 @@ def test_ntile(spark, n, tiles):
 @pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 1.0])
 def test_exact_quantile(skewed, p, above):
     known = skewed.where("g is not null")
-    got = {r.g: r.q for r in exact_quantile(known, "v", "k", p, ["g"], "q", above).collect()}
+    got = {r.g: r.q for r in exact_quantiles(known, "v", "k", {"q": p}, ["g"], above).collect()}
     want = {r.g: r.q for r in known.groupBy("g").agg(
         F.percentile("v", F.lit(p)).alias("q")).collect()}
     assert got == pytest.approx(want)
