@@ -16,8 +16,8 @@ from terrace.operators.contracts import (
 @pytest.fixture(scope="module")
 def base(spark):
     return spark.createDataFrame(
-        [("a", 10.0, "PUBLIC"), ("b", 200.0, "PUBLIC"), ("c", None, "PUBLIC"),
-         (None, 30.0, "PRIVATE"), ("e", 40.0, "MARTIAN")], "id string, v double, net string")
+        [("k1", 5.0, "north"), ("k2", None, "north"), (None, 15.0, "south"),
+         ("k4", 900.0, "south"), ("k5", 60.0, "upward")], "id string, v double, net string")
 
 
 def run(df, *checks, refs=None):
@@ -53,7 +53,7 @@ def test_range_is_inclusive(spark):
 
 
 def test_tolerance_still_quarantines(base):
-    check = {"rule": "allowed", "column": "net", "value": ["PUBLIC", "PRIVATE"]}
+    check = {"rule": "allowed", "column": "net", "value": ["north", "south"]}
     out, rows = run(base, {**check, "tolerance_pct": 25.0})
     assert out.quarantine.count() == 1 and rows[0].status == "PASS" and rows[0].allowed == 1
     _, rows = run(base, {**check, "tolerance_pct": 19.9})
@@ -101,7 +101,7 @@ def test_min_count_and_skipped(base):
 
 
 def test_reasons_in_declaration_order(base):
-    out, _ = run(base, {"rule": "range", "column": "v", "value": [0, 20]},
+    out, _ = run(base, {"rule": "range", "column": "v", "value": [0, 10]},
                  {"rule": "not_null", "column": "id"})
     assert {r._quarantine_reason for r in out.quarantine.collect()} == {
         "range:v", "range:v|not_null:id"}

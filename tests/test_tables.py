@@ -10,10 +10,10 @@ from terrace.operators import dedup, enrich, lineage
 
 def test_dedup_keeps_latest(spark):
     df = spark.createDataFrame(
-        [(1, "old", datetime(2026, 1, 1)), (1, "new", datetime(2026, 2, 1)),
-         (2, "only", datetime(2026, 1, 1))], "id int, v string, _ingestion_timestamp timestamp")
+        [(7, "v2", datetime(2025, 6, 2)), (7, "v1", datetime(2025, 6, 1)),
+         (7, "v3", datetime(2025, 6, 3)), (8, "v1", datetime(2025, 5, 1))], "id int, v string, _ingestion_timestamp timestamp")
     once = dedup.dedup_latest(df, ["id"])
-    assert {(r.id, r.v) for r in once.collect()} == {(1, "new"), (2, "only")}
+    assert {(r.id, r.v) for r in once.collect()} == {(7, "v3"), (8, "v1")}
     assert dedup.dedup_latest(once, ["id"]).exceptAll(once).isEmpty()
 
 
@@ -43,11 +43,11 @@ def test_lineage(spark):
 
 
 def test_enrich_by_derived_key(spark):
-    fact = spark.createDataFrame([(2304400,), (3550308,), (None,)], "id long")
-    dim = spark.createDataFrame([(230440, 0.7)], "id6 long, score double")
+    fact = spark.createDataFrame([(5512,), (6633,), (None,)], "id long")
+    dim = spark.createDataFrame([(551, 0.7)], "id6 long, score double")
     out = enrich.enrich_by_expression(fact, dim, F.floor(F.col("id") / 10), "id6", ["score"])
     assert out.columns == ["id", "score"]
-    assert {(r.id, r.score) for r in out.collect()} == {(2304400, 0.7), (3550308, None), (None, None)}
+    assert {(r.id, r.score) for r in out.collect()} == {(5512, 0.7), (6633, None), (None, None)}
 
 
 def test_foreign_key_marker(spark):
