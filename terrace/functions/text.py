@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -22,24 +23,17 @@ def standardize_name(
     """Capitalise every word and every hyphenated part; connectives that
     are neither first nor last word go to lower case.
 
-    Words are handled one by one with their position, so one pass over the
-    words covers every connective.
+    A blank put after each separator lets one ``initcap`` see the parts as words.
+    Connectives with the same initial share one replacement, which lowers the
+    initial and keeps the rest.
     """
-    words = F.split(squeeze(col), " ")
-    last = F.size(words) - 1
-    ending = f"(^|{separator})({'|'.join(connectives)})$"
-
-    def title(word: Column) -> Column:
-        return F.array_join(F.transform(F.split(word, separator), F.initcap), separator)
-
-    def word_at(word: Column, position: Column) -> Column:
-        titled = title(word)
-        tail = F.regexp_extract(titled, ending, 2)
-        inner = (position > 0) | word.contains(separator)
-        keep = F.length(titled) - F.length(tail)
-        return F.when(
-            (tail != "") & inner & (position < last),
-            F.concat(titled.substr(F.lit(1), keep), F.lower(tail)),
-        ).otherwise(titled)
-
-    return F.array_join(F.transform(words, word_at), " ")
+    seam = f"{separator}\u0001 "
+    parts = F.replace(squeeze(col), F.lit(separator), F.lit(seam))
+    name = F.replace(F.initcap(parts), F.lit(seam), F.lit(separator))
+    by_initial: dict[str, list[str]] = {}
+    for word in connectives:
+        by_initial.setdefault(word[0], []).append(re.escape(word[1:]))
+    for initial, rests in by_initial.items():
+        inner = rf"(?<=[ {re.escape(separator)}]){initial}({'|'.join(rests)})(?= )"
+        name = F.regexp_replace(name, inner, f"{initial.lower()}$1")
+    return name
