@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from terrace.operators.enrich import mark_known
+from terrace.operators.enrich import fits_broadcast, mark_known, reference_keys
 from terrace.sources.staging import stage
 
 ROW_RULES = ("not_null", "range", "allowed", "regex", "foreign_key")
@@ -131,6 +131,8 @@ def apply_contract(
     row: list[tuple[int, Check, Column]] = []
     table: list[tuple[int, Check]] = []
     markers: list[str] = []
+    if stored and _large_reference(df, contract, references):
+        df = stage(df, "contract-input")
     marked = df
 
     for i, check in enumerate(contract.checks):
@@ -168,6 +170,15 @@ def apply_contract(
     return Outcome(valid, quarantine, report, [c for _, c in skipped])
 
 
+def _large_reference(df: DataFrame, contract: Contract, references: Mapping[str, DataFrame]) -> bool:
+    """Is there a foreign key whose check reads ``df`` more than once?"""
+    return any(
+        c.rule == "foreign_key" and c.column in df.columns and c.reference in references
+        and not fits_broadcast(
+            reference_keys(references[c.reference], c.reference_column or c.column))
+        for c in contract.checks)
+
+
 def _report(marked, row, table, skipped) -> DataFrame:
     """Q01, Q02, Q09, Q14-Q16: one row per check."""
     metrics = marked.agg(

@@ -9,6 +9,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.sources.staging import stage
+
 SPREAD = 64
 
 
@@ -44,22 +46,44 @@ def prefer_published(aggregate: DataFrame, published: DataFrame, keys: Sequence[
     return aggregate.join(published, list(keys), "left")
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Would Spark broadcast this side by its own size estimate and threshold?"""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= limit
+
+
+def reference_keys(reference: DataFrame, key: str) -> DataFrame:
+    """Distinct present keys of a reference, as the single column ``__ref``."""
+    keys = reference.select(F.col(key).alias("__ref"))
+    return keys.where(F.col("__ref").isNotNull()).distinct()
+
+
 def mark_known(
     df: DataFrame, reference: DataFrame, key: str, reference_key: str | None = None,
     marker: str = "_known",
 ) -> DataFrame:
-    """Boolean marker "key exists in the reference"; a null key is an orphan."""
-    keys = (
-        reference.select(F.col(reference_key or key).alias("__ref"))
-        .where(F.col("__ref").isNotNull())
-        .distinct()
-        .withColumn("__ref_spread", F.lit(0))
-    )
+    """Boolean marker "key exists in the reference"; a null key is an orphan.
+
+    A reference small enough to broadcast is joined as it is. For a larger one
+    the distinct keys of ``df`` are checked first: keys shrink before their
+    shuffle and only the unknown ones, usually few, are stored and joined back,
+    so the rows need not be shuffled by a possibly skewed key. ``df`` is then
+    read twice and should be a stored table.
+    """
+    keys = reference_keys(reference, reference_key or key)
+    small = fits_broadcast(keys)
+    if not small:
+        asked = df.select(F.col(key).alias("__asked")).where(F.col(key).isNotNull()).distinct()
+        unknown = asked.join(keys, F.col("__asked") == F.col("__ref"), "left_anti")
+        keys = stage(unknown.select(F.col("__asked").alias("__ref")), "unknown-keys")
+    keys = keys.withColumn("__ref_spread", F.lit(0))
     left = df.withColumn("__spread", null_spread(F.col(key), df.columns))
     joined = left.join(
         keys, (F.col(key) == F.col("__ref")) & (F.col("__spread") == F.col("__ref_spread")), "left")
-    return joined.withColumn(marker, F.col("__ref").isNotNull()).drop(
-        "__ref", "__ref_spread", "__spread")
+    hit = F.col("__ref").isNotNull()
+    known = hit if small else F.col(key).isNotNull() & ~hit
+    return joined.withColumn(marker, known).drop("__ref", "__ref_spread", "__spread")
 
 
 def orphans(

@@ -61,6 +61,27 @@ def test_foreign_key_marker(spark):
     assert enrich.orphans(df, ref, "k", "r").count() == 3
 
 
+def test_large_reference_gives_the_same_markers(spark):
+    df = spark.range(500).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 1, None)
+        .otherwise(F.col("id") % 40).alias("k"), "id")
+    ref = spark.range(30).select((F.col("id") + 5).alias("r"))
+    want = enrich.mark_known(df, ref, "k", "r", "ok")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    assert enrich.fits_broadcast(ref)
+    spark.conf.set(name, "-1")
+    try:
+        assert not enrich.fits_broadcast(ref)
+        got = enrich.mark_known(df, ref, "k", "r", "ok")
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert enrich.orphans(df, ref, "k", "r").count() == df.where(
+            "k is null or k < 5 or k > 34").count()
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_null_keys_are_spread(spark):
     df = spark.range(2000).select(F.col("id"), F.lit(None).cast("long").alias("k"))
     spread = df.select(enrich.null_spread(F.col("k"), df.columns).alias("s"))
