@@ -141,7 +141,8 @@ def rank_extremes(
 ) -> DataFrame:
     """Best and worst ``k`` of every period from a table that carries ranks.
 
-    The group sizes are one small stored aggregate joined back; no row is reshuffled.
+    ``ranked`` should be a stored table. The group sizes are one small stored
+    aggregate joined back; no row is reshuffled.
     When a period has fewer than ``2k`` rows, every rank up to ``k`` is BEST (D15).
     """
     sizes = stage(

@@ -144,7 +144,7 @@ def inequality_panel(spark, sf_dir):
     where rank_all <= 100 or rank_all > n - 100"""))
 def ranking_extremes(spark, sf_dir):
     """G12, J06, P29, T01, W08."""
-    return products.ranking_product(view(spark, sf_dir))
+    return products.ranking_product(stage(view(spark, sf_dir), "entity-view"))
 
 
 @query("leakage_safe_features", with_model(f"""
