@@ -153,7 +153,8 @@ def register_table(spark: SparkSession, name: str, location: str, fmt: str = "pa
     """Catalog entry for a table that already lies at ``location``."""
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_quote(name.rsplit('.', 1)[0])}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quote(name)} USING {fmt} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_quote(name)} USING {fmt} LOCATION :at",
+              args={"at": location})
 
 
 def analyze_table(spark: SparkSession, name: str) -> None:
