@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from terrace.llm.common import table
+from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
 from terrace.plans.registry import query
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark, sf_dir):
+    """Licence phrases and notices of every document."""
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op7_line_rules")
 def op7_line_rules(spark, sf_dir):
     """Quality rules of every document."""
