@@ -5,6 +5,7 @@ from __future__ import annotations
 from terrace.llm.common import table
 from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
+from terrace.llm.mixing import mix
 from terrace.plans.registry import query
 
 
@@ -14,6 +15,12 @@ def op1_license_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+@query("op5_mix_sources")
+def op5_mix_sources(spark, sf_dir):
+    """Copies of every document in the target mix."""
+    return mix(table(spark, sf_dir, "documents"))
+
+
 @query("op7_line_rules")
 def op7_line_rules(spark, sf_dir):
     """Quality rules of every document."""
