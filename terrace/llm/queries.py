@@ -6,6 +6,7 @@ from terrace.llm.common import table
 from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
 from terrace.llm.mixing import mix
+from terrace.llm.simhash import near_duplicates
 from terrace.plans.registry import query
 
 
@@ -25,3 +26,9 @@ def op5_mix_sources(spark, sf_dir):
 def op7_line_rules(spark, sf_dir):
     """Quality rules of every document."""
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+@query("op8_simhash")
+def op8_simhash(spark, sf_dir):
+    """Fingerprint and component of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
