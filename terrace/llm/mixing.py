@@ -162,8 +162,8 @@ def settle(rounded: DataFrame, rules: MixRules) -> DataFrame:
     a copy are candidates; from the largest down, a candidate changes if it fits
     into what is left. There are some dozens a source at most.
     """
-    left = rounded.groupBy("_src").agg(
-        (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("_left"))
+    left = stage(rounded.groupBy("_src").agg(
+        (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("_left")), "left")
     order = F.struct(F.xxhash64("_key", F.lit(3)).alias("h"), "_key", "size")
     sign = F.when(F.col("_left") > 0, 1).otherwise(-1)
     movable = rounded.where("size > 0").join(left, "_src").where(

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from terrace.llm.bpe import encode
 from terrace.llm.common import table
 from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
 from terrace.llm.mixing import mix
 from terrace.llm.simhash import near_duplicates
+from terrace.llm.token_counts import count_tokens
 from terrace.plans.registry import query
 
 
@@ -32,3 +37,19 @@ def op7_line_rules(spark, sf_dir):
 def op8_simhash(spark, sf_dir):
     """Fingerprint and component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_bpe")
+def op4_bpe(spark, sf_dir):
+    """Digests of every document's token ids and of the text decoded from them."""
+    coded = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark, sf_dir):
+    """Tokens of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
