@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.llm.bpe import encode
 from terrace.llm.common import table
+from terrace.llm.html_text import extract
 from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
 from terrace.llm.mixing import mix
@@ -39,6 +40,12 @@ def op8_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op2_html_text")
+def op2_html_text(spark, sf_dir):
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query("op4_bpe")
 def op4_bpe(spark, sf_dir):
     """Digests of every document's token ids and of the text decoded from them."""
