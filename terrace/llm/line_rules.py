@@ -96,16 +96,15 @@ def with_repeats(df: DataFrame, words: str, out: str) -> DataFrame:
     df = df.withColumn("_clash", (n > (1 << _POS_BITS)) | F.when(F.size(t) > 1, clash).otherwise(False))
     grams = F.array_sort(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(
         F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("g"), i.alias("i"))))
-    exact = F.transform(F.filter(
-        F.transform(grams, lambda x, i: F.struct(x.i.alias("i"), (
-            F.coalesce(x.g == F.get(grams, i - 1).g, F.lit(False))
-            | F.coalesce(x.g == F.get(grams, i + 1).g, F.lit(False))).alias("twice"))),
-        lambda x: x.twice), lambda x: x.i)
+    df = df.withColumn("_grams", F.when(F.col("_clash"), grams))  # a column: lambdas must not build it anew
+    g = F.col("_grams")
+    exact = F.transform(F.filter(g, lambda x, i: F.coalesce(x.g == F.get(g, i - 1).g, F.lit(False))
+                                 | F.coalesce(x.g == F.get(g, i + 1).g, F.lit(False))), lambda x: x.i)
     df = df.withColumn("_at", F.sort_array(F.when(F.col("_clash"), exact).otherwise(F.transform(t, at))))
     p = F.col("_at")
     covered = _total(F.transform(p, lambda x, i: F.least(
         F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))).cast("long")))
-    return df.withColumn(out, covered).drop("_packed", "_sorted", "_twice", "_clash", "_at")
+    return df.withColumn(out, covered).drop("_packed", "_sorted", "_twice", "_clash", "_grams", "_at")
 
 
 def clean_lines(df: DataFrame, key: str = "doc_id", text: str = "text",

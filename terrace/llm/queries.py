@@ -11,6 +11,8 @@ from terrace.llm.html_text import extract
 from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
 from terrace.llm.mixing import mix
+from terrace.llm.piecewise_hash import edited_pairs
+from terrace.llm.private_data import KINDS, find, listed
 from terrace.llm.simhash import near_duplicates
 from terrace.llm.token_counts import count_tokens
 from terrace.plans.registry import query
@@ -60,3 +62,22 @@ def op4_bpe(spark, sf_dir):
 def op9_token_counts(spark, sf_dir):
     """Tokens of every document."""
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op6_piecewise_hash")
+def op6_piecewise_hash(spark, sf_dir):
+    """Fingerprints of every document, its edited text and its successor, and their likeness."""
+    return edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query("op10_private_data")
+def op10_private_data(spark, sf_dir):
+    """Personal data of every document."""
+    found = find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[_count(kind) for kind in KINDS], F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"))
+
+
+def _count(kind):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
