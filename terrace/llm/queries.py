@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from terrace.llm import toxicity
 from terrace.llm.bpe import encode
 from terrace.llm.common import table
 from terrace.llm.html_text import extract
@@ -48,6 +50,15 @@ def op2_html_text(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from the labels of three quarters of the ids."""
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder != 2)
+    return model.transform(docs).select("doc_id", (remainder == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op4_bpe")
 def op4_bpe(spark, sf_dir):
     """Digests of every document's token ids and of the text decoded from them."""
@@ -81,3 +92,9 @@ def op10_private_data(spark, sf_dir):
 
 def _count(kind):
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, sf_dir)
