@@ -195,12 +195,12 @@ def mask(df: DataFrame, key: str = "doc_id", text: str = "text",
     """``df`` with every span of its text replaced by the kind in brackets; all columns are kept."""
     more = discovered(read_texts(df, key, text), rules).select(
         F.col("_key").alias("_k"), F.col("_row").alias("_r"), F.col("more").alias("_more"))
-    columns = df.columns
-    rows = df.withColumn("_h", row_hash(text_of(text)))
-    rows = rows.join(more, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_r")), "left")
-    t = F.col(text)
+    t = F.col("_text")
+    rows = df.select(F.struct(*df.columns).alias("_all"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = rows.withColumn("_h", row_hash(text_of("_text")))
+    rows = rows.join(more, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_h") == F.col("_r")), "left")
     rows = rows.withColumn("_spans", F.array_sort(F.concat(
-        base_spans(text_of(text)), F.coalesce("_more", F.array().cast(_SPAN)))))
+        base_spans(text_of("_text")), F.coalesce("_more", F.array().cast(_SPAN)))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def add(acc: Column, s: Column) -> Column:
@@ -212,4 +212,4 @@ def mask(df: DataFrame, key: str = "doc_id", text: str = "text",
     walked = F.aggregate("_spans", start, add, lambda acc: F.concat(
         acc.out, F.substring(t, acc.at + 1, F.greatest(F.length(t) - acc.at, F.lit(0)))))
     masked = F.when(F.size("_spans") > 0, walked).otherwise(t)
-    return rows.withColumn(text, masked).select(*columns)
+    return rows.select(F.col("_all").withField(text, masked).alias("_all")).select("_all.*")
