@@ -36,11 +36,6 @@ SCHEMAS: dict[str, T.StructType] = {
         l_returnflag="string", l_linestatus="string", l_shipdate="timestamp_ntz"),
 }
 
-EVENT_SCHEMA = schema(
-    event_id="string", event_type="string", entity_id="long", group_code="string",
-    reference_year="int", emitted_at="string", origin="string", indicator="double",
-    target="double", score="double", assessed="int")
-
 RUN_SCHEMA = schema(
     run_id="string", layer="string", table_name="string", status="string", rows_in="long",
     rows_out="long", rows_quarantined="long", quality_score="double", duration_s="double",

@@ -1,12 +1,14 @@
-"""Event stream: sources, parsing, deduplication and windows.
+"""Event streams: sources, decoding, deduplication and windows.
 
-Every function maps a DataFrame to a DataFrame and works on a batch as well as
-on a stream.
+What an event looks like is declared once, as an ``EventFormat``; the functions
+follow it and map a DataFrame to a DataFrame, on a batch as well as on a stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,156 +16,139 @@ from pyspark.sql.types import StructType
 
 from terrace.functions.columns import canonical_code
 from terrace.session import has_kafka
-from terrace.sources.schemas import EVENT_SCHEMA, schema
+from terrace.sources.schemas import schema
 
-# Shape of a record as the Kafka connector delivers it.
-KAFKA_SCHEMA = schema(
-    key="binary", value="binary", topic="string", partition="int", offset="long",
-    timestamp="timestamp")
+# Shape of a record as the message broker's connector delivers it.
+RECORD = schema(key="binary", value="binary", topic="string", partition="int", offset="long",
+                timestamp="timestamp")
+# Names of a record's fields in the tiers that are not just the field with an underscore.
+TIER_NAMES = {"value": "_payload", "timestamp": "_received_at"}
 
+# Reader options; the caps are rows and files per trigger.
+BROKER_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
 MAX_OFFSETS = 5000
 MAX_FILES = 4
 
 
-def kafka_options(servers: str, topic: str, max_offsets: int = MAX_OFFSETS) -> dict[str, str]:
-    """Subscribe from the start, capped per trigger, tolerating expired offsets."""
-    return {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": str(max_offsets),
-        "failOnDataLoss": "false",
-    }
-
-
-def kafka_envelope(records: DataFrame) -> DataFrame:
-    """Text key and payload with their position and arrival time."""
-    return records.select(
-        F.col("key").cast("string").alias("_key"),
-        F.col("value").cast("string").alias("_payload"),
-        F.col("topic").alias("_topic"),
-        F.col("partition").alias("_partition"),
-        F.col("offset").alias("_offset"),
-        F.col("timestamp").alias("_received_at"),
-    )
-
-
-def file_envelope(lines: DataFrame) -> DataFrame:
-    """The same columns for newline JSON read as text."""
-    return lines.select(
-        F.lit(None).cast("string").alias("_key"),
-        F.col("value").alias("_payload"),
-        F.lit("file").alias("_topic"),
-        F.lit(0).alias("_partition"),
-        F.lit(0).cast("long").alias("_offset"),
-        F.current_timestamp().alias("_received_at"),
-    )
-
-
-def read_event_stream(
-    spark: SparkSession, location: str | None = None, servers: str | None = None,
-    topic: str | None = None, max_files: int | None = MAX_FILES, max_offsets: int = MAX_OFFSETS,
+@dataclass(frozen=True)
+class EventFormat:
+    """Payload fields, and what is asked of them.
+
+    ``time`` is a text field that becomes a timestamp; ``required`` fields may
+    not be null; ``allowed`` limits the values of a field; ``codes`` are trimmed
+    and upper-cased.
+    """
+
+    payload: StructType
+    key: str
+    time: str
+    required: tuple[str, ...] = ()
+    allowed: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    codes: tuple[str, ...] = ()
+
+    def valid(self) -> Column:
+        """Does a decoded row meet every demand? Never null."""
+        demands = [F.col(c).isNotNull() for c in dict.fromkeys((self.key, self.time, *self.required))]
+        demands += [F.col(c).isin(list(values)) for c, values in self.allowed.items()]
+        return F.coalesce(reduce(Column.__and__, demands), F.lit(False))
+
+
+def envelope(records: DataFrame, **constants: Column) -> DataFrame:
+    """The record's fields under their tier names; binary fields become text.
+
+    A field that the source does not deliver takes its constant, or null.
+    """
+    given = set(records.columns)
+
+    def of(name: str, kind: str) -> Column:
+        value = F.col(name) if name in given else constants.get(name, F.lit(None))
+        return value.cast("string" if kind == "binary" else kind).alias(TIER_NAMES.get(name, f"_{name}"))
+
+    return records.select(*[of(f.name, f.dataType.simpleString()) for f in RECORD])
+
+
+def broker_stream(spark: SparkSession, servers: str, topic: str, max_offsets: int = MAX_OFFSETS) -> DataFrame:
+    """A topic from its start, so many offsets per trigger at most."""
+    options = broker_options(servers, topic, max_offsets)
+    return envelope(spark.readStream.format("kafka").options(**options).load())
+
+
+def broker_options(servers: str, topic: str, max_offsets: int = MAX_OFFSETS) -> dict[str, str]:
+    return BROKER_OPTIONS | {"kafka.bootstrap.servers": servers, "subscribe": topic,
+                             "maxOffsetsPerTrigger": str(max_offsets)}
+
+
+def text_stream(spark: SparkSession, location: str, max_files: int = MAX_FILES) -> DataFrame:
+    """A JSON text per line, so many files per trigger at most."""
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(location)
+    return text_envelope(lines)
+
+
+def text_envelope(lines: DataFrame) -> DataFrame:
+    """Lines know neither topic nor offset; they arrive when they are read."""
+    return envelope(lines, topic=F.lit("file"), timestamp=F.current_timestamp())
+
+
+def open_source(
+    spark: SparkSession, location: str | None = None, servers: str | None = None, topic: str | None = None,
 ) -> tuple[DataFrame, str]:
-    """Kafka when servers are given and the connector is present, else text files."""
+    """The broker when it is named and its connector is there, else text files."""
     if servers and topic and has_kafka(spark):
-        reader = spark.readStream.format("kafka").options(**kafka_options(servers, topic, max_offsets))
-        return kafka_envelope(reader.load()), "kafka"
-    if location is None:
-        raise ValueError("no Kafka connector on the class path and no file location given")
-    reader = spark.readStream.format("text")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return file_envelope(reader.load(location)), "file"
-
-
-def bronze_events(events: DataFrame, source: str, run_id: str) -> DataFrame:
-    """Stamp ingestion time, source and run."""
-    return events.withColumns({
-        "_ingestion_timestamp": F.current_timestamp(),
-        "_ingestion_date": F.current_date(),
-        "_stream_source": F.lit(source),
-        "_run_id": F.lit(run_id),
-    })
-
-
-def event_is_valid(types: Sequence[str]) -> Column:
-    """Id, entity, known type and readable time; never null."""
-    cond = (
-        F.col("event_id").isNotNull()
-        & F.col("entity_id").isNotNull()
-        & F.col("event_type").isin(list(types))
-        & F.col("emitted_at").isNotNull()
-    )
-    return F.coalesce(cond, F.lit(False))
-
-
-def parse_events(
-    bronze: DataFrame, types: Sequence[str], payload: StructType = EVENT_SCHEMA,
-) -> DataFrame:
-    """Typed columns, latency and validity; the payload stays for the quarantine.
+        return broker_stream(spark, servers, topic), "kafka"
+    if location:
+        return text_stream(spark, location), "file"
+    raise ValueError("name a file location: the broker's connector is not on the class path")
+
+
+def stamped(events: DataFrame, source: str, run_id: str) -> DataFrame:
+    """When, from where and by which run the events came in."""
+    return events.select("*", F.current_timestamp().alias("_ingestion_timestamp"),
+                         F.current_date().alias("_ingestion_date"), F.lit(source).alias("_stream_source"),
+                         F.lit(run_id).alias("_run_id"))
 
-    Malformed text or an unreadable time gives nulls and an invalid event
-    instead of failing the query (D8).
+
+def decode(tier: DataFrame, form: EventFormat) -> DataFrame:
+    """Payload fields with their types, beside latency, validity and the tier's own columns.
+
+    Malformed text and unreadable times give nulls, hence an invalid event, and
+    do not fail the query (D8). The payload itself stays for the quarantine (D11).
     """
-    technical = [c for c in bronze.columns if c not in ("_key", "_topic")]
-    parsed = bronze.withColumn("data", F.from_json("_payload", payload))
-    return (
-        parsed.select("data.*", *technical)
-        .withColumn("emitted_at", F.try_to_timestamp("emitted_at"))
-        .withColumn("latency_s",
-                    F.unix_timestamp("_received_at") - F.unix_timestamp("emitted_at"))
-        .withColumn("group_code", canonical_code(F.col("group_code")))
-        .withColumn("valid", event_is_valid(types))
-    )
+    data = F.from_json("_payload", form.payload)
+    fields = {name: data[name] for name in form.payload.fieldNames()}
+    fields[form.time] = F.try_to_timestamp(data[form.time])
+    fields |= {name: canonical_code(data[name]) for name in form.codes}
+    out = tier.select(*[value.alias(name) for name, value in fields.items()],
+                      *[c for c in tier.columns if c not in ("_key", "_topic")])
+    latency = F.unix_timestamp("_received_at") - F.unix_timestamp(form.time)
+    return out.select("*", latency.alias("latency_s"), form.valid().alias("valid"))
 
 
-def valid_events(parsed: DataFrame) -> DataFrame:
-    """Events that go on."""
-    return parsed.where("valid").drop("valid")
+def accepted(decoded: DataFrame) -> DataFrame:
+    """Valid events."""
+    return decoded.where("valid").drop("valid")
 
 
-def invalid_events(parsed: DataFrame) -> DataFrame:
-    """Events for the quarantine, taken before deduplication so that
-    several events without an id are all kept (D10)."""
-    return parsed.where("NOT valid")
+def rejected(decoded: DataFrame) -> DataFrame:
+    """Invalid events, before deduplication, so that several without a key stay."""
+    return decoded.where("not valid")
 
 
-def dedup_events(
-    events: DataFrame, key: str = "event_id", ts: str = "emitted_at", delay: str = "10 minutes",
-) -> DataFrame:
-    """At-least-once delivery becomes once; an id's state is dropped when
-    the watermark passes it (D9)."""
-    return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+def once(events: DataFrame, form: EventFormat, delay: str = "10 minutes") -> DataFrame:
+    """An event that is delivered again is dropped; a key is forgotten once the
+    watermark has passed it (D9)."""
+    return events.withWatermark(form.time, delay).dropDuplicatesWithinWatermark([form.key])
 
 
 def window_metrics(
-    events: DataFrame, measurement: str, cutoff: float, ts: str = "emitted_at",
-    size: str = "5 minutes", delay: str = "10 minutes", keys: Sequence[str] = ("group_code",),
-    deduplicate: bool = False,
+    events: DataFrame, form: EventFormat, keys: Sequence[str], measures: Sequence[Column],
+    size: str = "5 minutes", delay: str = "10 minutes", deduplicate: bool = False,
 ) -> DataFrame:
-    """Tumbling windows by group over valid events.
+    """The caller's measures per tumbling window and keys.
 
-    Feed it the deduplicated tier, or set ``deduplicate`` to count a redelivered
-    event once inside the same query (D12).
+    ``deduplicate`` counts an event that is delivered again once, inside the same
+    query; without it feed the deduplicated tier (D12).
     """
-    if deduplicate:
-        events = events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["event_id"])
-    else:
-        events = events.withWatermark(ts, delay)
-    measured = F.col("event_type") == measurement
-    passed = F.when(measured, (F.col("score") >= cutoff).cast("int"))
-    return (
-        events.groupBy(F.window(ts, size).alias("w"), *keys)
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.count_if(measured).alias("measurements"),
-            F.round(F.avg("indicator"), 2).alias("indicator_mean"),
-            F.round(F.avg(passed) * 100, 1).alias("passed_pct"),
-            F.round(F.avg("latency_s"), 2).alias("latency_mean_s"),
-            F.max("latency_s").alias("latency_max_s"),
-            F.approx_count_distinct("entity_id").alias("entities"),
-        )
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                *keys, "events", "measurements", "indicator_mean", "passed_pct",
-                "latency_mean_s", "latency_max_s", "entities")
-    )
+    timed = once(events, form, delay) if deduplicate else events.withWatermark(form.time, delay)
+    window = F.window(form.time, size)
+    return timed.groupBy(window.alias("_w"), *keys).agg(*measures).select(
+        F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "*").drop("_w")

@@ -6,7 +6,7 @@ import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from terrace.sources.tables import count_rows
@@ -17,6 +17,10 @@ class StreamFailure(RuntimeError):
     """A streaming query ended with an error."""
 
 
+class StreamTimeout(RuntimeError):
+    """Streaming queries were not finished in time; their sinks are incomplete."""
+
+
 def run_to_table(
     stream: DataFrame, location: str, checkpoint: str, partition_by: Sequence[str] = (),
     trigger: str | None = "5 seconds", fmt: str = "parquet", name: str | None = None,
@@ -41,69 +45,91 @@ def run_to_table(
     return writer.start()
 
 
+def _watch(queries: Mapping[str, StreamingQuery], poll_s: float) -> list[str]:
+    """Names still running; raises the cause of the first failure."""
+    # activity is read first: a query that fails after this is seen as running and looked at again
+    running = [name for name, query in queries.items() if query.isActive]
+    for name, query in queries.items():
+        cause = query.exception()
+        if cause is not None:
+            raise StreamFailure(f"stream '{name}' ended: {cause}")
+    if running:
+        try:
+            queries[running[0]].awaitTermination(poll_s)
+        except StreamingQueryException:
+            pass  # named and raised by the next look
+    return running
+
+
+def _stop(queries: Mapping[str, StreamingQuery]) -> None:
+    for query in reversed(list(queries.values())):
+        query.stop()
+
+
 def supervise(
-    queries: Mapping[str, StreamingQuery], timeout_s: float, poll_s: float = 0.5,
+    queries: Mapping[str, StreamingQuery], timeout_s: float | None = None, poll_s: float = 0.5,
 ) -> None:
-    """Watch every query, raise the cause of a failure, stop all in reverse order."""
-    end = time.monotonic() + timeout_s
+    """Wait until every bounded query has ended by itself.
+
+    The cause of a failure is raised; so is a time-out, with the names of the
+    queries that are not finished. Queries still running then are stopped in
+    reverse order.
+    """
+    end = None if timeout_s is None else time.monotonic() + timeout_s
     try:
-        while time.monotonic() < end:
-            for name, query in queries.items():
-                cause = query.exception()
-                if cause is not None:
-                    raise StreamFailure(f"stream '{name}' ended: {cause}")
-            running = [q for q in queries.values() if q.isActive]
-            if not running:
-                return
-            try:
-                running[0].awaitTermination(poll_s)
-            except StreamingQueryException:
-                continue  # named and raised by the next look at the queries
+        while running := _watch(queries, poll_s):
+            if end is not None and time.monotonic() >= end:
+                raise StreamTimeout(f"not finished after {timeout_s} s: {', '.join(running)}")
     finally:
-        for query in reversed(list(queries.values())):
-            query.stop()
+        _stop(queries)
+
+
+def observe(queries: Mapping[str, StreamingQuery], seconds: float, poll_s: float = 0.5) -> None:
+    """Let continuous queries run for a while, then stop them; a failure is raised."""
+    end = time.monotonic() + seconds
+    try:
+        while _watch(queries, poll_s) and time.monotonic() < end:
+            pass
+    finally:
+        _stop(queries)
 
 
 def progress_frame(
     spark: SparkSession, queries: Mapping[str, StreamingQuery], sinks: Mapping[str, str],
 ) -> DataFrame:
-    """What each query read and how fast, beside what its sink holds."""
+    """Batches so far, figures of the latest batches (Spark keeps a limited number of
+    reports), and what the sink holds."""
     rows = []
     for name, query in queries.items():
-        progress = query.recentProgress
-        n = len(progress)
-        took = sum(p["batchDuration"] for p in progress)
-        rate = sum(p["processedRowsPerSecond"] or 0.0 for p in progress)
+        latest = query.recentProgress
+        n = max(len(latest), 1)
         rows.append((
-            name, n, sum(p["numInputRows"] for p in progress), count_rows(spark, sinks[name]),
-            round(took / n, 1) if n else 0.0, round(rate / n, 1) if n else 0.0))
+            name, latest[-1]["batchId"] + 1 if latest else 0, len(latest),
+            sum(p["numInputRows"] for p in latest), count_rows(spark, sinks[name]),
+            round(sum(p["batchDuration"] for p in latest) / n, 1),
+            round(sum(p["processedRowsPerSecond"] or 0.0 for p in latest) / n, 1)))
     return spark.createDataFrame(
-        rows, "query string, batches long, rows_read long, rows_written long, "
-              "mean_batch_ms double, mean_rows_per_s double")
+        rows, "query string, batches long, recent_batches long, recent_rows_read long, rows_written long, "
+              "recent_batch_ms double, recent_rows_per_s double")
 
 
 def start_tiers(
-    bronze: DataFrame, root: str, types: Sequence[str], measurement: str, cutoff: float,
+    bronze: DataFrame, root: str, form: ev.EventFormat, keys: Sequence[str], measures: Sequence[Column],
     trigger: str | None = None, window_trigger: str | None = None, delay: str = "10 minutes",
 ) -> tuple[dict[str, StreamingQuery], dict[str, str]]:
-    """One query per tier, one stateful operator each, each with its own checkpoint."""
-    parsed = ev.parse_events(bronze, types)
-    valid = ev.valid_events(parsed)
-    frames = {
-        "bronze": (bronze, ["_ingestion_date"], trigger),
-        "silver": (ev.dedup_events(valid, delay=delay), [], trigger),
-        "quarantine": (ev.invalid_events(parsed), [], trigger),
-        "gold": (ev.window_metrics(valid, measurement, cutoff, delay=delay), [],
-                 window_trigger or trigger),
-    }
-    sinks = {
-        "bronze": f"{root}/bronze/event_stream",
-        "silver": f"{root}/silver/event_stream",
-        "quarantine": f"{root}/_quarantine/streaming/events",
-        "gold": f"{root}/gold/event_windows",
+    """One query per tier, each with its own checkpoint; windows count every event once."""
+    decoded = ev.decode(bronze, form)
+    good = ev.accepted(decoded)
+    windows = ev.window_metrics(good, form, keys, measures, delay=delay, deduplicate=True)
+    plan = {
+        "bronze": ("bronze/event_stream", bronze, ["_ingestion_date"], trigger),
+        "silver": ("silver/event_stream", ev.once(good, form, delay), [], trigger),
+        "quarantine": ("_quarantine/streaming/events", ev.rejected(decoded), [], trigger),
+        "gold": ("gold/event_windows", windows, [], window_trigger or trigger),
     }
+    sinks = {name: f"{root}/{folder}" for name, (folder, *_) in plan.items()}
     queries = {
-        name: run_to_table(df, sinks[name], f"{root}/_checkpoints/{name}", parts, trig)
-        for name, (df, parts, trig) in frames.items()
+        name: run_to_table(df, sinks[name], f"{root}/_checkpoints/{name}", parts, when)
+        for name, (_, df, parts, when) in plan.items()
     }
     return queries, sinks

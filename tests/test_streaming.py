@@ -7,163 +7,178 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.session import ROCKSDB
+from terrace.sources.schemas import schema
 from terrace.sources.tables import count_rows
 from terrace.streaming import events as ev
 from terrace.streaming import runs
 
-TYPES = ("NEW_MEASURE", "UPDATE")
+FORM = ev.EventFormat(
+    payload=schema(ref="string", topic="string", sensor="long", site="string", taken="string", level="double"),
+    key="ref", time="taken", required=("sensor",), allowed={"topic": ("reading", "reset")}, codes=("site",))
 
 
-def event(id_, at, kind="NEW_MEASURE", entity=1, group="ce", score=750.0, indicator=60.0):
-    return json.dumps({
-        "event_id": id_, "event_type": kind, "entity_id": entity, "group_code": group,
-        "reference_year": 2025, "emitted_at": at, "origin": "test", "indicator": indicator,
-        "score": score, "unknown_key": 1})
+def measures():
+    return [F.count(F.lit(1)).alias("n"), F.count_if(F.col("topic") == "reading").alias("readings"),
+            F.max("level").alias("peak"), F.approx_count_distinct("sensor").alias("sensors")]
 
 
-def at(clock):
-    return f"2026-03-01T{clock}Z"
+def line(ref, clock, **changes):
+    base = dict(ref=ref, topic="reading", sensor=4, site="north", taken=f"2025-05-05T{clock}Z", level=2.5, extra=[1])
+    return json.dumps(base | changes)
 
 
 FILES = [
-    [event("a", at("10:00:30")), event("a", at("10:00:30")), event("b", at("10:01:00"), score=700.0),
-     event("c", at("10:02:00"), kind="UPDATE", group=" CE "), "{not json",
-     event(None, at("10:02:00")), event(None, at("10:02:30"))],
-    [event("a", at("10:00:30")), event("d", at("10:30:00")), event("e", "yesterday"),
-     event("f", at("10:20:00"), kind="OTHER"), event("g", at("10:20:00"), kind=None)],
-    # the watermark is now 10:20; "h" moves it past the end of the 10:30 window
-    [event("h", at("11:00:00"), group="ba")],
-    # lateness is judged by the watermark of the batch before: 10:20
-    [event("late", at("10:01:30"))],
+    [line("p", "08:00:10"), line("p", "08:00:10"), line("q", "08:03:00", level=9.0),
+     line("r", "08:04:59", topic="reset", site=" North ", sensor=5), "plain text", line(None, "08:01:00"),
+     line(None, "08:01:00")],
+    [line("p", "08:00:10"), line("s", "08:40:00"), line("t", "", taken="noon"), line("u", "08:39:00", topic="other"),
+     line("v", "08:39:00", topic=None), line("w", "08:39:00", sensor=None)],
+    # the watermark is 08:30 by now; "x" moves it past the window of "s"
+    [line("x", "09:30:00", site="south")],
+    # judged by the watermark of the batch before, 08:30
+    [line("y", "08:02:00")],
 ]
+N_LINES = sum(map(len, FILES))
 
 
 @pytest.fixture(scope="module")
 def landing(tmp_path_factory):
     folder = tmp_path_factory.mktemp("events")
     for i, lines in enumerate(FILES):
-        path = folder / f"part-{i}.json"
-        path.write_text("\n".join(lines) + "\n")
+        (folder / f"part-{i}.json").write_text("\n".join(lines) + "\n")
         time.sleep(1.1)  # files are taken in the order of their modification time
     return str(folder)
 
 
+def bronze_of(spark, landing, max_files=1):
+    return ev.stamped(ev.text_stream(spark, landing, max_files), "file", "run-1")
+
+
 @pytest.fixture(scope="module")
 def tiers(spark, landing, tmp_path_factory):
-    stream, source = ev.read_event_stream(spark, landing, max_files=1)
     root = str(tmp_path_factory.mktemp("lake"))
-    bronze = ev.bronze_events(stream, source, "run-1")
-    queries, sinks = runs.start_tiers(bronze, root, TYPES, "NEW_MEASURE", 743)
-    runs.supervise(queries, 240)
-    return queries, sinks, root
-
-
-def read(spark, sinks, name):
-    return spark.read.parquet(sinks[name])
-
-
-def test_bronze_keeps_every_line(spark, tiers):
-    df = read(spark, tiers[1], "bronze")
-    assert df.count() == sum(map(len, FILES))
-    assert {r._stream_source for r in df.select("_stream_source").distinct().collect()} == {"file"}
-    assert dict(df.dtypes)["_ingestion_date"] == "date"
+    queries, sinks = runs.start_tiers(bronze_of(spark, landing), root, FORM, ["site"], measures())
+    runs.supervise(queries)
+    return queries, sinks
 
 
-def test_silver_holds_each_valid_event_once(spark, tiers):
-    ids = sorted(r.event_id for r in read(spark, tiers[1], "silver").collect())
-    assert ids == ["a", "b", "c", "d", "h"]
+def test_tiers(spark, tiers):
+    read = {name: spark.read.parquet(path) for name, path in tiers[1].items()}
+    assert read["bronze"].count() == N_LINES and dict(read["bronze"].dtypes)["_ingestion_date"] == "date"
+    assert sorted(r.ref for r in read["silver"].collect()) == ["p", "q", "r", "s", "x"]
+    bad = read["quarantine"].collect()
+    # two without a key, plain text, unreadable time, two wrong topics, no sensor
+    assert len(bad) == 7 and any(r._payload == "plain text" for r in bad) and not any(r.valid for r in bad)
 
 
-def test_quarantine_keeps_every_invalid_event_with_its_payload(spark, tiers):
-    rows = read(spark, tiers[1], "quarantine").collect()
-    assert len(rows) == 6  # two without id, malformed, bad time, unknown and missing type
-    assert any(r._payload == "{not json" for r in rows)
-    assert all(not r.valid for r in rows)
-
-
-def test_gold_emits_closed_windows_only(spark, tiers):
-    rows = {(r.window_start.strftime("%H:%M"), r.group_code): r for r in
-            read(spark, tiers[1], "gold").collect()}
-    assert set(rows) == {("10:00", "CE"), ("10:30", "CE")}  # 11:00 is still open
-    first = rows["10:00", "CE"]
-    # all three deliveries of "a" count in a stream that was not deduplicated; "late" does not
-    assert (first.events, first.measurements, first.passed_pct) == (5, 4, 75.0)
-    assert first.window_end.strftime("%H:%M") == "10:05"
-    assert first.entities == 1
+def test_windows_are_closed_and_count_every_event_once(spark, tiers):
+    rows = {(f"{r.window_start:%H:%M}", r.site): r for r in spark.read.parquet(tiers[1]["gold"]).collect()}
+    assert set(rows) == {("08:00", "NORTH"), ("08:40", "NORTH")}  # 09:30 is open, "y" came too late
+    first = rows["08:00", "NORTH"]
+    assert (first.n, first.readings, first.peak, first.sensors) == (3, 2, 9.0, 2)
+    assert f"{first.window_end:%H:%M}" == "08:05"
 
 
 def test_progress(spark, tiers):
-    queries, sinks, _ = tiers
-    rows = {r["query"]: r for r in runs.progress_frame(spark, queries, sinks).collect()}
-    assert rows["bronze"].rows_read == rows["bronze"].rows_written == sum(map(len, FILES))
-    assert rows["bronze"].batches >= 4  # one file per trigger
-    assert rows["quarantine"].rows_written == 6
+    rows = {r["query"]: r for r in runs.progress_frame(spark, *tiers).collect()}
+    assert rows["bronze"].recent_rows_read == rows["bronze"].rows_written == N_LINES
+    assert rows["bronze"].batches >= len(FILES) and rows["quarantine"].rows_written == 7
 
 
-def test_windows_can_deduplicate(spark, landing, tmp_path):
-    stream, source = ev.read_event_stream(spark, landing, max_files=1)
-    valid = ev.valid_events(ev.parse_events(ev.bronze_events(stream, source, "r"), TYPES))
-    out = ev.window_metrics(valid, "NEW_MEASURE", 743, deduplicate=True)
-    q = runs.run_to_table(out, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
-    runs.supervise({"q": q}, 240)
-    rows = {(r.window_start.strftime("%H:%M"), r.group_code): r for r in
-            spark.read.parquet(f"{tmp_path}/out").collect()}
-    first = rows["10:00", "CE"]
-    assert (first.events, first.measurements, first.passed_pct) == (3, 2, 50.0)
+def test_batches_are_counted_beyond_the_kept_reports(spark, tmp_path):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        spark.range(40).repartition(8).write.parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        q = runs.run_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
+        runs.supervise({"q": q})
+        row = runs.progress_frame(spark, {"q": q}, {"q": f"{tmp_path}/out"}).first()
+        assert row.batches >= 8 > row.recent_batches and row.rows_written == 40
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_restart_adds_nothing(spark, landing, tmp_path):
     for _ in range(2):
-        stream, source = ev.read_event_stream(spark, landing)
-        q = runs.run_to_table(ev.bronze_events(stream, source, "r"), f"{tmp_path}/out",
-                              f"{tmp_path}/ck", ["_ingestion_date"], None)
-        runs.supervise({"q": q}, 240)
-    assert count_rows(spark, f"{tmp_path}/out") == sum(map(len, FILES))
+        q = runs.run_to_table(bronze_of(spark, landing, 4), f"{tmp_path}/out", f"{tmp_path}/ck", ["_ingestion_date"], None)
+        runs.supervise({"q": q})
+    assert count_rows(spark, f"{tmp_path}/out") == N_LINES
 
 
-def test_rocksdb_state(spark, landing, tmp_path):
+def test_state_on_disk(spark, landing, tmp_path):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, ROCKSDB)
     try:
-        stream, source = ev.read_event_stream(spark, landing)
-        valid = ev.valid_events(ev.parse_events(ev.bronze_events(stream, source, "r"), TYPES))
-        q = runs.run_to_table(ev.dedup_events(valid), f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
-        runs.supervise({"q": q}, 240)
-        assert count_rows(spark, f"{tmp_path}/out") >= 5
+        good = ev.accepted(ev.decode(bronze_of(spark, landing), FORM))
+        q = runs.run_to_table(ev.once(good, FORM), f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
+        runs.supervise({"q": q})
+        assert count_rows(spark, f"{tmp_path}/out") == 5
     finally:
         spark.conf.set(key, before)
 
 
-def test_failure_is_raised_with_its_cause(spark, landing, tmp_path):
-    stream, source = ev.read_event_stream(spark, landing)
-    broken = stream.select(F.raise_error(F.lit("broken on purpose")).cast("string").alias("x"))
+def test_a_time_out_names_what_is_not_finished(spark, landing, tmp_path):
+    q = runs.run_to_table(bronze_of(spark, landing), f"{tmp_path}/out", f"{tmp_path}/ck", trigger="1 hour")
+    with pytest.raises(runs.StreamTimeout, match="slow"):
+        runs.supervise({"slow": q}, timeout_s=2)
+    assert not q.isActive
+    q = runs.run_to_table(bronze_of(spark, landing), f"{tmp_path}/out", f"{tmp_path}/ck", trigger="1 second")
+    runs.observe({"demo": q}, 3)
+    assert not q.isActive
+
+
+class Ends:
+    """A query that is seen active once and fails right after."""
+
+    def __init__(self):
+        self.looks = 0
+
+    @property
+    def isActive(self):  # noqa: N802
+        self.looks += 1
+        return self.looks == 1
+
+    def exception(self):
+        return "late" if self.looks > 1 else None
+
+    def awaitTermination(self, _):  # noqa: N802
+        return None
+
+    def stop(self):
+        return None
+
+
+def test_failures_are_raised_with_their_cause(spark, landing, tmp_path):
+    broken = bronze_of(spark, landing).select(F.raise_error(F.lit("on purpose")).cast("string").alias("x"))
     q = runs.run_to_table(broken, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
     with pytest.raises(runs.StreamFailure, match="stream 'q'"):
         runs.supervise({"q": q}, 60)
+    with pytest.raises(runs.StreamFailure, match="late"):
+        runs.supervise({"late": Ends()}, 60)
 
 
-def test_parse_on_a_batch(spark):
-    lines = [event("x", "2026-03-01T07:00:00-03:00", group=" ce "), event("y", at("10:00:00"), kind="?")]
-    df = spark.createDataFrame([(s,) for s in lines], "value string")
-    bronze = ev.bronze_events(ev.file_envelope(df), "file", "r")
-    rows = {r.event_id: r for r in ev.parse_events(bronze, TYPES).collect()}
-    assert rows["x"].group_code == "CE" and rows["x"].valid and not rows["y"].valid
-    assert rows["x"].emitted_at.isoformat().startswith("2026-03-01")
-    assert isinstance(rows["x"].latency_s, int)
+def test_decode_on_a_batch(spark):
+    lines = [line("a", "", taken="2025-05-05T07:00:00-03:00", site=" ce "), line("b", "10:00:00", topic="?"), "", None]
+    bronze = ev.stamped(ev.text_envelope(spark.createDataFrame([(s,) for s in lines], "value string")), "file", "r")
+    rows = ev.decode(bronze, FORM).collect()
+    assert len(rows) == 4 and [r.ref for r in rows if r.valid] == ["a"]
+    a = next(r for r in rows if r.ref == "a")
+    assert a.site == "CE" and f"{a.taken:%H:%M}" == "10:00" and isinstance(a.latency_s, int)
 
 
-def test_kafka_options_and_envelope(spark):
-    options = ev.kafka_options("h:9092", "t")
+def test_envelope_and_broker_options(spark):
+    options = ev.broker_options("h:9092", "t")
     assert options["maxOffsetsPerTrigger"] == "5000" and options["failOnDataLoss"] == "false"
-    df = spark.createDataFrame(
-        [(b"k", b"{}", "t", 3, 9, None)], ev.KAFKA_SCHEMA)
-    row = ev.kafka_envelope(df).head()
-    assert (row._key, row._payload, row._topic, row._partition, row._offset) == ("k", "{}", "t", 3, 9)
+    row = ev.envelope(spark.createDataFrame([(b"k", b"{}", "t", 3, 9, None)], ev.RECORD)).head()
+    assert (row._key, row._payload, row._topic, row._partition, row._offset, row._received_at) == (
+        "k", "{}", "t", 3, 9, None)
 
 
 def test_source_falls_back_to_files(spark, landing):
-    stream, source = ev.read_event_stream(spark, landing, servers="h:9092", topic="t")
+    stream, source = ev.open_source(spark, landing, servers="h:9092", topic="t")
     assert source == "file" and stream.isStreaming
     with pytest.raises(ValueError):
-        ev.read_event_stream(spark, servers="h:9092", topic="t")
+        ev.open_source(spark, servers="h:9092", topic="t")
