@@ -146,21 +146,17 @@ def pseudonym(*parts: Column, length: int = 16) -> Column:
     return F.substring(F.sha2(F.concat_ws("-", *[p.cast("string") for p in parts]), 256), 1, length)
 
 
-def exact_sum(col: Column, scale: int = 2) -> Column:
-    """Sum through decimals: the same bits whatever the partitioning or the retries."""
-    return _decimal_sum(col, scale).cast("double")
+def round_at(col: Column, digits: int) -> Column:
+    """Round half away from zero; the last bits of a double do not decide a tie.
 
-
-def exact_mean(col: Column, scale: int = 2) -> Column:
-    """Mean through a decimal sum and division, so that ties round as written; null for
-    an empty group."""
-    return exact_ratio(_decimal_sum(col, scale), F.count(col).cast("decimal(20,0)"))
-
-
-def exact_ratio(part: Column, whole: Column) -> Column:
-    """Quotient of two decimals as double, null for a zero divisor."""
-    return F.try_divide(part, whole).cast("double")
+    Means are doubles whose last bits depend on the order of their terms. A ten
+    millionth of the last digit, added before rounding, lifts every decimal tie
+    to the same side.
+    """
+    nudge = 1e-7 / 10**digits
+    return F.round(col + F.when(col < 0, -nudge).otherwise(nudge), digits)
 
 
-def _decimal_sum(col: Column, scale: int) -> Column:
-    return F.sum(col.cast(f"decimal(18,{scale})"))
+def mean_at(col: Column, digits: int) -> Column:
+    """Mean of the values as they are, rounded; null for an empty group."""
+    return round_at(F.avg(col), digits)

@@ -1,155 +1,110 @@
-"""Analytical products over a fact and a dimension.
+"""Parts of analytical products (G08-G13): totals, reconciliation, change, tiles and lags.
 
-Column names used by all of them: ``yr`` (period), ``entity_id``, ``group_id``,
-``group_name``, ``region``, ``assessed`` and ``successes`` (volumes),
-``indicator`` and ``target`` (percentages), ``context`` (index of the entity).
+The operators take the names of the columns they work on; which columns make a
+product is declared by its plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as c
-from terrace.operators.enrich import enrich, prefer_published
-from terrace.operators.ranking import SPLIT_ABOVE, ntile_of, rank_extremes, rank_within
+from terrace.operators.ranking import SPLIT_ABOVE, ntile_of, rank_within
 from terrace.sources.staging import stage
 
-# Band edges and labels of the indicator.
-BAND_EDGES = (40, 60, 80)
-BAND_LABELS = ("CRITICAL", "ATTENTION", "ADEQUATE", "ADVANCED")
-QUARTILE_LABELS = {1: "1 - lowest", 2: "2 - lower middle", 3: "3 - upper middle"}
 
-# Values of the same period that are arithmetic of the label.
-BANNED_FEATURES = ("successes", "assessed", "group_indicator", "gap", "shortfall")
+def totals(
+    df: DataFrame, keys: Sequence[str], sums: Sequence[str] = (),
+    means: Mapping[str, tuple[str, int]] | None = None, medians: Mapping[str, tuple[str, int]] | None = None,
+    counts: Mapping[str, Column] | None = None, distinct: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """One row per key with sums, rounded means and medians, counts of conditions and
+    numbers of different values. Medians are exact and discrete; their state grows with the
+    different values of a group, not with its rows."""
+    parts = [F.count_if(cond).alias(name) for name, cond in (counts or {}).items()]
+    parts += [F.sum(name).alias(name) for name in sums]
+    parts += [c.mean_at(F.col(col), digits).alias(name) for name, (col, digits) in (means or {}).items()]
+    parts += [F.round(F.expr(f"percentile_disc(0.5) within group (order by `{col}`)"), digits).alias(name)
+              for name, (col, digits) in (medians or {}).items()]
+    parts += [F.count_distinct(col).alias(name) for name, col in (distinct or {}).items()]
+    return df.groupBy(*keys).agg(*parts)
+
+
+def reconciled(
+    df: DataFrame, part: str, whole: str, published: str, target: str, value: str = "indicator",
+) -> DataFrame:
+    """The share computed from volumes beside the published one.
 
-DIM_COLUMNS = ("entity_name", "group_id", "group_name", "region", "context", "size_class",
-               "context_available")
+    ``computed`` is the share in percent, ``value`` the published figure or else
+    the computed one, ``gap`` its distance to the target.
+    """
+    share = c.pct(F.col(part), F.col(whole))
+    best = c.prefer(F.col(published), share)
+    return df.select("*", share.alias("computed"), best.alias(value), c.gap(best, F.col(target)).alias("gap"))
 
 
-def entity_facts(fact: DataFrame, dim: DataFrame, tolerance: float = 0.5) -> DataFrame:
-    """G08 without ranks: fact joined to its dimension with status, band and shortfall."""
-    base = enrich(fact, dim, "entity_id", DIM_COLUMNS, how="inner")
-    return base.withColumns({
-        "status": c.target_status(F.col("indicator"), F.col("target"), tolerance),
-        "band": c.band(F.col("indicator"), BAND_EDGES, BAND_LABELS, null_is_last=True),
-        "shortfall": F.col("assessed") - F.col("successes"),
-    })
+def change_on_previous(df: DataFrame, value: str, order: str, name: str = "change") -> DataFrame:
+    """Difference to the row before, for a table of one row per period; its window is
+    as long as the calendar."""
+    before = F.lag(value).over(Window.orderBy(order))
+    return df.withColumn(name, c.gap(F.col(value), before))
 
 
-def ranked_view(facts: DataFrame, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """The ranks over all entities of a year and inside the group."""
-    base = stage(facts, "entity-facts")
-    ranked = rank_within(base, ["yr"], "indicator", "entity_id", "rank_all",
-                         split_above=split_above)
-    return rank_within(ranked, ["yr", "group_id"], "indicator", "entity_id", "rank_group",
-                       split_above=split_above)
+def ranked_twice(
+    df: DataFrame, outer: Sequence[str], inner: Sequence[str], order: str, unique: str,
+    names: tuple[str, str] = ("rank_all", "rank_group"), split_above: int = SPLIT_ABOVE,
+) -> DataFrame:
+    """Descending ranks in two partitionings; both read a stored table."""
+    once = rank_within(stage(df, "to-rank"), list(outer), order, unique, names[0], split_above=split_above)
+    return rank_within(stage(once, "ranked"), list(inner), order, unique, names[1], split_above=split_above)
 
 
-def entity_view(
-    fact: DataFrame, dim: DataFrame, tolerance: float = 0.5, split_above: int = SPLIT_ABOVE,
+def tiled(
+    df: DataFrame, within: Sequence[str], order: str, unique: str, tiles: int, name: str,
+    labels: Mapping[int, str] | None = None, last_label: str | None = None, split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
-    """Entity facts with both ranks."""
-    return ranked_view(entity_facts(fact, dim, tolerance), split_above)
+    """Rows with a known ``order`` value and their quantile group, ascending, with its label."""
+    known = df.where(F.col(order).isNotNull())
+    ranked = rank_within(known, list(within), order, unique, "__rank", descending=False, size_name="__n",
+                         split_above=split_above)
+    out = ranked.withColumn(name, ntile_of(F.col("__rank"), F.col("__n"), tiles)).drop("__rank", "__n")
+    if labels is None:
+        return out
+    return out.withColumn(f"{name}_label", c.label_by(F.col(name), labels, default=last_label))
 
 
-def target_vs_actual(view: DataFrame, published: DataFrame, tolerance: float = 0.5) -> DataFrame:
-    """Group totals beside the published value, with divergence, gap and status.
+def lags(
+    df: DataFrame, entity: str, period: str, wanted: Mapping[str, tuple[str, int]],
+    changes: Mapping[str, tuple[str, str]] | None = None, gap_aware: bool = False,
+) -> DataFrame:
+    """Earlier values of an entity's columns, and differences between such values.
 
-    ``published`` holds (yr, group_id, published, target) and may lack a group.
+    ``wanted`` maps a new name to (column, rows back). An entity has one row per
+    period, so its window is as long as the calendar. Lags count rows;
+    ``gap_aware`` nulls a value that is not exactly so many periods back (D14).
     """
-    totals = view.groupBy("yr", "group_id", "group_name", "region").agg(
-        F.sum("assessed").alias("assessed"),
-        F.sum("successes").alias("successes"),
-        F.count(F.lit(1)).alias("entities"),
-        F.count_if(F.col("status") == "BELOW").alias("entities_below"),
-        F.round(c.exact_mean(F.col("context")), 3).alias("context_mean"),
-    )
-    joined = prefer_published(totals, published, ["yr", "group_id"])
-    computed = c.pct(F.col("successes"), F.col("assessed"))
-    return (
-        joined.withColumn("computed", computed)
-        .withColumn("divergence", c.gap(F.col("computed"), F.col("published"), 2))
-        .withColumn("indicator", c.prefer(F.col("published"), F.col("computed")))
-        .withColumn("gap", c.gap(F.col("indicator"), F.col("target")))
-        .withColumn("status", c.gap_status(F.col("gap"), tolerance))
-    )
-
-
-def time_evolution(national: DataFrame, view: DataFrame, goal: float = 80.0) -> DataFrame:
-    """One row per year of ``national`` (yr, target, published), also years
-    without actuals, with the change on the previous year."""
-    totals = view.groupBy("yr").agg(
-        F.sum("assessed").alias("assessed"),
-        F.sum("successes").alias("successes"),
-        F.count_distinct("entity_id").alias("entities"),
-    )
-    # one row per year: the single-partition window is bounded by the calendar
-    previous = F.lag("indicator").over(Window.orderBy("yr"))
-    return (
-        national.join(totals, "yr", "left")
-        .withColumn("computed", c.pct(F.col("successes"), F.col("assessed")))
-        .withColumn("indicator", c.prefer(F.col("published"), F.col("computed")))
-        .withColumn("change", c.gap(F.col("indicator"), previous))
-        .withColumn("gap", c.gap(F.col("indicator"), F.col("target")))
-        .withColumn("distance_to_goal", c.gap(F.lit(float(goal)), F.col("indicator")))
-    )
-
-
-def inequality_panel(view: DataFrame, tiles: int = 4, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """Region by context quartile of the year; entities without context stay out."""
-    known = view.where(F.col("context").isNotNull())
-    ranked = rank_within(known, ["yr"], "context", "entity_id", "__rank", descending=False,
-                         size_name="__n", split_above=split_above)
-    quartile = ntile_of(F.col("__rank"), F.col("__n"), tiles)
-    return (
-        ranked.withColumn("quartile", quartile)
-        .groupBy("yr", "region", "quartile")
-        .agg(
-            F.count(F.lit(1)).alias("entities"),
-            F.round(c.exact_mean(F.col("indicator")), 1).alias("indicator_mean"),
-            F.round(F.percentile_approx("indicator", 0.5), 1).alias("indicator_median"),
-            F.round(c.exact_mean(F.col("context")), 3).alias("context_mean"),
-            F.sum("assessed").alias("assessed"),
-            F.sum("shortfall").alias("shortfall"),
-        )
-        .withColumn("quartile_label",
-                    c.label_by(F.col("quartile"), QUARTILE_LABELS, default="4 - highest"))
-    )
-
-
-def ranking_product(view: DataFrame, k: int = 100) -> DataFrame:
-    """Best and worst ``k`` entities of every year."""
-    return rank_extremes(view, k).select(
-        "yr", "side", "rank_all", "rank_group", "entity_id", "entity_name", "group_name",
-        "region", "indicator", "target", "gap", "status", "assessed", "context", "size_class")
-
-
-def lag_features(
-    view: DataFrame, context: Sequence[str] = ("context", "size_class"),
-    banned: Sequence[str] = BANNED_FEATURES, gap_aware: bool = False,
-) -> DataFrame:
-    """Label and features known before the year of the label.
+    w = Window.partitionBy(entity).orderBy(period)
+
+    def back(column: str, n: int) -> Column:
+        value = F.lag(column, n).over(w)
+        return F.when(F.lag(period, n).over(w) == F.col(period) - n, value) if gap_aware else value
+
+    values = {name: back(*spec) for name, spec in wanted.items()}
+    moved = {name: c.gap(values[a], values[b]) for name, (a, b) in (changes or {}).items()}
+    return df.select("*", *[v.alias(n) for n, v in (values | moved).items()])
+
+
+def known_with(label: str, derived: Mapping[str, Sequence[str]]) -> set[str]:
+    """Columns that tell the label of the same period.
 
-    An entity has one row per year, so its window is bounded by the calendar.
-    Lags are positional; ``gap_aware`` nulls a lag that is not exactly one (two)
-    years back (D14).
+    These are the label's inputs, what is derived from the label, and what
+    shares all its inputs with it, under the declared derivations.
     """
-    w = Window.partitionBy("entity_id").orderBy("yr")
-
-    def lagged(name: str, n: int):
-        value = F.lag(name, n).over(w)
-        return F.when(F.lag("yr", n).over(w) == F.col("yr") - n, value) if gap_aware else value
-
-    out = view.select(
-        "yr", "entity_id", "entity_name", "group_name", "region",
-        F.col("indicator").alias("label"),
-        lagged("indicator", 1).alias("indicator_lag1"),
-        lagged("assessed", 1).alias("assessed_lag1"),
-        c.gap(lagged("indicator", 1), lagged("indicator", 2)).alias("change_lag1"),
-        F.col("target").alias("agreed_target"),
-        *context,
-    )
-    return c.refuse_columns(out, banned)
+    told = {label, *derived.get(label, ())}
+    while more := {name for name, inputs in derived.items() if name not in told and (
+            label in inputs or set(inputs) <= told - {label})}:
+        told |= more
+    return told - {label}

@@ -7,15 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions.columns import exact_mean, exact_ratio
+from terrace.functions.columns import mean_at, round_at
 from terrace.operators.ranking import exact_quantiles
 
 
-def weighted_mean(value: Column, weight: Column, digits: int = 1, scale: int = 4) -> Column:
-    """Sum of value times weight over sum of weight, through decimals."""
-    exact = f"decimal(18,{scale})"
-    return F.round(
-        exact_ratio(F.sum((value * weight).cast(exact)), F.sum(weight.cast(exact))), digits)
+def weighted_mean(value: Column, weight: Column, digits: int = 1) -> Column:
+    """Sum of value times weight over sum of weight; null for no weight."""
+    return round_at(F.try_divide(F.sum(value * weight), F.sum(weight)), digits)
 
 
 def value_counts(df: DataFrame, *columns: str, name: str = "n") -> DataFrame:
@@ -32,8 +30,8 @@ def critical_summary(
         F.count_if(condition).alias("critical_rows"),
         F.coalesce(F.sum(F.when(condition, F.col(total))), F.lit(0)).cast("long")
         .alias(f"critical_{total}"),
-        F.round(exact_mean(F.when(condition, F.col(mean))), 3).alias(f"critical_mean_{mean}"),
-        F.round(exact_mean(F.col(mean)), 3).alias(f"mean_{mean}"),
+        mean_at(F.when(condition, F.col(mean)), 3).alias(f"critical_mean_{mean}"),
+        mean_at(F.col(mean), 3).alias(f"mean_{mean}"),
     )
 
 
@@ -46,7 +44,7 @@ def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFram
     x = F.col("x")
     stats = long.groupBy("column").agg(
         F.count(x).alias("n"),
-        F.round(exact_mean(x), digits).alias("mean"),
+        mean_at(x, digits).alias("mean"),
         F.round(F.stddev_samp(x), digits).alias("std"),
         F.round(F.min(x), digits).alias("min"),
         F.round(F.max(x), digits).alias("max"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as c
-from terrace.operators import dedup, products, profile
+from terrace.operators import dedup, profile
 from terrace.operators.regression import what_if
 from terrace.plans import retail
-from terrace.plans.registry import half_up, mean, query, with_model
+from terrace.plans import retail_products as products
+from terrace.plans.registry import half_up, query, with_model
 from terrace.plans.retail import table
 from terrace.sources.staging import stage
 
@@ -55,7 +56,7 @@ tva as (
   select yr, group_id, group_name, region, cast(sum(assessed) as bigint) as assessed,
          cast(sum(successes) as bigint) as successes, count(*) as entities,
          count(*) filter (where status = 'BELOW') as entities_below,
-         {half_up(mean('context'), 3)} as context_mean
+         {half_up('avg(context)', 3)} as context_mean
   from view0 group by 1, 2, 3, 4),
 tvb as (
   select tva.*, g.published, tgt.target,
@@ -106,7 +107,7 @@ def national_evolution(spark, sf_dir):
     """G10, A06, A10, J05, P24, P26, W04."""
     base, groups, _ = facts(spark, sf_dir)
     national = retail.national_fact(groups).select("yr", "target", "published")
-    return products.time_evolution(national, base, retail.GOAL)
+    return products.national_evolution(national, base, retail.GOAL)
 
 
 _PANEL = f"""
@@ -115,9 +116,9 @@ tiles as (
   from view0 where context is not null),
 panel as (
   select yr, region, cast(quartile as integer) as quartile, count(*) as entities,
-         {half_up(mean('indicator'), 1)} as indicator_mean,
+         {half_up('avg(indicator)', 1)} as indicator_mean,
          {half_up('quantile_disc(indicator, 0.5)', 1)} as indicator_median,
-         {half_up(mean('context'), 3)} as context_mean,
+         {half_up('avg(context)', 3)} as context_mean,
          cast(sum(assessed) as bigint) as assessed, cast(sum(shortfall) as bigint) as shortfall,
          case quartile when 1 then '1 - lowest' when 2 then '2 - lower middle'
               when 3 then '3 - upper middle' else '4 - highest' end as quartile_label
@@ -144,7 +145,7 @@ def inequality_panel(spark, sf_dir):
     where rank_all <= 100 or rank_all > n - 100"""))
 def ranking_extremes(spark, sf_dir):
     """G12, J06, P29, T01, W08."""
-    return products.ranking_product(stage(view(spark, sf_dir), "entity-view"))
+    return products.ranking(stage(view(spark, sf_dir), "entity-view"))
 
 
 @query("leakage_safe_features", with_model(f"""
@@ -155,7 +156,7 @@ def ranking_extremes(spark, sf_dir):
     from view0 window w as (partition by entity_id order by yr)"""))
 def leakage_safe_features(spark, sf_dir):
     """G13, P34, W05, W06."""
-    return products.lag_features(facts(spark, sf_dir)[0])
+    return products.features(facts(spark, sf_dir)[0])
 
 
 @query("gap_aware_features", with_model(f"""
@@ -169,7 +170,7 @@ def leakage_safe_features(spark, sf_dir):
     from view0 window w as (partition by entity_id order by yr)"""))
 def gap_aware_features(spark, sf_dir):
     """G13 with calendar-aware lags."""
-    return products.lag_features(facts(spark, sf_dir)[0], gap_aware=True)
+    return products.features(facts(spark, sf_dir)[0], gap_aware=True)
 
 
 @query("top_orders", """
@@ -211,7 +212,7 @@ def top_groups(spark, sf_dir):
 
 @query("weighted_mean_panel", with_model(f"""
     select yr, quartile_label,
-           {half_up('cast(sum(cast(indicator_mean * entities as decimal(18,4))) as double) / cast(sum(cast(entities as decimal(18,4))) as double)')}
+           {half_up('sum(indicator_mean * entities) / sum(entities)')}
              as indicator_mean,
            cast(sum(entities) as bigint) as entities, cast(sum(shortfall) as bigint) as shortfall
     from panel group by 1, 2""", _PANEL))
@@ -226,7 +227,7 @@ def weighted_mean_panel(spark, sf_dir):
     select yr, lowest, highest, {half_up('highest - lowest')} as spread from (
       select yr, min_by(m, quartile_label) as lowest, max_by(m, quartile_label) as highest
       from (select yr, quartile_label,
-                   {half_up('cast(sum(cast(indicator_mean * entities as decimal(18,4))) as double) / cast(sum(cast(entities as decimal(18,4))) as double)')} as m
+                   {half_up('sum(indicator_mean * entities) / sum(entities)')} as m
             from panel group by 1, 2) group by 1)""", _PANEL))
 def quartile_spread(spark, sf_dir):
     """A21."""
@@ -244,8 +245,8 @@ def value_counts(spark, sf_dir):
     select yr, count(*) filter (where indicator < 40) as critical_rows,
            coalesce(cast(sum(shortfall) filter (where indicator < 40) as bigint), 0)
              as critical_shortfall,
-           {half_up(mean('case when indicator < 40 then context end'), 3)} as critical_mean_context,
-           {half_up(mean('context'), 3)} as mean_context
+           {half_up('avg(case when indicator < 40 then context end)', 3)} as critical_mean_context,
+           {half_up('avg(context)', 3)} as mean_context
     from view0 group by 1"""))
 def critical_summary(spark, sf_dir):
     """A16."""
@@ -254,7 +255,7 @@ def critical_summary(spark, sf_dir):
 
 
 @query("describe", " union all ".join(f"""
-    select '{col}' as "column", count({col}) as n, {half_up(mean(col), 2)} as mean,
+    select '{col}' as "column", count({col}) as n, {half_up(f'avg({col})', 2)} as mean,
            {half_up(f'stddev_samp({col})', 2)} as std, {half_up(f'min({col})', 2)} as min,
            {half_up(f'quantile_cont({col}, 0.25)', 2)} as p25,
            {half_up(f'quantile_cont({col}, 0.5)', 2)} as p50,

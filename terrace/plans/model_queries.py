@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrace.operators import products, regression
+from terrace.operators import regression
+from terrace.plans import retail_products as products
 from terrace.plans.gold_queries import facts
 from terrace.plans.registry import query, with_model
 from terrace.sources.staging import stage
@@ -15,7 +16,7 @@ TREES = 20
 
 
 def split(spark, sf_dir):
-    features = stage(products.lag_features(facts(spark, sf_dir)[0]), "features")
+    features = stage(products.features(facts(spark, sf_dir)[0]), "features")
     return regression.temporal_split(features, "label", FEATURES, TRAIN_YEAR, TEST_YEAR)
 
 
@@ -65,7 +66,7 @@ pr as (select label as y, my + wa * (indicator_lag1 - ma) + wb * (context - mb)
 @query("ridge", with_model(_metrics_sql("y", "p", "pr"), _FEATURES_SQL + "," + _RIDGE))
 def ridge(spark, sf_dir):
     """Ridge on the lag and the context, trained a year before the test."""
-    features = stage(products.lag_features(facts(spark, sf_dir)[0]), "features")
+    features = stage(products.features(facts(spark, sf_dir)[0]), "features")
     columns = ["indicator_lag1", "context"]
     train, test = regression.temporal_split(features, "label", columns, TRAIN_YEAR, TEST_YEAR)
     model = regression.fit_ridge(train, "label", columns)

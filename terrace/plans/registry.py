@@ -36,11 +36,6 @@ def half_up(x: str, digits: int = 1) -> str:
     return f"(sign({x}) * floor(abs({x}) * 1e{digits} + 0.5 + 1e-7) / 1e{digits} + 0.0)"
 
 
-def mean(x: str, scale: int = 2) -> str:
-    """SQL text of a mean through an exact decimal sum."""
-    return f"(cast(sum(cast({x} as decimal(18,{scale}))) as double) / count({x}))"
-
-
 # The canonical model in SQL; a query prefixes the parts it needs.
 MODEL = f"""
 nat as (

@@ -8,11 +8,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.operators import products
 from terrace.operators.contracts import load_contracts
 from terrace.operators.dedup import dedup_latest
 from terrace.operators.lineage import drop_technical
 from terrace.plans import retail
+from terrace.plans import retail_products as products
 from terrace.plans.layers import Lakehouse
 from terrace.sources.schemas import SCHEMAS
 
@@ -79,19 +79,19 @@ def run_silver(lake: Lakehouse) -> None:
 
 def run_gold(lake: Lakehouse, k: int = 100) -> None:
     """Silver to products; the entity view is stored once and feeds the others."""
-    view = products.entity_view(
-        lake.read("silver", "fact_indicator"), lake.read("silver", "dim_entity"))
+    view = products.ranked_view(products.entity_facts(
+        lake.read("silver", "fact_indicator"), lake.read("silver", "dim_entity")))
     view = lake.publish(view, "gold", "entity_view", partition_by=["yr"])
     view = view.withColumn("yr", view["yr"].cast("long"))
     published = lake.read("silver", "fact_group").select("yr", "group_id", "published", "target")
     national = lake.read("silver", "fact_national").select("yr", "target", "published")
     lake.together(
         lambda: lake.publish(products.target_vs_actual(view, published), "gold", "target_vs_actual"),
-        lambda: lake.publish(products.time_evolution(national, view, retail.GOAL), "gold",
+        lambda: lake.publish(products.national_evolution(national, view, retail.GOAL), "gold",
                              "national_evolution"),
         lambda: lake.publish(products.inequality_panel(view), "gold", "inequality_panel"),
-        lambda: lake.publish(products.ranking_product(view, k), "gold", "ranking"),
-        lambda: lake.publish(products.lag_features(view), "gold", "features"),
+        lambda: lake.publish(products.ranking(view, k), "gold", "ranking"),
+        lambda: lake.publish(products.features(view), "gold", "features"),
     )
 
 

@@ -113,7 +113,13 @@ def test_leakage_guard(spark):
     assert c.refuse_columns(df, ["gap"]) is df
 
 
-def test_exact_sum_does_not_depend_on_partitioning(spark):
+def test_rounding_does_not_depend_on_partitioning(spark):
     df = spark.range(5000).select((F.col("id") * 0.01 + 0.1).alias("x"))
-    seen = {df.repartition(n).agg(c.exact_sum(F.col("x"))).head()[0] for n in (1, 3, 7)}
+    seen = {df.repartition(n).agg(c.mean_at(F.col("x"), 3)).head()[0] for n in (1, 3, 7)}
     assert len(seen) == 1
+
+
+def test_ties_are_rounded_away_from_zero(spark):
+    values = {0.7845: 0.785, -0.7845: -0.785, 0.78449: 0.784, 2.0: 2.0, 1e17: 1e17}
+    for x, want in values.items():
+        assert one(spark, c.round_at(F.lit(x), 3)) == want

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import LeakageError
-from terrace.operators import products
+from terrace.operators import products as parts
+from terrace.plans import retail_products as products
 
 DIM = [
     (1, "Ana", 10, "N1", "R1", 0.9), (2, "Bia", 10, "N1", "R1", 0.1),
@@ -26,7 +27,7 @@ def view(spark):
         FACT, "yr long, entity_id long, assessed long, successes long, indicator double, "
               "target double")
     fact = fact.withColumn("gap", F.round(F.col("indicator") - F.col("target"), 1))
-    return products.entity_view(fact, dim).cache()
+    return products.ranked_view(products.entity_facts(fact, dim)).cache()
 
 
 def test_entity_view(view):
@@ -59,7 +60,7 @@ def test_time_evolution_keeps_future_years(spark, view):
     national = spark.createDataFrame(
         [(2023, 60.0, 64.0), (2024, 65.0, None), (2030, 80.0, None)],
         "yr long, target double, published double")
-    rows = {r.yr: r for r in products.time_evolution(national, view).collect()}
+    rows = {r.yr: r for r in products.national_evolution(national, view).collect()}
     assert rows[2023].entities == 4 and rows[2023].change is None
     assert rows[2024].computed == 80.0 and rows[2024].change == 16.0
     assert rows[2024].distance_to_goal == 0.0 and rows[2024].gap == 15.0
@@ -75,21 +76,39 @@ def test_panel_leaves_out_missing_context(view):
 
 
 def test_lag_features(view):
-    rows = {(r.yr, r.entity_id): r for r in products.lag_features(view).collect()}
+    rows = {(r.yr, r.entity_id): r for r in products.features(view).collect()}
     assert rows[2023, 1].indicator_lag1 is None
     assert rows[2024, 1].indicator_lag1 == 70.0 and rows[2024, 1].change_lag1 is None
     assert rows[2026, 1].indicator_lag1 == 80.0 and rows[2026, 1].change_lag1 == 10.0
-    aware = {(r.yr, r.entity_id): r for r in products.lag_features(view, gap_aware=True).collect()}
+    aware = {(r.yr, r.entity_id): r for r in products.features(view, gap_aware=True).collect()}
     assert aware[2026, 1].indicator_lag1 is None and aware[2024, 1].assessed_lag1 == 10
 
 
 def test_lag_features_refuse_leaks(view):
     with pytest.raises(LeakageError):
-        products.lag_features(view, context=["context", "assessed"])
+        products.features(view, context=["context", "assessed"])
 
 
 def test_ranking_product(view):
-    out = products.ranking_product(view, 1).collect()
+    out = products.ranking(view, 1).collect()
     assert {(r.yr, r.side, r.entity_id) for r in out} == {
         (2023, "BEST", 1), (2023, "WORST", 4), (2024, "BEST", 1), (2024, "WORST", 3),
         (2026, "BEST", 1)}
+
+
+def test_means_are_of_the_values_as_they_are(spark):
+    df = spark.createDataFrame([(1, 0.785), (1, 0.784), (1, 0.004), (2, 1e17), (2, 3e17), (3, None), (4, -0.25)], "k int, x double")
+    rows = {r.k: r.m for r in parts.totals(df, ["k"], means={"m": ("x", 3)}).collect()}
+    assert rows == {1: 0.524, 2: 2e17, 3: None, 4: -0.25}
+
+
+def test_medians_are_exact(spark):
+    df = spark.range(30001).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("x"))
+    for r in parts.totals(df, ["k"], medians={"m": ("x", 1)}).collect():
+        values = [v for v in range(30001) if v % 7 == r.k]
+        assert r.m == values[(len(values) - 1) // 2]
+
+
+def test_banned_columns_follow_from_the_derivations():
+    derived = {"y": ("a", "b"), "z": ("y", "c"), "w": ("z",), "u": ("a", "b"), "v": ("c",), "q": ("a", "c")}
+    assert parts.known_with("y", derived) == {"a", "b", "z", "u", "w"}
