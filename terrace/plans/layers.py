@@ -14,6 +14,7 @@ from terrace.operators.contracts import Contract, apply_contract, enforce, summa
 from terrace.operators.lineage import with_lineage
 from terrace.operators.runlog import RunLog
 from terrace.sources import tables
+from terrace.sources.staging import freed
 
 
 @dataclass
@@ -45,18 +46,20 @@ class Lakehouse:
     def publish(
         self, df: DataFrame, layer: str, table: str,
         references: Mapping[str, DataFrame] | None = None, partition_by: Sequence[str] = (),
-        overwrite: str = "static",
+        overwrite: str = "static", cluster: bool = True,
     ) -> DataFrame:
         """Contract, quarantine, fail-fast, write, log.
 
         The table is computed once into the shared folder; the report, the
         valid rows and the quarantine all read that copy. The quarantine is
         written before a critical failure raises, so the cause can be looked at
-        (D5).
+        (D5); a run without quarantined rows removes that of the run before. The
+        copy is removed at the end. ``cluster=False`` spares the shuffle of rows
+        whose partition value is constant.
         """
         contract = self.contracts.get(layer, {}).get(table, Contract())
         location = self.location(layer, table)
-        with self.log.step(layer, table, location) as step:
+        with self.log.step(layer, table, location) as step, freed(self.spark):
             outcome = apply_contract(df, contract, references, stored=True)
             report = sorted(outcome.report.collect(), key=lambda r: r["position"])
             summary = summarize(report)
@@ -68,10 +71,12 @@ class Lakehouse:
                 for r in report if r["position"] > 0]}
             if summary["rows_quarantined"]:
                 tables.write_quarantine(outcome.quarantine, self.root, layer, table)
+            else:
+                tables.drop_table_dir(self.spark, tables.quarantine_location(self.root, layer, table))
             if self.stop_on_critical:
                 enforce(report, f"{layer}.{table}")
             tables.write_table(outcome.valid, location, partition_by=partition_by,
-                               overwrite=overwrite, fmt=self.fmt)
+                               overwrite=overwrite, fmt=self.fmt, cluster=cluster)
             step.rows_out = summary["rows_valid"]
         return self.read(layer, table)
 
@@ -84,13 +89,19 @@ class Lakehouse:
         stamped = with_lineage(raw, entity, source.rsplit("/", 1)[-1], system, self.log.run_id,
                                ingested_at)
         return self.publish(stamped, "bronze", entity, partition_by=partition_by,
-                            overwrite="dynamic")
+                            overwrite="dynamic", cluster=set(partition_by) != {"_ingestion_date"})
 
     def together(self, *jobs: Callable[[], object]) -> list:
         """Independent steps submitted side by side, so that one step's small jobs
-        do not leave the cluster idle; the first failure is raised after all ended."""
+        do not leave the cluster idle; the first failure is raised after all ended.
+        What a job stages is removed when it ends."""
+
+        def run(job: Callable[[], object]) -> object:
+            with freed(self.spark):
+                return job()
+
         with ThreadPoolExecutor(max_workers=self.parallel) as pool:
-            futures = [pool.submit(job) for job in jobs]
+            futures = [pool.submit(run, job) for job in jobs]
         return [f.result() for f in futures]
 
     def save_log(self) -> str:

@@ -86,6 +86,10 @@ def _step(layer: str, name: str, rows: str, quarantined: str = "0") -> str:
             f"({quarantined})::bigint as rows_quarantined")
 
 
+# order lines without a score between 0 and 49, or with an unknown flag or part
+_REFUSED = """from lineitem where l_quantity is null or l_quantity <= 2 or l_quantity >= 50
+  or upper(trim(l_returnflag)) not in ('A', 'N', 'R') or l_partkey not in (select p_partkey from part)"""
+
 _LAYERED = " union all ".join(
     [_step("bronze", t, f"select count(*) from {t}") for t in
      ("region", "nation", "customer", "orders", "part", "lineitem")]
@@ -97,6 +101,7 @@ _LAYERED = " union all ".join(
        _step("silver", "fact_national", "select 8"),
        _step("silver", "fact_group", "select count(*) from tgt"),
        _step("silver", "fact_indicator", "select count(*) from fact"),
+       _step("silver", "fact_micro", "select count(*) from lineitem", f"select count(*) {_REFUSED}"),
        _step("gold", "entity_view", "select count(*) from view0"),
        _step("gold", "target_vs_actual", "select count(*) from (select distinct yr, group_id from view0)"),
        _step("gold", "national_evolution", "select 8"),
@@ -108,12 +113,24 @@ _LAYERED = " union all ".join(
 
 @query("layered_run", with_model(_LAYERED, _PANEL))
 def layered_run(spark, sf_dir):
-    """CSV files through all layers, one row per step.
-
-    The order-line fact is left out of the result: which of its repeated lines
-    survives, and so how many are quarantined, hangs on their hashes.
-    """
+    """CSV files through all layers, one row per step."""
     lake = retail_layers.lakehouse(spark, scratch_path(spark, "lake"))
     retail_layers.run(lake, land(spark, sf_dir))
-    return lake.log.frame().where(F.col("table_name") != "fact_micro").select(
+    return lake.log.frame().select(
         "layer", "table_name", "status", "rows_in", "rows_out", "rows_quarantined")
+
+
+@query("quarantined_lines", f"""
+    select l_orderkey, cast(l_linenumber as bigint) as line,
+           concat_ws('|', case when l_quantity is null or l_quantity <= 2 or l_quantity >= 50 then 'range:score' end,
+                     case when upper(trim(l_returnflag)) not in ('A', 'N', 'R') then 'allowed:returnflag' end,
+                     case when l_partkey not in (select p_partkey from part) then 'foreign_key:l_partkey' end)
+             as reason
+    {_REFUSED}""")
+def quarantined_lines(spark, sf_dir):
+    """What the contract of the order lines keeps out, with its reasons."""
+    lake = retail_layers.lakehouse(spark, scratch_path(spark, "lake"))
+    retail_layers.run_bronze(lake, land(spark, sf_dir))
+    retail_layers.publish_micro(lake)
+    bad = tables.read_table(spark, tables.quarantine_location(lake.root, "silver", "fact_micro"))
+    return bad.select("l_orderkey", "line", F.col("_quarantine_reason").alias("reason"))

@@ -8,12 +8,17 @@ join side is small enough to broadcast.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_scope = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor reaches")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_dirs:
@@ -31,7 +36,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
-    return f"{_app_dir(spark)}/{uuid.uuid4().hex}/{label}"
+    folder = f"{_app_dir(spark)}/{uuid.uuid4().hex}"
+    if getattr(_scope, "folders", None) is not None:
+        _scope.folders.append(folder)
+    return f"{folder}/{label}"
+
+
+@contextmanager
+def freed(spark: SparkSession) -> Iterator[None]:
+    """Remove what this thread stages inside, at the end; nothing lazy may outlive it."""
+    outer = getattr(_scope, "folders", None)
+    _scope.folders = []
+    try:
+        yield
+    finally:
+        folders, _scope.folders = _scope.folders, outer
+        for folder in folders:
+            _delete(spark, folder)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def _app_dir(spark: SparkSession) -> str:
@@ -40,8 +66,7 @@ def _app_dir(spark: SparkSession) -> str:
 
 def drop_staged(spark: SparkSession) -> None:
     """Remove this application's staged tables once no lazy result reads them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_app_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _app_dir(spark))
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -127,9 +127,13 @@ def count_rows(spark: SparkSession, location: str, fmt: str = "parquet") -> int:
         raise
 
 
+def quarantine_location(root: str, layer: str, table: str) -> str:
+    return f"{root}/_quarantine/{layer}/{table}"
+
+
 def write_quarantine(df: DataFrame, root: str, layer: str, table: str) -> str:
     """Quarantined rows of one table, replaced by each run."""
-    return write_table(df, f"{root}/_quarantine/{layer}/{table}")
+    return write_table(df, quarantine_location(root, layer, table))
 
 
 def compact(df: DataFrame, location: str, cluster_by: Sequence[str], files: int) -> str:
