@@ -1,8 +1,10 @@
 """Layered runs: ingest, publish, fail-fast, log."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from terrace.operators.contracts import Contract, ContractViolation
 from terrace.operators.runlog import failed_checks, latest_run, run_summary
@@ -10,6 +12,8 @@ from terrace.plans import retail_layers
 from terrace.plans.layers import Lakehouse
 from terrace.plans.storage_queries import land
 from terrace.sources.schemas import schema
+from terrace.sources.staging import shared_dir
+from terrace.sources.tables import write_table
 
 PEOPLE = schema(id="int", name="string")
 
@@ -18,6 +22,11 @@ def lake(spark, root, *checks, **options):
     return Lakehouse(spark, str(root), {"bronze": {"people": Contract.of(*checks)}}, **options)
 
 
+def staged(spark):
+    root = Path(shared_dir(spark)) / "terrace" / spark.conf.get("spark.app.id")
+    return sorted(p.name for p in root.iterdir()) if root.exists() else []
+
+
 def csv(tmp_path, text):
     path = tmp_path / "people.csv"
     path.write_text("id,name\n" + text)
@@ -49,6 +58,28 @@ def test_quarantine_beside_valid_rows(spark, tmp_path):
     assert step.bytes_written > 0
 
 
+def test_a_clean_run_leaves_no_quarantine_and_nothing_staged(spark, tmp_path):
+    house = lake(spark, tmp_path / "lake", {"rule": "not_null", "column": "name", "tolerance_pct": 50})
+    before = staged(spark)
+    house.ingest("people", csv(tmp_path, "1,Ana\n2,\n"), PEOPLE, "TEST")
+    assert (tmp_path / "lake" / "_quarantine" / "bronze" / "people").exists()
+    house.ingest("people", csv(tmp_path, "1,Ana\n2,Bia\n"), PEOPLE, "TEST")
+    assert not (tmp_path / "lake" / "_quarantine" / "bronze" / "people").exists()
+    assert staged(spark) == before
+
+
+def test_bronze_is_written_without_a_shuffle(spark, tmp_path):
+    df = spark.range(5).withColumn("d", F.lit("2025-01-01"))
+    seen = []
+    hint = type(df).hint
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(df), "hint", lambda self, *a: seen.append(a) or hint(self, *a))
+        lake(spark, tmp_path / "lake").ingest("people", csv(tmp_path, "1,Ana\n"), PEOPLE, "TEST")
+        assert not seen
+        write_table(df, f"{tmp_path}/t", partition_by=["d"])
+        assert seen
+
+
 def test_critical_failure_stops_before_the_table_but_keeps_the_evidence(spark, tmp_path):
     house = lake(spark, tmp_path / "lake", {"rule": "not_null", "column": "name"})
     with pytest.raises(ContractViolation):
@@ -69,10 +100,15 @@ def test_critical_failure_may_pass_by_choice(spark, tmp_path):
 
 def test_staged_run(spark, sf_dir, tmp_path):
     house = retail_layers.lakehouse(spark, str(tmp_path / "lake"))
-    retail_layers.run(house, land(spark, sf_dir), reprocess=True)
+    landing = land(spark, sf_dir)
+    before = staged(spark)
+    retail_layers.run(house, landing, reprocess=True)
+    assert staged(spark) == before
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     steps = {(s.layer, s.table_name): s for s in house.log.steps}
     assert len(steps) == 21 and all(s.status == "OK" for s in steps.values())
-    assert steps["silver", "fact_micro"].rows_quarantined > 0
+    micro = steps["silver", "fact_micro"]
+    assert micro.rows_in == lines == micro.rows_out + micro.rows_quarantined and micro.rows_quarantined > 0
     view = house.read("gold", "entity_view")
     ranking = house.read("gold", "ranking")
     assert view.rdd.getNumPartitions() >= 1 and "yr" in view.columns
