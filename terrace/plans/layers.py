@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from terrace.operators.contracts import Contract, apply_contract, enforce, summarize
 from terrace.operators.lineage import with_lineage
-from terrace.operators.runlog import RunLog
+from terrace.operators.runlog import Check, RunLog
 from terrace.sources import tables
 from terrace.sources.staging import freed
 
@@ -66,9 +66,8 @@ class Lakehouse:
             step.rows_in = summary["rows_in"]
             step.rows_quarantined = summary["rows_quarantined"]
             step.quality_score = summary["score"]
-            step.details = {"checks": [
-                {c: r[c] for c in ("rule", "column", "critical", "status", "detail")}
-                for r in report if r["position"] > 0]}
+            step.checks = [Check(r["rule"], r["column"], r["critical"], r["status"], r["detail"])
+                           for r in report if r["position"] > 0]
             if summary["rows_quarantined"]:
                 tables.write_quarantine(outcome.quarantine, self.root, layer, table)
             else:

@@ -9,9 +9,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terrace.operators import runlog
+from terrace.plans import retail_layers
 from terrace.plans.registry import half_up, query
 from terrace.plans.retail import table
+from terrace.plans.storage_queries import land
 from terrace.sources.catalogue import data_dictionary, table_manifest
+from terrace.sources.staging import scratch_path
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -33,23 +36,21 @@ def run_log(spark, sf_dir):
     checks = F.array(
         check("range", "value", False, F.col("k") < 50, "WARN"),
         check("not_null", "user_id", True, ~failed, "FAIL"))
-    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    end = F.unix_micros(F.col("ts").cast("timestamp"))
     return events.select(
         F.concat(F.lit("run-"), F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
         F.element_at(F.array(F.lit("bronze"), F.lit("silver"), F.lit("gold")),
                      (F.col("user_id") % 3 + 1).cast("int")).alias("layer"),
         F.concat(F.lit("table_"), F.col("user_id").cast("string")).alias("table_name"),
-        F.when(failed, "ERROR").otherwise("OK").alias("status"),
+        F.timestamp_micros(end - F.round(F.col("value") * 1e6).cast("long")).alias("started_at"),
+        F.timestamp_micros(end).alias("finished_at"),
         (F.col("k") * 100).alias("rows_in"),
         (F.col("k") * 100 - F.col("k") % 7).alias("rows_out"),
         (F.col("k") % 7).alias("rows_quarantined"),
-        (F.lit(100.0) - F.col("k") % 20).alias("quality_score"),
-        F.col("value").alias("duration_s"),
         (F.col("k") * 104857).alias("bytes_written"),
-        F.lit("parquet").alias("format"),
-        F.when(failed, F.concat(F.lit("StepError: "), F.col("event_id").cast("string"))).alias("error"),
-        stamp.alias("started_at"), stamp.alias("finished_at"),
-        F.to_json(F.struct(checks.alias("checks"))).alias("details"))
+        (F.lit(100.0) - F.col("k") % 20).alias("quality_score"),
+        checks.alias("checks"),
+        F.when(failed, F.concat(F.lit("StepError: "), F.col("event_id").cast("string"))).alias("error"))
 
 
 _LOG = """
@@ -63,7 +64,7 @@ log as (
          cast(100 - k % 20 as double) as quality_score, value as duration_s,
          k * 104857 as bytes_written,
          case when event_type = 'error' then 'StepError: ' || event_id end as error,
-         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as finished_at, ts, k
+         ts as finished_at, ts, k
   from e),
 latest as (
   select * from (select *, row_number() over (partition by layer, table_name
@@ -122,7 +123,8 @@ def run_failed_checks(spark, sf_dir):
 def latest_measure(spark, sf_dir):
     """O09, W01."""
     return runlog.latest_measure(run_log(spark, sf_dir)).select(
-        "layer", "table_name", "run_id", "rows_out", "bytes_written", "duration_s", "finished_at")
+        "layer", "table_name", "run_id", "rows_out", "bytes_written", "duration_s",
+        F.col("finished_at").cast("timestamp_ntz").alias("finished_at"))
 
 
 @query("cost_scenarios", f"""
@@ -155,13 +157,27 @@ def cost_scenarios(spark, sf_dir):
     with {_LOG}
     select run_id, layer, table_name, status, rows_in, rows_out, rows_quarantined, quality_score,
            duration_s, {half_up('bytes_written / 1048576.0::double', 2)} as mb_written,
-           finished_at as started_at
+           finished_at
     from log where cast(ts as date) >= (select max(cast(ts as date)) from events) - 7""")
 def quality_view(spark, sf_dir):
     """The last seven days of the log."""
     log = run_log(spark, sf_dir)
-    last = log.agg(F.max(F.to_date("started_at")).alias("d")).scalar()
-    return runlog.quality_view(log, last, 7)
+    last = log.agg(F.max(F.to_date("finished_at")).alias("d")).scalar()
+    return runlog.quality_view(log, last, 7).withColumn("finished_at", F.col("finished_at").cast("timestamp_ntz"))
+
+
+@query("engine_log", " union all ".join(f"""
+    select 'bronze' as layer, '{t}' as table_name, 'OK' as status, count(*) as rows_out, 0::bigint as failed_checks
+    from {t}""" for t in retail_layers.KEYS))
+def engine_log(spark, sf_dir):
+    """The log that the engine wrote about its own ingest, read back from JSON lines."""
+    lake = retail_layers.lakehouse(spark, scratch_path(spark, "lake"))
+    retail_layers.run_bronze(lake, land(spark, sf_dir))
+    lake.save_log()
+    log = runlog.told(runlog.read_run_log(spark, f"{lake.root}/_observability/json"))
+    failed = runlog.failed_checks(log).groupBy("layer", "table_name").agg(F.count(F.lit(1)).alias("_f"))
+    return log.join(failed, ["layer", "table_name"], "left").select(
+        "layer", "table_name", "status", "rows_out", F.coalesce("_f", F.lit(0)).alias("failed_checks"))
 
 
 @query("manifest", " union all ".join(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from terrace.operators.runlog import told
 from terrace.plans import retail_layers
 from terrace.plans.gold_queries import _PANEL
 from terrace.plans.registry import query, with_model
@@ -116,7 +117,7 @@ def layered_run(spark, sf_dir):
     """CSV files through all layers, one row per step."""
     lake = retail_layers.lakehouse(spark, scratch_path(spark, "lake"))
     retail_layers.run(lake, land(spark, sf_dir))
-    return lake.log.frame().select(
+    return told(lake.log.frame()).select(
         "layer", "table_name", "status", "rows_in", "rows_out", "rows_quarantined")
 
 

@@ -35,14 +35,3 @@ SCHEMAS: dict[str, T.StructType] = {
         l_quantity="double", l_extendedprice="double", l_discount="double", l_tax="double",
         l_returnflag="string", l_linestatus="string", l_shipdate="timestamp_ntz"),
 }
-
-RUN_SCHEMA = schema(
-    run_id="string", layer="string", table_name="string", status="string", rows_in="long",
-    rows_out="long", rows_quarantined="long", quality_score="double", duration_s="double",
-    bytes_written="long", format="string", error="string", started_at="string",
-    finished_at="string", details="string")
-
-CHECK_SCHEMA = T.ArrayType(schema(
-    rule="string", column="string", critical="boolean", status="string", detail="string"))
-
-DETAIL_SCHEMA = T.StructType([T.StructField("checks", CHECK_SCHEMA)])
