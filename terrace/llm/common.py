@@ -6,6 +6,9 @@ extra column may have any name) and treats a null text as an empty one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +39,21 @@ def split_words(text: Column, gap: str = BLANK_RUN, edge: str = BLANKS) -> Colum
 def row_hash(text: Column) -> Column:
     """Tells rows apart that share an id but not a text."""
     return F.xxhash64(text)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500, size: str = "4m") -> Iterator[None]:
+    """Smaller Arrow batches for what runs inside, for texts of any length."""
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+              "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

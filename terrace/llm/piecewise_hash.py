@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from terrace.llm.bpe import groups
-from terrace.llm.common import text_of
+from terrace.llm.common import small_batches, text_of
 from terrace.sources.staging import stage
 
 WINDOW = 7
@@ -198,7 +198,8 @@ def edited_pairs(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     schema = (f"_key {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               f"near_edited double, near_next double, _first {kind}, _last boolean")
     ordered = rows.repartitionByRange("_key").sortWithinPartitions("_key", "_text")
-    found = stage(ordered.mapInPandas(_in_range, schema), "compared")
+    with small_batches(df.sparkSession):  # long texts beside a sort: keep both sides of the pipe small
+        found = stage(ordered.mapInPandas(_in_range, schema), "compared")
     ranges = found.where("_last").select(F.struct("_first").alias("begin"), F.col("_key").alias("end"))
     order = Window.orderBy(F.col("begin._first").asc_nulls_first())  # one row per range
     ranges = stage(ranges.select("end", F.coalesce(
