@@ -10,7 +10,8 @@ probabilities.
 Labels are learned from a sample of at most about ``max_rows`` labelled rows
 (drawn by hash of the key; all of them where there are fewer), split in two
 halves: each half is scored with the lexicon of the other, so that trees and
-calibration see lexicons as strange to them as those of new texts. Everything
+calibration see lexicons as strange to them as those of new texts. Two thirds of
+the rows fit the trees, the rest the curve. Everything
 that scores is applied to all texts, in Arrow batches; the lexicons are bounded.
 
 Null and empty texts have zero features and are scored like any text; repeated
@@ -58,6 +59,7 @@ class ToxicityRules:
     min_texts: int = 3            # different texts behind a term
     trees: int = 20
     depth: int = 3
+    partitions: int = 2
     near: int = 5                 # words between a term and a second-person word
     threshold: float = 0.3
     seed: int = 17
@@ -155,14 +157,15 @@ def lexicons(sample: DataFrame, rules: ToxicityRules) -> list[Lexicon]:
 
 def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
                     learn: Column, rules: ToxicityRules) -> DataFrame:
-    """(_text, toxic, half): about ``max_rows`` labelled rows at most, stored."""
+    """(_text, toxic, half, fits): about ``max_rows`` labelled rows at most, stored."""
     own = labels.where(learn & F.col(label).isNotNull()).groupBy(F.col(key).alias("_k")).agg(
         F.max(F.col(label).cast("int")).alias("toxic"))
     own = own.withColumn("_place", F.pmod(F.xxhash64("_k", F.lit(rules.seed)), F.lit(1_000_000)))
     share = min(1.0, rules.max_rows / max(own.count(), 1))
     picked = stage(own.where(F.col("_place") < int(share * 1_000_000)), "labels")
     rows = docs.select(F.col(key).alias("_k"), text_of(text).alias("_text")).join(picked, "_k")
-    return stage(rows.select("_text", "toxic", F.pmod(F.xxhash64("_text"), F.lit(2)).cast("int").alias("half")), "sample")
+    draw = F.pmod(F.xxhash64("_text"), F.lit(6)).cast("int")  # equal texts fall into one part
+    return stage(rows.select("_text", "toxic", (draw % 2).alias("half"), (draw < 4).alias("fits")), "sample")
 
 
 class ToxicityModel:
@@ -196,15 +199,15 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id",
     first, second, both = lexicons(sample, rules)
     # a text of one half is scored with the other half's lexicon
     crossed = featured(sample, "_text", [second, first], F.col("half"), rules)
-    crossed = stage(crossed.select("features", F.col("toxic").cast("double").alias("label"), "half"), "features")
-    booster = GBTClassifier(maxIter=rules.trees, maxDepth=rules.depth, stepSize=0.2, seed=rules.seed)
-    # the curve is fitted on scores of trees that have not seen the row
-    parts = []
-    for half in (0, 1):
-        seen, unseen = crossed.where(F.col("half") != half), crossed.where(F.col("half") == half)
-        if seen.select("label").distinct().count() < 2:
-            seen = crossed
-        parts.append(booster.fit(seen).transform(unseen))
-    scored = parts[0].unionByName(parts[1]).select("label", vector_to_array("probability")[1].alias("raw"))
+    crossed = crossed.select("features", F.col("toxic").cast("double").alias("label"), "fits")
+    # a bounded table: few partitions, since each step of the boosting is a job over all of them
+    crossed = stage(crossed.coalesce(rules.partitions), "features")
+    seen, unseen = crossed.where("fits"), crossed.where("not fits")
+    if min(part.select("label").distinct().count() for part in (seen, unseen)) < 2:
+        seen = unseen = crossed
+    booster = GBTClassifier(maxIter=rules.trees, maxDepth=rules.depth, stepSize=0.3, seed=rules.seed)
+    trees = booster.fit(seen)
+    # the curve is fitted on rows that the trees have not seen
+    scored = trees.transform(unseen).select("label", vector_to_array("probability")[1].alias("raw"))
     curve = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(scored)
-    return ToxicityModel(both, booster.fit(crossed), curve, rules)
+    return ToxicityModel(both, trees, curve, rules)
