@@ -11,15 +11,11 @@ from pyspark.sql import functions as F
 
 from terrace.sources.staging import stage
 
-SPREAD = 64
 
-
-def null_spread(key: Column, columns: Sequence[str], spread: int = SPREAD) -> Column:
-    """Second join column that is 0 for a present key and spreads null keys, which
-    match nothing, over ``spread`` partitions instead of one."""
-    return F.when(
-        key.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in columns]), F.lit(spread)).cast("int")
-    ).otherwise(F.lit(0))
+def null_spread(key: Column, columns: Sequence[str]) -> Column:
+    """Second join column that is 0 for a present key and a hash of the row for a null
+    key: null keys match nothing and are spread over all partitions, however many."""
+    return F.when(key.isNull(), F.xxhash64(*[F.col(c) for c in columns])).otherwise(F.lit(0).cast("long"))
 
 
 def enrich(
@@ -77,7 +73,7 @@ def mark_known(
         asked = df.select(F.col(key).alias("__asked")).where(F.col(key).isNotNull()).distinct()
         unknown = asked.join(keys, F.col("__asked") == F.col("__ref"), "left_anti")
         keys = stage(unknown.select(F.col("__asked").alias("__ref")), "unknown-keys")
-    keys = keys.withColumn("__ref_spread", F.lit(0))
+    keys = keys.withColumn("__ref_spread", F.lit(0).cast("long"))
     left = df.withColumn("__spread", null_spread(F.col(key), df.columns))
     joined = left.join(
         keys, (F.col(key) == F.col("__ref")) & (F.col("__spread") == F.col("__ref_spread")), "left")

@@ -8,9 +8,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TECHNICAL = ("_source_file", "_source_system", "_source_entity", "_record_hash")
-
-
 def record_hash(columns: Sequence[str]) -> Column:
     """SHA-256 of the values as text, null as empty, joined by ``||``."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
@@ -26,20 +23,27 @@ def with_lineage(
     One ``ingested_at`` for the whole run keeps a retried task from stamping
     its rows differently.
     """
-    business = [c for c in df.columns if not c.startswith("_")]
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at)
-    return df.select(
-        "*",
-        stamp.cast("timestamp").alias("_ingestion_timestamp"),
-        F.date_format(stamp, "yyyy-MM-dd").alias("_ingestion_date"),
-        F.lit(source_file).alias("_source_file"),
-        F.lit(source_system).alias("_source_system"),
-        F.lit(entity).alias("_source_entity"),
-        F.lit(run_id).alias("_run_id"),
-        record_hash(business).alias("_record_hash"),
-    )
+    business = [c for c in df.columns if not c.startswith("_")]
+    return df.select("*", *[value.alias(name) for name, value in _lineage(
+        stamp.cast("timestamp"), entity, source_file, source_system, run_id, record_hash(business)).items()])
+
+
+def _lineage(stamp: Column, entity: str, file: str, system: str, run_id: str, row: Column) -> dict[str, Column]:
+    """Name and value of every lineage column."""
+    source = {"file": file, "system": system, "entity": entity}
+    return {
+        "_ingestion_timestamp": stamp, "_ingestion_date": F.date_format(stamp, "yyyy-MM-dd"),
+        **{f"_source_{part}": F.lit(value) for part, value in source.items()},
+        "_run_id": F.lit(run_id), "_record_hash": row,
+    }
+
+
+def of_the_row(columns: Sequence[str]) -> list[str]:
+    """Lineage that belongs to one raw row and not to the run: its source and its hash."""
+    return [c for c in columns if c.startswith("_source_") or c == "_record_hash"]
 
 
 def drop_technical(df: DataFrame, *more: str) -> DataFrame:
-    """Remove technical and denormalised columns."""
-    return df.drop(*TECHNICAL, *more)
+    """Remove the raw row's lineage and denormalised columns."""
+    return df.drop(*of_the_row(df.columns), *more)

@@ -26,8 +26,10 @@ def _line(df: DataFrame, key: str, weight: str, buckets: int) -> tuple[DataFrame
     The running sum is taken inside hash buckets and moved by the sum of the
     buckets before, so no task sees more than one bucket.
     """
+    whole = F.when(F.col(weight) == F.floor(weight), F.col(weight).cast("long")).otherwise(
+        F.raise_error(F.lit(f"weighted_sample: {weight} has fractions; scale it to whole numbers")).cast("long"))
     w = df.where(F.col(weight) > 0).select(
-        F.col(key).alias("key"), F.col(weight).cast("long").alias("w"),
+        F.col(key).alias("key"), whole.alias("w"),
         F.pmod(hash_number(F.col(key), digest_bits=32), F.lit(buckets)).alias("bucket"))
     sums = w.groupBy("bucket").agg(F.sum("w").alias("bw"))
     # one row per bucket: a bounded window
@@ -45,18 +47,21 @@ def _line(df: DataFrame, key: str, weight: str, buckets: int) -> tuple[DataFrame
 
 
 def weighted_sample(
-    df: DataFrame, key: str, weight: str, n: int, seed: int = 42, buckets: int = 4096,
+    df: DataFrame, key: str, weight: str, n: int, seed: int = 42, buckets: int | None = None,
     cells: int | None = None,
 ) -> DataFrame:
     """``n`` draws (draw, key), each entity with probability weight / total.
 
-    ``key`` is unique; weights are whole numbers, and rows without a positive
-    weight are never drawn.
+    ``key`` is unique; weights are whole numbers (a fraction raises), and rows
+    without a positive weight are never drawn. Buckets and cells grow with the
+    number of entities and draws.
     """
     spark = df.sparkSession
-    if cells is None:
+    if buckets is None or cells is None:
+        entities = df.count()
+        buckets = buckets or max(4096, entities // 100_000)
         width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cells = max(4 * width, n // 100_000)
+        cells = cells or max(4 * width, n // 100_000, entities // 100_000)
     line, total_row = _line(df, key, weight, buckets)
     total = total_row.scalar()
 

@@ -48,7 +48,8 @@ def compact_cluster(spark, sf_dir):
     path = scratch_path(spark, "clustered")
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    tables.compact(orders, path, ["o_custkey", "o_orderdate"], 4)
+    stored = tables.table_bytes(spark, f"{sf_dir}/orders.parquet")
+    tables.compact(orders, path, ["o_custkey", "o_orderdate"], tables.files_for(stored))
     return tables.read_table(spark, path)
 
 

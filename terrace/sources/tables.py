@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -136,16 +136,39 @@ def write_quarantine(df: DataFrame, root: str, layer: str, table: str) -> str:
     return write_table(df, quarantine_location(root, layer, table))
 
 
+def files_for(size: int, target: int = 128 << 20) -> int:
+    """Number of files of about ``target`` bytes."""
+    return max(1, -(-size // target))
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 5) -> Column:
+    """A number whose bits alternate between the quantile places of the columns (Z-order).
+
+    Rows that are near in it are near in every column, so ranges of it prune on
+    each of them. The bounds are approximate quantiles: they place the cuts only.
+    """
+    shares = [k / (1 << bits) for k in range(1, 1 << bits)]
+    as_number = {c: F.col(c).cast("timestamp").cast("double") if df.schema[c].dataType.typeName().startswith(
+        ("date", "timestamp")) else F.col(c).cast("double") for c in columns}
+    bounds = df.select(*[F.percentile_approx(x, shares).alias(c) for c, x in as_number.items()]).first()
+    z = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        place = sum((F.when(as_number[c] > b, 1).otherwise(0) for b in bounds[c] or []), F.lit(0)).cast("long")
+        for bit in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(place, bit).bitwiseAND(F.lit(1).cast("long")),
+                                        bit * len(columns) + i))
+    return z
+
+
 def compact(df: DataFrame, location: str, cluster_by: Sequence[str], files: int) -> str:
-    """Rewrite into ``files`` range-clustered, sorted files so that row-group
-    statistics prune on the clustering columns."""
-    (
-        df.repartitionByRange(files, *cluster_by)
-        .sortWithinPartitions(*cluster_by)
-        .write.mode("overwrite")
-        .option("compression", "snappy")
-        .parquet(location)
-    )
+    """Rewrite into ``files`` clustered, sorted files so that statistics prune on every
+    clustering column. Several columns must be numbers or times; they are interleaved."""
+    if len(cluster_by) == 1:
+        out = df.repartitionByRange(files, *cluster_by).sortWithinPartitions(*cluster_by)
+    else:
+        out = df.withColumn("__z", interleaved(df, cluster_by))
+        out = out.repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z")
+    out.write.mode("overwrite").option("compression", "snappy").parquet(location)
     return location
 
 

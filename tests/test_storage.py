@@ -131,3 +131,15 @@ def test_staged_tables_are_dropped_by_application(spark):
     tables.write_table(spark.range(1), other)
     staging.drop_staged(spark)
     assert not tables.exists(spark, folder) and tables.exists(spark, other)
+
+
+def test_clustering_prunes_on_every_column(spark, tmp_path):
+    df = spark.range(20000).select(
+        (F.col("id") * 7919 % 20011).alias("a"), (F.col("id") * 104729 % 20021).alias("b"))
+    path = tables.compact(df, f"{tmp_path}/z", ["a", "b"], 16)
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        *[(F.max(c) - F.min(c)).alias(c) for c in "ab"]).collect()
+    assert len(files) == 16 and spark.read.parquet(path).count() == 20000
+    for c in "ab":
+        assert sum(r[c] for r in files) / len(files) < 0.5 * 20000
+    assert [tables.files_for(n, 10) for n in (0, 10, 11)] == [1, 1, 2]

@@ -152,3 +152,11 @@ def test_weighted_sample_is_repeatable(spark):
     a = sampling.weighted_sample(df, "k", "w", 200, cells=5)
     b = sampling.weighted_sample(df.repartition(7), "k", "w", 200, cells=40)
     assert a.exceptAll(b).isEmpty() and a.count() == 200
+
+
+def test_sample_refuses_fractions(spark):
+    df = spark.createDataFrame([("a", 0.9), ("b", 1.9)], "k string, w double")
+    with pytest.raises(Exception, match="fractions"):
+        sampling.weighted_sample(df, "k", "w", 10).collect()
+    whole = spark.createDataFrame([("a", 9.0), ("b", 19.0)], "k string, w double")
+    assert {r.k for r in sampling.weighted_sample(whole, "k", "w", 200).collect()} == {"a", "b"}
