@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from terrace.sources.staging import stage
 
 SPLIT_ABOVE = 1_000_000
-MAX_SPLITS = 512
+# cells of a million rows up to some 30 billion rows in a group; a group takes as many splits as it needs
+MAX_SPLITS = 1 << 16
 
 
 def _below(bounds: Column, col: Column, splits: int) -> Column:
