@@ -12,6 +12,7 @@ from terrace.llm.common import table
 from terrace.llm.html_text import extract
 from terrace.llm.license_scan import scan
 from terrace.llm.line_rules import clean_lines
+from terrace.llm.line_rules_sql import line_rules_sql
 from terrace.llm.mixing import mix
 from terrace.llm.piecewise_hash import edited_pairs
 from terrace.llm.private_data import KINDS, find, listed
@@ -32,7 +33,7 @@ def op5_mix_sources(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents"))
 
 
-@query("op7_line_rules")
+@query("op7_line_rules", line_rules_sql())
 def op7_line_rules(spark, sf_dir):
     """Quality rules of every document."""
     return clean_lines(table(spark, sf_dir, "documents")).drop("clean_text")
