@@ -116,7 +116,8 @@ def stream_bronze(spark, sf_dir):
         F.get_json_object("_payload", "$.event_id").alias("payload_id")), "_received_at")
 
 
-@query("stream_text_source", f"with {_EVENTS} select event_id, event_type, sent_at, value, 'file' as _stream_source from ev where valid")
+@query("stream_text_source", f"""
+    with {_EVENTS} select event_id, event_type, sent_at, value, 'file' as _stream_source from ev where valid""")
 def stream_text_source(spark, sf_dir):
     """JSON lines in text files, read under the cap of files per trigger."""
     lines = records(spark, sf_dir).select(F.col("value").cast("string").alias("value"), "_ts")
