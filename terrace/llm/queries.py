@@ -11,6 +11,7 @@ from terrace.llm.bpe import encode
 from terrace.llm.common import table
 from terrace.llm.html_text import extract
 from terrace.llm.license_scan import scan
+from terrace.llm.license_scan_sql import license_scan_sql
 from terrace.llm.line_rules import clean_lines
 from terrace.llm.line_rules_sql import line_rules_sql
 from terrace.llm.mixing import mix
@@ -21,7 +22,7 @@ from terrace.llm.token_counts import count_tokens
 from terrace.plans.registry import query
 
 
-@query("op1_license_scan")
+@query("op1_license_scan", license_scan_sql())
 def op1_license_scan(spark, sf_dir):
     """Licence phrases and notices of every document."""
     return scan(table(spark, sf_dir, "documents")).drop("spans")
