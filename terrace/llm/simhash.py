@@ -26,7 +26,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -58,16 +58,21 @@ def _vote(hashes: pd.Series) -> pd.Series:
     return pd.Series([vote(h) for h in hashes], dtype="int64")
 
 
-def fingerprints(df: DataFrame, key: str, text: str, rules: SimhashRules) -> DataFrame:
-    """(_key, fp) of every row."""
+def run_hashes(df: DataFrame, text: str, width: int, *more: Column) -> DataFrame:
+    """The columns ``more`` with the hashes of all runs of ``width`` words; a shorter text is one run."""
     # words first, as a column of their own, so that they are split once
-    rows = df.select(F.col(key).alias("_key"), split_words(lower_ascii(text_of(text))).alias("_words"))
-    w, n, width = F.col("_words"), F.size("_words"), rules.shingle
+    rows = df.select(*more, split_words(lower_ascii(text_of(text))).alias("_words"))
+    w, n = F.col("_words"), F.size("_words")
     runs = F.transform(F.sequence(F.lit(0), n - width), lambda i: F.xxhash64(
         F.concat_ws(" ", *[F.get(w, i + k) for k in range(width)])))
     hashes = F.when(n == 0, F.array().cast("array<bigint>")).when(
         n < width, F.array(F.xxhash64(F.concat_ws(" ", w)))).otherwise(runs)
-    return rows.select("_key", hashes.alias("_hashes")).select("_key", _vote("_hashes").alias("fp"))
+    return rows.withColumn("_hashes", hashes).drop("_words")
+
+
+def fingerprints(df: DataFrame, key: str, text: str, rules: SimhashRules) -> DataFrame:
+    """(_key, fp) of every row."""
+    return run_hashes(df, text, rules.shingle, F.col(key).alias("_key")).select("_key", _vote("_hashes").alias("fp"))
 
 
 def _shared(rules: SimhashRules) -> list[int]:

@@ -346,3 +346,30 @@ def test_pipeline_on_odd_rows(spark, odd, none, sf_dir):
         assert now.count() <= 2 * len(TEXTS)
     kept = corpus_pipeline.drop_near_copies(spark, odd.unionByName(odd), sf_dir)
     assert kept.count() == kept.select("text").distinct().count()
+
+
+def test_near_copies_by_five_word_similarity(spark, sf_dir):
+    words = [f"w{k}" for k in range(6000)]
+    texts = {}
+    for g in range(8):                        # each text and copies with spread changes; some are no near copies
+        base = rng.sample(words, 150)
+        for k in range(30):
+            copy = list(base)
+            for at in rng.sample(range(150), k % 10):
+                copy[at] = rng.choice(words)
+            texts[100 * g + k] = " ".join(copy)
+    sets = {k: {tuple(w[i:i + 5]) for i in range(146)} for k, t in texts.items() for w in [t.split()]}
+    least = {}
+    for k in texts:
+        if k not in least:
+            reach, todo = {k}, [k]
+            while todo:
+                a = todo.pop()
+                near = [b for b in texts if b not in reach and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+                reach |= set(near)
+                todo += near
+            least |= dict.fromkeys(reach, min(reach))
+    assert 8 < len(set(least.values())) < len(texts)
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, sf_dir).collect()}
+    assert kept == set(least.values())
