@@ -46,13 +46,18 @@ SELF_ENDING = frozenset("p li dt dd option tr td th".split())
 ARTICLE = frozenset("article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-# Words in class names and ids of furniture.
+# Class names and ids of furniture. Most words count anywhere in a name; names of the
+# layout count as a whole, as wrappers around a page's text have them in their names too.
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|"
-    r"modal|overlay|sidebar|side-bar|comments?|commentlist|disqus|repl(?:y|ies)|footer|nav|navbar|navigation|menu|"
-    r"breadcrumbs?|share|sharing|social|related|recommend\w*|subscribe|newsletter|signup|login|search|widget|"
-    r"toolbar|pagination|pager|copyright|skip)(?=$|[\s_-])", re.I)
-_PAGE_HEAD = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar)(?=$|[\s_-])", re.I)
+    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|"
+    r"commentlist|disqus|repl(?:y|ies)|breadcrumbs?|share|sharing|social|related|recommend\w*|subscribe|newsletter|"
+    r"signup|login|pagination|pager|copyright)(?=$|[\s_-])", re.I)
+_LAYOUT = re.compile(
+    r"(?:^|\s)(?:(?:site|page|left|right|primary|secondary|top|bottom)[_-])?(?:banner|modal|overlay|sidebar|"
+    r"side-bar|comments?|footer|nav|navbar|navigation|menu|search|widget|toolbar|skip)(?=$|\s)"
+    r"|(?:^|\s)(?:comments?[_-](?:list|section|area|thread)|skip[_-]link|search[_-](?:box|bar|form)|"
+    r"nav[_-](?:menu|bar|links?)|main[_-](?:nav|navigation|menu)|footer[_-](?:links?|nav|menu))(?=$|\s)", re.I)
+_PAGE_HEAD = re.compile(r"(?:^|\s)(?:(?:site|page|main)[_-])?(?:header|masthead|topbar)(?=$|\s)", re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)((?>[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)/?>")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)([^>]*)>?")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -103,7 +108,7 @@ def _furniture(name: str, attributes: str, inside: bool) -> bool:
         return False
     named = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
     label = f"{named.get('class', '')} {named.get('id', '')}"
-    return bool(_NAMES.search(label) or (not inside and _PAGE_HEAD.search(label))
+    return bool(_NAMES.search(label) or _LAYOUT.search(label) or (not inside and _PAGE_HEAD.search(label))
                 or named.get("role", "").lower() in ROLES or _HIDDEN.search(attributes))
 
 
@@ -133,10 +138,18 @@ def _end_of(items: list[tuple[str, str, str]], closings: dict[int, int], k: int)
     return len(items)
 
 
+def _articles_before(items: list[tuple[str, str, str]]) -> list[int]:
+    """Number of articles that open before each index."""
+    counts = [0]
+    for kind, name, _ in items:
+        counts.append(counts[-1] + (kind == "open" and name in ARTICLE))
+    return counts
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, weight, inside an article) of every block of the page that has text."""
     items = tokens(page)
-    closings = _closings(items)
+    closings, articles = _closings(items), _articles_before(items)
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = depth = links = k = 0
@@ -163,8 +176,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             parts.append(" ")
         if kind == "open":
             if name not in VOID and _furniture(name, rest, depth > 0):
-                k = _end_of(items, closings, k)
-                continue
+                end = _end_of(items, closings, k)
+                # what holds the page's article is a wrapper of it, whatever its name
+                if name in SILENT or depth or articles[end] == articles[k]:
+                    k = end
+                    continue
             if name in ARTICLE:
                 depth += 1
             links += name == "a"

@@ -282,6 +282,22 @@ def test_html_text(open_, close):
     assert got == f"Head & tail\n{w}one two three\nShort.\n{w}last"
 
 
+@pytest.mark.parametrize("wrapper", [
+    'div class="content-sidebar-wrap"', 'div class="layout has-sidebar"', 'div class="no-sidebar"',
+    'div class="main-widget area"', 'div class="ad"', "form action=/x", "fieldset"])
+def test_wrappers_keep_their_article(wrapper):
+    w = "some plain words of an article " * 4
+    name = wrapper.split()[0]
+    page = f"<body><nav>Menu</nav><{wrapper}><main><p>{w}</p></main><div class=sidebar><p>{w}</p></div></{name}></body>"
+    assert html_text.main_text(page) == w.strip()
+
+
+@pytest.mark.parametrize("label", ["content-sidebar-wrap", "layout has-sidebar", "no-sidebar", "main-widget area"])
+def test_layout_names_are_whole_tokens(label):
+    w = "some plain words of an article " * 4
+    assert html_text.main_text(f'<body><div class="{label}"><p>{w}</p></div><div class="sidebar"><p>{w}</p></div>') == w.strip()
+
+
 def test_html_odd_pages(spark):
     for page in ("", "<", "a < b", "<p>", "<!--", "<script>", "<a " * 3000, "<nav>" * 3000, "<div><p>x" * 3000, "</p>" * 50):
         html_text.main_text(page)
