@@ -5,8 +5,9 @@ element. A line's weight is its text length; it is 0 for furniture (menus,
 headers, footers, sidebars, notices, adverts, forms, comments), for lines made
 of links and, where the page marks its article, for everything outside it.
 Weights are summed over sliding windows of lines. Text starts where the sum
-surges and ends where it dives to nothing; all lines of weight in between are
-kept, short ones too. Inside a marked article any text is a surge.
+surges, with the short lines right before, and ends where it dives to nothing;
+all lines in between are kept, short ones and lines of links too. Inside a
+marked article any text is a surge.
 
 A page is handled on its own, by linear scans of its markup. Null and empty
 pages and pages without text give an empty text; repeated rows give equal
@@ -203,17 +204,31 @@ def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
     else:
         weights, surge = [w for _, w, _ in lines], rules.surge
         surge = min(surge, max(weights, default=0))
-    run, kept = False, []
+    marked = any(inside for _, _, inside in lines)
+    kept: list[str] = []
+
+    def keep(start: int, stop: int) -> None:
+        while stop > start and not weights[stop - 1]:
+            stop -= 1
+        while start < stop and not weights[start]:
+            start += 1
+        # lines of links inside the text belong to it; what stands between two articles does not
+        kept.extend(lines[j][0] for j in range(start, stop) if weights[j] or not marked)
+
+    start, ended = -1, 0
     window = sum(weights[:rules.window])
-    for k, (text, _, _) in enumerate(lines):
-        if not run and window >= surge > 0:
-            run = True                   # surge
-        elif run and window == 0:
-            run = False                  # dive
-        if run and weights[k]:
-            kept.append(text)
+    for k in range(len(lines)):
+        if start < 0 and window >= surge > 0:
+            start = k                    # surge: headings and bylines before it are text too
+            while start > ended and weights[start - 1]:
+                start -= 1
+        elif start >= 0 and window == 0:
+            keep(start, k)               # dive
+            start, ended = -1, k
         window -= weights[k]
         window += weights[k + rules.window] if k + rules.window < len(weights) else 0
+    if start >= 0:
+        keep(start, len(lines))
     return "\n".join(kept)
 
 

@@ -298,6 +298,17 @@ def test_layout_names_are_whole_tokens(label):
     assert html_text.main_text(f'<body><div class="{label}"><p>{w}</p></div><div class="sidebar"><p>{w}</p></div>') == w.strip()
 
 
+def test_short_lines_around_a_surge():
+    head, by, day, para = "A headline of thirty letters..", "By Jane Doe.", "1 May 2020", "some plain words " * 18
+    links = "".join(f"<p><a href=/{k}>A link to page {k}</a></p>" for k in range(4))
+    body = f"<h1>{head}</h1><p>{by}</p><p>{day}</p><p>{para}</p><p>Short.</p><p><a href=/s>The source of it all</a></p><p>End.</p>"
+    want = [head, by, day, para.strip(), "Short.", "The source of it all", "End."]
+    assert html_text.main_text(f"<body>{body}</body>").split("\n") == want
+    assert html_text.main_text(f"<body>{links}{body}{links}</body>").split("\n") == want
+    twice = html_text.main_text(f"<body>{links}{body}{links}{body}</body>").split("\n")
+    assert twice == want + want
+
+
 def test_html_odd_pages(spark):
     for page in ("", "<", "a < b", "<p>", "<!--", "<script>", "<a " * 3000, "<nav>" * 3000, "<div><p>x" * 3000, "</p>" * 50):
         html_text.main_text(page)
