@@ -149,7 +149,7 @@ def copies(sized: DataFrame, rules: MixRules = MixRules()) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("_src", "size", "_cell").orderBy(F.xxhash64("_key", F.lit(2)), "_key"))
     even = F.floor(F.col("_take") / F.col("_n"))
     rounded = rows.withColumn("_place", place).join(cells, ["_src", "size", "_cell"]).select(
-        "_key", "_src", "size", "source_size", "target", "rate",
+        "_key", "_src", "size", "_cell", "_place", "source_size", "target", "rate",
         (even + F.when(F.col("_place") <= F.col("_take") - even * F.col("_n"), 1).otherwise(0)).cast("int").alias("copies"))
     rounded = stage(rounded, "rounded")
     return settle(rounded, rules)
@@ -160,31 +160,33 @@ def settle(rounded: DataFrame, rules: MixRules) -> DataFrame:
 
     Per source and power of two of the size, two documents that can give or take
     a copy are candidates; from the largest down, a candidate changes if it fits
-    into what is left. There are some dozens a source at most.
+    into what is left. There are some dozens a source at most. A row is named by
+    its place in its cell, as ids may repeat.
     """
     left = stage(rounded.groupBy("_src").agg(
         (F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("_left")), "left")
-    order = F.struct(F.xxhash64("_key", F.lit(3)).alias("h"), "_key", "size")
+    order = F.struct(F.xxhash64("_key", F.lit(3)).alias("h"), "_key", "size", "_cell", "_place")
     sign = F.when(F.col("_left") > 0, 1).otherwise(-1)
     movable = rounded.where("size > 0").join(left, "_src").where(
         F.when(F.col("_left") > 0, F.col("copies") < rules.max_copies).otherwise(F.col("copies") > 0))
+    named = ("size", "_key", "_cell", "_place")
     picks = movable.groupBy("_src", "_left", F.floor(F.log2("size")).alias("_class")).agg(
         F.min(order).alias("a"), F.max(order).alias("b"))
     picks = picks.groupBy("_src", "_left").agg(F.reverse(F.sort_array(F.array_distinct(F.flatten(F.collect_list(
-        F.array(*[F.struct(F.col(f"{c}.size").alias("size"), F.col(f"{c}._key").alias("_key")) for c in "ab"])))))).alias("_c"))
-    key_type = rounded.schema["_key"].dataType.simpleString()
+        F.array(*[F.struct(*[F.col(f"{c}.{x}").alias(x) for x in named]) for c in "ab"])))))).alias("_c"))
+    types = ",".join(f"{x}:{rounded.schema[x].dataType.simpleString()}" for x in named)
     start = F.struct(F.abs("_left").alias("rest"),
-                     F.array().cast(f"array<struct<size:bigint,_key:{key_type}>>").alias("chosen"))
+                     F.array().cast(f"array<struct<{types}>>").alias("chosen"))
     chosen = F.aggregate("_c", start, lambda acc, x: F.when(
         x["size"] <= acc.rest,
         F.struct((acc.rest - x["size"]).alias("rest"), F.array_append(acc.chosen, x).alias("chosen"))).otherwise(acc))
     moves = stage(picks.select("_src", F.explode(chosen.chosen).alias("_m"), sign.alias("_sign")).select(
-        "_src", F.col("_m._key").alias("_k"), F.col("_m.size").alias("_s"), "_sign"), "moves")
+        "_src", F.col("_m.size").alias("_s"), F.col("_m._cell").alias("_c"), F.col("_m._place").alias("_p"), "_sign"), "moves")
     r, m = rounded.alias("r"), moves.alias("m")
-    return r.join(m, (F.col("r._src") == F.col("m._src")) & F.col("r._key").eqNullSafe(F.col("m._k"))
-                  & (F.col("r.size") == F.col("m._s")), "left").select(
+    return r.join(m, (F.col("r._src") == F.col("m._src")) & (F.col("r.size") == F.col("m._s"))
+                  & (F.col("r._cell") == F.col("m._c")) & (F.col("r._place") == F.col("m._p")), "left").select(
         "r.*", F.coalesce("_sign", F.lit(0)).alias("_change")).withColumn(
-        "copies", F.col("copies") + F.col("_change")).drop("_change")
+        "copies", F.col("copies") + F.col("_change")).drop("_change", "_cell", "_place")
 
 
 def mix(df: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",

@@ -144,6 +144,17 @@ def test_mix_meets_its_targets(spark, sf_dir):
         assert per[n]["taken"] == pytest.approx(want[n], rel=0.05)
 
 
+def test_mix_of_repeated_and_null_ids(spark):
+    rows = [(None, "a", "w " * 7)] * 300 + [(5, "b", "w " * 11)] * 200 + [(k % 3, "c", "w " * (3 + k % 5)) for k in range(90)]
+    rows += [(100 + k, s, "w " * (1 + k)) for s in "abc" for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = mixing.copies(mixing.measured(df, "doc_id", "source", "text")).collect()
+    assert len(out) == len(rows) and all(0 <= r.copies <= 2 for r in out)
+    for name in "abc":
+        own = [r for r in out if r._src == "0" + name]
+        assert abs(sum(r.copies * r["size"] for r in own) - own[0].target) < max(r["size"] for r in own)
+
+
 @pytest.mark.parametrize("limit", [64, 1])
 def test_simhash(odd, none, texts, limit):
     out = rows_of(simhash.near_duplicates(odd, rules=simhash.SimhashRules(pair_limit=limit)))
