@@ -12,7 +12,6 @@ from terrace.sources.staging import stage
 
 FEATURES = ["indicator_lag1", "agreed_target", "context", "assessed_lag1"]
 TRAIN_YEAR, TEST_YEAR = 2000, 2001
-TREES = 20
 
 
 def split(spark, sf_dir):
@@ -79,7 +78,7 @@ def model_comparison(spark, sf_dir):
     train, test = split(spark, sf_dir)
     scored = {
         "ridge": regression.fit_ridge(train, "label", FEATURES).transform(test),
-        "boosted_trees": regression.fit_gbt(train, "label", FEATURES, TREES).transform(test),
+        "boosted_trees": regression.fit_gbt(train, "label", FEATURES).transform(test),
         "lag_baseline": test.withColumn("prediction", F.col("indicator_lag1")),
     }
     return regression.model_comparison(scored, "label")
@@ -89,7 +88,7 @@ def model_comparison(spark, sf_dir):
 def importances(spark, sf_dir):
     """M08, T08."""
     train, _ = split(spark, sf_dir)
-    model = regression.fit_gbt(train, "label", FEATURES, TREES)
+    model = regression.fit_gbt(train, "label", FEATURES)
     return regression.importance_frame(train, model, FEATURES)
 
 
@@ -98,5 +97,5 @@ def leaky_model(spark, sf_dir):
     """Fitted and scored on the columns its label is computed from."""
     rows = stage(facts(spark, sf_dir)[0].where(F.col("yr") == TRAIN_YEAR).select(
         F.col("indicator").alias("label"), "successes", "assessed"), "leaky")
-    model = regression.fit_gbt(rows, "label", ["successes", "assessed"], TREES)
+    model = regression.fit_gbt(rows, "label", ["successes", "assessed"])
     return regression.regression_metrics(model.transform(rows), "label", "prediction")

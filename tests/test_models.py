@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators import regression
+from terrace.plans import model_queries  # noqa: F401  (registers its queries)
+from terrace.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -68,3 +70,18 @@ def test_what_if(spark):
     row = regression.what_if(df, "context", "assessed", "shortfall", 3.3, "entity_id", ["yr"]).head()
     # the interpolated first quartile of 0..8 is 2.0
     assert (row.entities, row.assessed, row.shortfall, row.gain) == (3, 300, 120, 9.9)
+
+
+def test_registered_models_fit_all_trees(spark, sf_dir, monkeypatch):
+    fit, seen = regression._assembled, []
+
+    def short(features, estimator):
+        if estimator.hasParam("maxIter") and estimator.hasParam("stepSize"):
+            seen.append(estimator.getMaxIter())
+            estimator.setMaxIter(1)
+        return fit(features, estimator)
+
+    monkeypatch.setattr(regression, "_assembled", short)
+    for name in ("model_comparison", "importances", "leaky_model"):
+        QUERIES[name](spark, sf_dir)
+    assert seen == [300, 300, 300]
