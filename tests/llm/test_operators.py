@@ -155,6 +155,13 @@ def test_mix_of_repeated_and_null_ids(spark):
         assert abs(sum(r.copies * r["size"] for r in own) - own[0].target) < max(r["size"] for r in own)
 
 
+def test_one_move_changes_one_of_equal_rows(spark):
+    df = spark.createDataFrame([(None, "0a", 5, 0, k + 1, 50, 55.0, 1.1, 1) for k in range(10)],
+                               "_key long, _src string, size long, _cell long, _place int, source_size long, "
+                               "target double, rate double, copies int")
+    assert sum(r.copies for r in mixing.settle(df, mixing.MixRules()).collect()) == 11
+
+
 @pytest.mark.parametrize("limit", [64, 1])
 def test_simhash(odd, none, texts, limit):
     out = rows_of(simhash.near_duplicates(odd, rules=simhash.SimhashRules(pair_limit=limit)))
