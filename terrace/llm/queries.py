@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terrace.llm import toxicity
 from terrace.llm.bpe import encode
 from terrace.llm.common import table
+from terrace.llm.fill_middle import fill_in_middle, fill_sql, restored
 from terrace.llm.html_text import extract
 from terrace.llm.license_scan import scan
 from terrace.llm.license_scan_sql import license_scan_sql
@@ -19,6 +20,7 @@ from terrace.llm.piecewise_hash import edited_pairs
 from terrace.llm.private_data import KINDS, find, listed
 from terrace.llm.simhash import near_duplicates
 from terrace.llm.token_counts import count_tokens
+from terrace.llm.winnow import find_leaks, leaks_sql
 from terrace.plans.registry import query
 
 
@@ -96,6 +98,25 @@ def _count(kind):
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+@query("op12_fill_middle", fill_sql())
+def op12_fill_middle(spark, sf_dir):
+    """Digests of every document cut for filling in the middle, and of the text restored from it."""
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", F.col("n_prefix").alias("prefix_chars"), F.col("n_middle").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query("op13_decontaminate", leaks_sql())
+def op13_decontaminate(spark, sf_dir):
+    """Words of every document that stand in windows of the benchmark, and the items they leak."""
+    leaks = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return leaks.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     """All stages of the corpus pipeline."""
