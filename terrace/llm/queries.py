@@ -11,6 +11,7 @@ from terrace.llm.bpe import encode
 from terrace.llm.common import table
 from terrace.llm.fill_middle import fill_in_middle, fill_sql, restored
 from terrace.llm.html_text import extract
+from terrace.llm.importance import ImportanceRules, importance_sql, resample
 from terrace.llm.license_scan import scan
 from terrace.llm.license_scan_sql import license_scan_sql
 from terrace.llm.line_rules import clean_lines
@@ -98,6 +99,16 @@ def _count(kind):
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+ONE_WORD = ImportanceRules(longest=1)
+
+
+@query("op11_importance", importance_sql(ONE_WORD))
+def op11_importance(spark, sf_dir):
+    """Weight of every document against the benchmark, and its rank in the draw."""
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), rules=ONE_WORD)
+    return drawn.drop("n_words")
+
+
 @query("op12_fill_middle", fill_sql())
 def op12_fill_middle(spark, sf_dir):
     """Digests of every document cut for filling in the middle, and of the text restored from it."""
