@@ -14,12 +14,11 @@ from dataclasses import dataclass, field
 from pathlib import Path
 
 import yaml
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from terrace.operators.enrich import fits_broadcast, mark_known, reference_keys
-from terrace.sources.staging import stage
+from terrace.operators.enrich import mark_known
 
 ROW_RULES = ("not_null", "range", "allowed", "regex", "foreign_key")
 REASON = "_quarantine_reason"
@@ -113,90 +112,89 @@ def _row_condition(df: DataFrame, check: Check) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def apply_contract(
-    df: DataFrame, contract: Contract, references: Mapping[str, DataFrame] | None = None,
-    stored: bool = False,
-) -> Outcome:
-    """Split ``df`` into valid and quarantined rows and report every check.
+@dataclass
+class Marked:
+    """A table with the reason for quarantine beside every row (empty: valid), and its checks by kind."""
+
+    rows: DataFrame
+    helpers: list[str]
+    row: list[tuple[int, Check, Column]]
+    table: list[tuple[int, Check]]
+    skipped: list[tuple[int, Check]]
+
+    def counts(self) -> list[Column]:
+        """Aggregates over ``rows``, for ``agg`` as well as for ``observe``."""
+        return [F.count(F.lit(1)).alias("rows"), F.count_if(F.col(REASON) != "").alias("quarantined"),
+                *[F.count_if(~cond).alias(f"v{i}") for i, _, cond in self.row]]
+
+    def repeats(self, rows: DataFrame) -> dict[str, DataFrame]:
+        """Per uniqueness check the rows beyond the first of their key, a one-row table; a null key
+        counts as a value, and the first aggregate combines map-side."""
+        return {f"v{i}": rows.groupBy(*check.needed).agg((F.count(F.lit(1)) - 1).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n")) for i, check in self.table if check.rule == "unique"}
+
+    def longest_reason(self) -> int:
+        return sum(len(_reason(c)) + 1 for _, c, _ in self.row if c.critical)
+
+
+def _reason(check: Check) -> str:
+    return f"{check.rule}:{check.column}"
+
+
+def mark(df: DataFrame, contract: Contract, references: Mapping[str, DataFrame] | None = None) -> Marked:
+    """Check every row against the row rules.
 
     Only critical row checks quarantine, also within their tolerance (Q10); the
     reason column lists them in declaration order (Q11). Checks on an absent
     column or reference are reported as SKIPPED and not scored (Q13).
-
-    ``stored`` writes the marked rows once to the shared folder, so that the
-    report and both sides read them back instead of repeating the joins.
     """
     references = references or {}
-    skipped: list[tuple[int, Check]] = []
-    row: list[tuple[int, Check, Column]] = []
-    table: list[tuple[int, Check]] = []
-    markers: list[str] = []
-    if stored and _large_reference(df, contract, references):
-        df = stage(df, "contract-input")
-    marked = df
-
+    out = Marked(df, [], [], [], [])
     for i, check in enumerate(contract.checks):
-        if any(c not in df.columns for c in check.needed):
-            skipped.append((i, check))
-        elif check.rule in ("min_count", "unique"):
-            table.append((i, check))
-        elif check.rule == "foreign_key":
-            ref = references.get(check.reference)
-            if ref is None:
-                skipped.append((i, check))
-                continue
+        missing = any(c not in df.columns for c in check.needed)
+        if not missing and check.rule in ("min_count", "unique"):
+            out.table.append((i, check))
+        elif not missing and check.rule == "foreign_key" and check.reference in references:
             # named by position: two checks on one column keep separate markers
             marker = f"__fk_{i}"
-            marked = mark_known(marked, ref, check.column, check.reference_column, marker)
-            markers.append(marker)
-            row.append((i, check, F.col(marker)))
-        elif check.rule in ROW_RULES:
-            row.append((i, check, _row_condition(df, check)))
+            out.rows = mark_known(out.rows, references[check.reference], check.column, check.reference_column, marker)
+            out.helpers.append(marker)
+            out.row.append((i, check, F.col(marker)))
+        elif not missing and check.rule in ROW_RULES and check.rule != "foreign_key":
+            out.row.append((i, check, _row_condition(df, check)))
         else:
-            skipped.append((i, check))
-
-    reasons = [
-        F.when(~cond, F.lit(f"{check.rule}:{check.column}"))
-        for _, check, cond in row if check.critical
-    ]
-    reason = F.concat_ws("|", *reasons) if reasons else F.lit("")
-    marked = marked.withColumn(REASON, reason)
-    if stored:
-        marked = stage(marked, "contract")
-
-    valid = marked.where(F.col(REASON) == "").drop(REASON, *markers)
-    quarantine = marked.where(F.col(REASON) != "").drop(*markers)
-    report = _report(marked, row, table, skipped)
-    return Outcome(valid, quarantine, report, [c for _, c in skipped])
-
-
-def _large_reference(df: DataFrame, contract: Contract, references: Mapping[str, DataFrame]) -> bool:
-    """Is there a foreign key whose check reads ``df`` more than once?"""
-    return any(
-        c.rule == "foreign_key" and c.column in df.columns and c.reference in references
-        and not fits_broadcast(
-            reference_keys(references[c.reference], c.reference_column or c.column))
-        for c in contract.checks)
-
-
-def _report(marked, row, table, skipped) -> DataFrame:
-    """Q01, Q02, Q09, Q14-Q16: one row per check."""
-    metrics = marked.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col(REASON) != "").alias("quarantined"),
-        *[F.count_if(~cond).alias(f"v{i}") for i, _, cond in row],
-    )
-    violations = {i: F.col(f"v{i}") for i, _, _ in row}
+            out.skipped.append((i, check))
+    reasons = [F.when(~cond, F.lit(_reason(check))) for _, check, cond in out.row if check.critical]
+    out.rows = out.rows.withColumn(REASON, F.concat_ws("|", *reasons) if reasons else F.lit(""))
+    return out
+
+
+def apply_contract(df: DataFrame, contract: Contract, references: Mapping[str, DataFrame] | None = None) -> Outcome:
+    """Split ``df`` into valid and quarantined rows and report every check."""
+    marked = mark(df, contract, references)
+    valid = marked.rows.where(F.col(REASON) == "").drop(REASON, *marked.helpers)
+    quarantine = marked.rows.where(F.col(REASON) != "").drop(*marked.helpers)
+    metrics = marked.rows.agg(*marked.counts())
+    metrics = metrics.withColumns({name: n.scalar() for name, n in marked.repeats(marked.rows).items()})
+    return Outcome(valid, quarantine, report_of(marked, metrics), [c for _, c in marked.skipped])
+
+
+def measured_report(spark: SparkSession, marked: Marked, figures: Mapping[str, int]) -> list[Row]:
+    """The report's rows in their order, from figures that were observed elsewhere."""
+    names = ["rows", "quarantined", *[f"v{i}" for i, _, _ in marked.row],
+             *[f"v{i}" for i, c in marked.table if c.rule == "unique"]]
+    metrics = spark.range(1).select(*[F.lit(int(figures.get(n) or 0)).cast("long").alias(n) for n in names])
+    return sorted(report_of(marked, metrics).collect(), key=lambda r: r["position"])  # one row per check
+
+
+def report_of(marked: Marked, metrics: DataFrame) -> DataFrame:
+    """Q01, Q02, Q09, Q14-Q16: one row per check from the one-row ``metrics``."""
+    row, table, skipped = marked.row, marked.table, marked.skipped
+    violations = {i: F.col(f"v{i}") for i, *_ in [*row, *table]}
     violations |= {i: F.lit(None) for i, _ in skipped}
     for i, check in table:
         if check.rule == "min_count":
             violations[i] = F.greatest(F.lit(int(check.value)) - F.col("rows"), F.lit(0))
-        else:
-            # null keys count as a value; the first aggregate combines map-side
-            per_key = marked.groupBy(*check.needed).agg((F.count(F.lit(1)) - 1).alias("n"))
-            metrics = metrics.withColumn(
-                f"v{i}", per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar())
-            violations[i] = F.col(f"v{i}")
 
     checks = [(i, c) for i, c, _ in row] + table
     known = [(i, c, False) for i, c in checks] + [(i, c, True) for i, c in skipped]

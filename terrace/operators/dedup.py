@@ -27,7 +27,7 @@ def first_per_key(
 
 
 def dedup_latest(
-    df: DataFrame, keys: Sequence[str], latest: str = "_ingestion_timestamp",
+    df: DataFrame, keys: Sequence[str], latest: str = "arrived",
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """One row per business key, the most recently ingested.

@@ -1,4 +1,4 @@
-"""Technical columns."""
+"""Where a row came from (P01-P05): one record per row, ``_origin``, and the date it arrived, which partitions bronze."""
 
 from __future__ import annotations
 
@@ -8,42 +8,42 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-def record_hash(columns: Sequence[str]) -> Column:
-    """SHA-256 of the values as text, null as empty, joined by ``||``."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
-    return F.sha2(F.concat_ws("||", *parts), 256)
+ORIGIN = "_origin"
+ARRIVED_ON = "_ingestion_date"
+PROCESSED = "_processed"
+
+
+def framed(value: Column) -> Column:
+    """A value as text behind its length, so that no other values run together to the same text; null is ``~``."""
+    text = value.cast("string")
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+
+
+def row_hash(columns: Sequence[str]) -> Column:
+    """SHA-256 of the framed values."""
+    return F.sha2(F.concat(*[framed(F.col(f"`{c}`")) for c in columns]), 256)
 
 
 def with_lineage(
-    df: DataFrame, entity: str, source_file: str, source_system: str, run_id: str,
-    ingested_at: datetime | None = None,
+    df: DataFrame, entity: str, file: str, system: str, run: str, arrived: datetime | None = None,
 ) -> DataFrame:
-    """The seven lineage columns.
+    """When, in which run and from which file of which system a row arrived, and the hash of its values.
 
-    One ``ingested_at`` for the whole run keeps a retried task from stamping
-    its rows differently.
+    One ``arrived`` for the whole run keeps a retried task from stamping its rows differently.
     """
-    stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at)
-    business = [c for c in df.columns if not c.startswith("_")]
-    return df.select("*", *[value.alias(name) for name, value in _lineage(
-        stamp.cast("timestamp"), entity, source_file, source_system, run_id, record_hash(business)).items()])
-
-
-def _lineage(stamp: Column, entity: str, file: str, system: str, run_id: str, row: Column) -> dict[str, Column]:
-    """Name and value of every lineage column."""
-    source = {"file": file, "system": system, "entity": entity}
-    return {
-        "_ingestion_timestamp": stamp, "_ingestion_date": F.date_format(stamp, "yyyy-MM-dd"),
-        **{f"_source_{part}": F.lit(value) for part, value in source.items()},
-        "_run_id": F.lit(run_id), "_record_hash": row,
-    }
+    at = (F.current_timestamp() if arrived is None else F.lit(arrived)).cast("timestamp")
+    values = [c for c in df.columns if not c.startswith("_")]
+    origin = F.struct(
+        at.alias("at"), F.lit(run).alias("run"), F.lit(system).alias("system"), F.lit(entity).alias("entity"),
+        F.lit(file).alias("file"), row_hash(values).alias("row_hash"))
+    return df.select("*", origin.alias(ORIGIN), F.date_format(at, "yyyy-MM-dd").alias(ARRIVED_ON))
 
 
-def of_the_row(columns: Sequence[str]) -> list[str]:
-    """Lineage that belongs to one raw row and not to the run: its source and its hash."""
-    return [c for c in columns if c.startswith("_source_") or c == "_record_hash"]
+def processed(df: DataFrame, run: str, at: datetime) -> DataFrame:
+    """When and in which run a derived row was made."""
+    return df.withColumn(PROCESSED, F.struct(F.lit(at).cast("timestamp").alias("at"), F.lit(run).alias("run")))
 
 
 def drop_technical(df: DataFrame, *more: str) -> DataFrame:
-    """Remove the raw row's lineage and denormalised columns."""
-    return df.drop(*of_the_row(df.columns), *more)
+    """Remove the technical records and denormalised columns."""
+    return df.drop(ORIGIN, ARRIVED_ON, PROCESSED, *more)

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as c
-from terrace.operators.ranking import SPLIT_ABOVE, ntile_of, rank_within
+from terrace.operators.quantiles import discrete
+from terrace.operators.quantiles import tiles as quantile_groups
+from terrace.operators.ranking import SPLIT_ABOVE, null_safe, rank_within
 from terrace.sources.staging import stage
 
 
@@ -22,15 +24,18 @@ def totals(
     counts: Mapping[str, Column] | None = None, distinct: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """One row per key with sums, rounded means and medians, counts of conditions and
-    numbers of different values. Medians are exact and discrete; their state grows with the
-    different values of a group, not with its rows."""
+    numbers of different values. Medians are exact and discrete, by distributed selection, for
+    which ``df`` is read again and should be a stored table."""
     parts = [F.count_if(cond).alias(name) for name, cond in (counts or {}).items()]
     parts += [F.sum(name).alias(name) for name in sums]
     parts += [c.mean_at(F.col(col), digits).alias(name) for name, (col, digits) in (means or {}).items()]
-    parts += [F.round(F.expr(f"percentile_disc(0.5) within group (order by `{col}`)"), digits).alias(name)
-              for name, (col, digits) in (medians or {}).items()]
     parts += [F.count_distinct(col).alias(name) for name, col in (distinct or {}).items()]
-    return df.groupBy(*keys).agg(*parts)
+    out = df.groupBy(*keys).agg(*parts) if parts else df.select(*keys).distinct()
+    if not medians:
+        return out
+    middle = discrete(df, {name: (col, 0.5) for name, (col, _) in medians.items()}, keys)
+    middle = middle.select(*keys, *[F.round(name, digits).alias(name) for name, (_, digits) in medians.items()])
+    return null_safe(out, stage(middle, "medians"), keys, "left")
 
 
 def reconciled(
@@ -64,13 +69,10 @@ def ranked_twice(
 
 def tiled(
     df: DataFrame, within: Sequence[str], order: str, unique: str, tiles: int, name: str,
-    labels: Mapping[int, str] | None = None, last_label: str | None = None, split_above: int = SPLIT_ABOVE,
+    labels: Mapping[int, str] | None = None, last_label: str | None = None,
 ) -> DataFrame:
     """Rows with a known ``order`` value and their quantile group, ascending, with its label."""
-    known = df.where(F.col(order).isNotNull())
-    ranked = rank_within(known, list(within), order, unique, "__rank", descending=False, size_name="__n",
-                         split_above=split_above)
-    out = ranked.withColumn(name, ntile_of(F.col("__rank"), F.col("__n"), tiles)).drop("__rank", "__n")
+    out = quantile_groups(df, list(within), order, unique, tiles, name)
     if labels is None:
         return out
     return out.withColumn(f"{name}_label", c.label_by(F.col(name), labels, default=last_label))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import mean_at, round_at
-from terrace.operators.ranking import exact_quantiles
+from terrace.operators.quantiles import interpolated
 
 
 def weighted_mean(value: Column, weight: Column, digits: int = 1) -> Column:
@@ -37,20 +37,25 @@ def critical_summary(
 
 def describe(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """One row per column with count, mean, spread, extremes and exact interpolated
-    quartiles."""
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns],
-                        F.xxhash64(*columns).alias("__tie"))
-    long = numbers.unpivot(["__tie"], list(columns), "column", "x")
-    x = F.col("x")
-    stats = long.groupBy("column").agg(
-        F.count(x).alias("n"),
-        mean_at(x, digits).alias("mean"),
-        F.round(F.stddev_samp(x), digits).alias("std"),
-        F.round(F.min(x), digits).alias("min"),
-        F.round(F.max(x), digits).alias("max"))
-    quartiles = exact_quantiles(long, "x", "__tie", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["column"])
-    rounded = [F.round(p, digits).alias(p) for p in ("p25", "p50", "p75")]
-    return stats.join(quartiles.select("column", *rounded), "column", "left")
+    quartiles.
+
+    All columns are summarised by one aggregate of one row; ``df`` should be a stored table,
+    since the quartiles read it again.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    shares = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    quartiles = interpolated(numbers, {f"{c}__{p}": (c, share) for c in columns for p, share in shares.items()})
+
+    def figures(c: str) -> dict[str, Column]:
+        x = F.col(c)
+        return {"n": F.count(x), "mean": mean_at(x, digits), "std": F.round(F.stddev_samp(x), digits),
+                "min": F.round(F.min(x), digits), "max": F.round(F.max(x), digits)}
+
+    stats = numbers.agg(*[F.struct(*[v.alias(k) for k, v in figures(c).items()]).alias(c) for c in columns])
+    stats = stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("s")) for c in columns])).alias("x"))
+    middle = quartiles.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), *[
+        F.round(F.col(f"{c}__{p}"), digits).alias(p) for p in shares]) for c in columns])).alias("x"))
+    return stats.select("x.column", "x.s.*").join(middle.select("x.*"), "column")
 
 
 def raw_profile(

@@ -14,7 +14,7 @@ Approximate quantiles only move the cuts: whatever they are, the ranks are exact
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ SPLIT_ABOVE = 1_000_000
 MAX_SPLITS = 1 << 16
 
 
-def _below(bounds: Column, col: Column, splits: int) -> Column:
+def below(bounds: Column, col: Column, splits: int) -> Column:
     """How many of at most ``splits`` sorted bounds lie below the value, by halving steps;
     0 without bounds."""
     steps = [F.lit(1 << i) for i in reversed(range(splits.bit_length()))]
@@ -53,7 +53,7 @@ def _bounds(df: DataFrame, keys: Sequence[str], col: str, splits: int, above: in
         .select(*keys, thin.alias(name)), "rank-bounds")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     names = [f"__r_{k}" for k in keys]
     right = right.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
                          *[c for c in right.columns if c not in keys])
@@ -90,16 +90,16 @@ def rank_within(
     # -1 holds the nulls, odd cells hold one value each, even cells a range between bounds
     vcell = F.when(
         present,
-        2 * _below(F.col("__vb"), F.col(value), splits)
+        2 * below(F.col("__vb"), F.col(value), splits)
         + F.coalesce(F.array_contains("__vb", F.col(value)).cast("int"), F.lit(0)),
     ).otherwise(F.lit(-1))
-    valued = _null_safe(df, bounds, group, "left").select(*df.columns, vcell.alias("__vc"))
+    valued = null_safe(df, bounds, group, "left").select(*df.columns, vcell.alias("__vc"))
 
     cell = [*group, "__vc"]
     ties = _bounds(
         valued.where(F.col("__vc") % 2 != 0), cell, tiebreak, splits, split_above, "__tb")
-    tcell = _below(F.col("__tb"), F.col(tiebreak), splits)
-    celled = _null_safe(valued, ties, cell, "left").select(
+    tcell = below(F.col("__tb"), F.col(tiebreak), splits)
+    celled = null_safe(valued, ties, cell, "left").select(
         *df.columns, "__vc", tcell.alias("__tc"))
 
     cell = [*group, "__vc", "__tc"]
@@ -117,25 +117,13 @@ def rank_within(
         "rank-offsets",
     )
     within = Window.partitionBy(*cell).orderBy(direction, tie)
-    out = _null_safe(celled, offsets, cell, "inner").withColumn(
+    out = null_safe(celled, offsets, cell, "inner").withColumn(
         name, F.col("__offset") + F.row_number().over(within))
     if size_name:
         out = out.withColumn(size_name, F.col("__size"))
     return out.drop("__vc", "__tc", "__offset", "__size")
 
 
-def ntile_of(rank: Column, size: Column, tiles: int) -> Column:
-    """The ``ntile`` of a known rank: the first ``size mod tiles`` tiles hold one row more."""
-    small = F.floor(size / F.lit(tiles))
-    extra = size - small * tiles
-    wide = extra * (small + 1)
-    return F.when(
-        rank <= wide, F.floor((rank - 1) / (small + 1)) + 1
-    ).otherwise(
-        extra + F.floor(F.try_divide(rank - wide - 1, small)) + 1
-    ).cast("int")
-
-
 def rank_extremes(
     ranked: DataFrame, k: int, period: str = "yr", rank: str = "rank_all",
     labels: tuple[str, str] = ("BEST", "WORST"), side: str = "side",
@@ -155,28 +143,3 @@ def rank_extremes(
         .withColumn(side, F.when(F.col(rank) <= k, labels[0]).otherwise(labels[1]))
         .drop("__period", "__n")
     )
-
-
-def exact_quantiles(
-    df: DataFrame, value: str, tiebreak: str, points: Mapping[str, float], by: Sequence[str],
-    split_above: int = SPLIT_ABOVE,
-) -> DataFrame:
-    """linearly interpolated quantiles per group, one column per named point, read
-    off the exact ranks.
-
-    The exact percentile aggregate would hold every distinct value of a group in
-    one buffer; here only the rows around the quantiles leave their cells. Equal
-    values may trade places, so ``tiebreak`` need not be unique here.
-    """
-    known = df.where(F.col(value).isNotNull())
-    ranked = rank_within(known, by, value, tiebreak, "__rank", descending=False,
-                         size_name="__n", split_above=split_above)
-    near, results = F.lit(False), []
-    for name, p in points.items():
-        spot = F.lit(1.0) + F.lit(float(p)) * (F.col("__n") - 1)
-        low, high = F.col("__rank") == F.floor(spot), F.col("__rank") == F.ceil(spot)
-        near = near | low | high
-        a = F.max(F.when(low, F.col(value)))
-        b = F.max(F.when(high, F.col(value)))
-        results.append((a + (b - a) * F.max(spot - F.floor(spot))).alias(name))
-    return ranked.where(near).groupBy(*by).agg(*results)

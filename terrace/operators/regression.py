@@ -10,7 +10,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.operators.ranking import exact_quantiles
+from terrace.operators.quantiles import interpolated
 from terrace.sources.staging import stage
 
 
@@ -90,7 +90,7 @@ def what_if(
     """Per period, the rows at or under the interpolated first quartile of
     ``context``, and what they would gain from ``points`` percentage points."""
     known = df.where(F.col(context).isNotNull())
-    cut = exact_quantiles(known, context, entity, {"cut": 0.25}, by)
+    cut = interpolated(known, {"cut": (context, 0.25)}, by)
     cut = stage(cut.select(*[F.col(b).alias(f"__{b}") for b in by], "cut"), "cuts")
     low = known.join(cut, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by]).where(
         F.col(context) <= F.col("cut"))

@@ -10,9 +10,13 @@ both, so entities and draws are never multiplied.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+LONGEST = 10 ** 14      # units of a weight line; a point is a number of 60 bits
+
 
 def hash_number(*parts: Column, digest_bits: int = 60) -> Column:
     """Non-negative long from SHA-256 of dash-joined parts."""
@@ -20,16 +24,16 @@ def hash_number(*parts: Column, digest_bits: int = 60) -> Column:
     return F.conv(F.substring(digest, 1, digest_bits // 4), 16, 10).cast("long")
 
 
-def _line(df: DataFrame, key: str, weight: str, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """Entities with their [lo, hi) interval, and the one-row total.
+def _line(df: DataFrame, key: str, weight: str, buckets: int, scale: int) -> tuple[DataFrame, DataFrame]:
+    """Entities with their [lo, hi) interval in units of 1 / ``scale``, and the one-row total.
 
     The running sum is taken inside hash buckets and moved by the sum of the
     buckets before, so no task sees more than one bucket.
     """
-    whole = F.when(F.col(weight) == F.floor(weight), F.col(weight).cast("long")).otherwise(
-        F.raise_error(F.lit(f"weighted_sample: {weight} has fractions; scale it to whole numbers")).cast("long"))
+    units = F.col(weight).cast("long") if scale == 1 else F.round(
+        F.col(weight).cast("double") * F.lit(float(scale))).cast("long")
     w = df.where(F.col(weight) > 0).select(
-        F.col(key).alias("key"), whole.alias("w"),
+        F.col(key).alias("key"), F.greatest(units, F.lit(1)).alias("w"),
         F.pmod(hash_number(F.col(key), digest_bits=32), F.lit(buckets)).alias("bucket"))
     sums = w.groupBy("bucket").agg(F.sum("w").alias("bw"))
     # one row per bucket: a bounded window
@@ -52,17 +56,21 @@ def weighted_sample(
 ) -> DataFrame:
     """``n`` draws (draw, key), each entity with probability weight / total.
 
-    ``key`` is unique; weights are whole numbers (a fraction raises), and rows
-    without a positive weight are never drawn. Buckets and cells grow with the
-    number of entities and draws.
+    ``key`` is unique; rows without a positive weight are never drawn. Whole weights
+    are taken as they are. With fractions the line's unit is the smallest power of ten
+    at which the line still has at most ``LONGEST`` units, so that a hashed
+    point is as good as uniform; weights are rounded to it, and no positive one to nothing.
+    Buckets and cells grow with the number of entities and draws.
     """
     spark = df.sparkSession
-    if buckets is None or cells is None:
-        entities = df.count()
-        buckets = buckets or max(4096, entities // 100_000)
-        width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        cells = cells or max(4 * width, n // 100_000, entities // 100_000)
-    line, total_row = _line(df, key, weight, buckets)
+    w = F.col(weight)
+    entities, most, fractions = df.where(w > 0).agg(
+        F.count(F.lit(1)), F.sum(w.cast("double")), F.count_if(w != F.floor(w))).first()
+    digits = 0 if not fractions else max(0, min(30, math.floor(math.log10(LONGEST / most))))
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(4096, entities // 100_000)
+    cells = cells or max(4 * width, n // 100_000, entities // 100_000)
+    line, total_row = _line(df, key, weight, buckets, 10 ** digits)
     total = total_row.scalar()
 
     starts = line.withColumn("total", total)

@@ -47,9 +47,9 @@ def baselines(
 def trajectory(
     base: Column, yr: Column, base_year: int, goal_year: int, goal: float = 80.0, digits: int = 1,
 ) -> Column:
-    """Straight line from the baseline to the goal, within 0..100."""
+    """Straight line from the baseline to the goal, within 0..100, and level after the goal year."""
     slope = (F.lit(float(goal)) - base) / F.lit(float(goal_year - base_year))
-    return F.round(_clip(base + slope * (yr - F.lit(base_year)), 0.0, 100.0), digits)
+    return F.round(_clip(base + slope * (F.least(yr, F.lit(goal_year)) - F.lit(base_year)), 0.0, 100.0), digits)
 
 
 def scaffold(groups: DataFrame, first: int, last: int) -> DataFrame:
@@ -60,10 +60,10 @@ def scaffold(groups: DataFrame, first: int, last: int) -> DataFrame:
 
 
 def group_targets(
-    base: DataFrame, base_year: int, goal_year: int, goal: float = 80.0,
+    base: DataFrame, base_year: int, goal_year: int, goal: float = 80.0, last_year: int | None = None,
 ) -> DataFrame:
     """Target rows per group and year, null before the first target year."""
-    years = scaffold(base, base_year, goal_year)
+    years = scaffold(base, base_year, last_year or goal_year)
     target = trajectory(F.col("base"), F.col("yr"), base_year, goal_year, goal)
     first = F.col("yr") > base_year
     return years.withColumn("target", F.when(first, target)).withColumn(

@@ -94,9 +94,9 @@ def target_vs_actual(spark, sf_dir):
                  {half_up('100.0::double * a.successes / a.assessed')} as computed,
                  coalesce(p.published, {half_up('100.0::double * a.successes / a.assessed')})
                    as indicator
-          from (select cast(s.yr as bigint) as yr, case when s.yr > 1995 then
-                  {half_up('greatest(least(n0 + (80.0::double - n0) / 7.0::double * (s.yr - 1995), 100.0::double), 0.0::double)')}
-                end as target from nb, generate_series(1995, 2002) as s(yr)) y
+          from (select cast(s.yr as bigint) as yr, case when s.yr > y0 then
+                  {half_up('greatest(least(n0 + (80.0::double - n0) / 7.0::double * (least(s.yr, goal) - y0), 100.0::double), 0.0::double)')}
+                end as target from nb, cal, (select unnest(range(y0, y2 + 1)) as yr from cal) as s) y
           left join (select yr, case when yr % 4 <> 0 then {half_up('computed', 0)} end as published
                      from n) p on p.yr = y.yr
           left join (select yr, cast(sum(assessed) as bigint) as assessed,

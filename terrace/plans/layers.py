@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from terrace.operators.contracts import Contract, apply_contract, enforce, summarize
-from terrace.operators.lineage import with_lineage
-from terrace.operators.runlog import Check, RunLog
+from terrace.operators.contracts import REASON, Contract, Marked, enforce, mark, measured_report, summarize
+from terrace.operators.lineage import ARRIVED_ON, processed, with_lineage
+from terrace.operators.runlog import Check, RunLog, Step
 from terrace.sources import tables
 from terrace.sources.staging import freed
 
 
+YEAR = "_year"
+
+
 @dataclass
 class Lakehouse:
     """Where the layers lie, how they are written, and what happened to them."""
@@ -27,6 +33,7 @@ class Lakehouse:
     fmt: str = "parquet"
     stop_on_critical: bool = True
     parallel: int = 4
+    derived: Sequence[str] = ("silver", "gold")     # layers whose rows carry when they were made
     log: RunLog | None = None
 
     def __post_init__(self):
@@ -38,8 +45,12 @@ class Lakehouse:
     def read(self, layer: str, table: str) -> DataFrame:
         return tables.read_table(self.spark, self.location(layer, table), self.fmt)
 
-    def reset(self, layers: Sequence[str] = ("bronze", "silver", "gold", "_quarantine")) -> None:
-        """Full reprocess, table directories removed layer by layer."""
+    def make_location(self, layer: str, table: str) -> None:
+        """An empty table directory, for a reader that starts before the first writer."""
+        tables.make_dir(self.spark, self.location(layer, table))
+
+    def reset(self, layers: Sequence[str] = ("bronze", "silver", "gold", "refused", "_quarantine", "_checkpoints")) -> None:
+        """Full reprocess, table directories removed layer by layer, and how far the streams had read."""
         for layer in layers:
             tables.drop_table_dir(self.spark, f"{self.root}/{layer}")
 
@@ -50,45 +61,109 @@ class Lakehouse:
     ) -> DataFrame:
         """Contract, quarantine, fail-fast, write, log.
 
-        The table is computed once into the shared folder; the report, the
-        valid rows and the quarantine all read that copy. The quarantine is
-        written before a critical failure raises, so the cause can be looked at
-        (D5); a run without quarantined rows removes that of the run before. The
-        copy is removed at the end. ``cluster=False`` spares the shuffle of rows
-        whose partition value is constant.
+        Rows are written once, refused ones under their reason as a partition
+        value, and the checks are counted in that very write. The quarantine
+        takes its place before a critical failure raises, so the cause can be
+        looked at (D5); a run without quarantined rows removes that of the run
+        before. Valid rows become the table by renaming, or not at all.
+        ``overwrite="dynamic"`` replaces only the partitions the rows bring. ``cluster=False`` spares the shuffle of rows whose
+        partition value is constant.
+        """
+        with self.log.step(layer, table, self.location(layer, table)) as step:
+            self.take_in(step, df, layer, table, references, partition_by, overwrite, cluster)
+        return self.read(layer, table)
+
+    def take_in(
+        self, step: Step, df: DataFrame, layer: str, table: str,
+        references: Mapping[str, DataFrame] | None = None, partition_by: Sequence[str] = (),
+        overwrite: str = "static", cluster: bool = True, batchwise: bool = False,
+    ) -> None:
+        """What ``publish`` does inside a step that is already open; figures add up over calls.
+
+        ``batchwise`` keeps the quarantine of the batches before, each a partition.
         """
         contract = self.contracts.get(layer, {}).get(table, Contract())
         location = self.location(layer, table)
-        with self.log.step(layer, table, location) as step, freed(self.spark):
-            outcome = apply_contract(df, contract, references, stored=True)
-            report = sorted(outcome.report.collect(), key=lambda r: r["position"])
+        if layer in self.derived:
+            df = processed(df, self.log.run_id, datetime.now(timezone.utc))
+        with freed(self.spark), self._staging() as path:
+            marked = mark(df, contract, references)
+            figures = self._write(marked, path, partition_by, cluster)
+            report = measured_report(self.spark, marked, figures)
             summary = summarize(report)
-            step.rows_in = summary["rows_in"]
-            step.rows_quarantined = summary["rows_quarantined"]
-            step.quality_score = summary["score"]
-            step.checks = [Check(r["rule"], r["column"], r["critical"], r["status"], r["detail"])
-                           for r in report if r["position"] > 0]
-            if summary["rows_quarantined"]:
-                tables.write_quarantine(outcome.quarantine, self.root, layer, table)
-            else:
-                tables.drop_table_dir(self.spark, tables.quarantine_location(self.root, layer, table))
+            step.rows_in += summary["rows_in"]
+            step.rows_quarantined += summary["rows_quarantined"]
+            step.add_checks(summary["score"], [
+                Check(r["rule"], r["column"], r["critical"], r["status"], r["detail"]) for r in report if r["position"] > 0])
+            self._quarantine(path, layer, table, bool(summary["rows_quarantined"]), partition_by, batchwise)
             if self.stop_on_critical:
                 enforce(report, f"{layer}.{table}")
-            tables.write_table(outcome.valid, location, partition_by=partition_by,
-                               overwrite=overwrite, fmt=self.fmt, cluster=cluster)
-            step.rows_out = summary["rows_valid"]
-        return self.read(layer, table)
+            if summary["rows_valid"] == 0 and not (overwrite == "dynamic" and partition_by):
+                # no row, no file: the table still has its columns
+                tables.write_table(tables.empty_like(df), f"{path}/valid", fmt=self.fmt)
+            if self.fmt == "parquet" or summary["rows_valid"] == 0:
+                if tables.exists(self.spark, f"{path}/valid"):
+                    tables.swap_in(self.spark, f"{path}/valid", location, partition_by, overwrite)
+            else:
+                valid = self.spark.read.schema(df.schema).parquet(f"{path}/valid")
+                tables.write_table(valid, location, partition_by=partition_by, overwrite=overwrite, fmt=self.fmt)
+            step.rows_out += summary["rows_valid"]
+
+    @contextmanager
+    def _staging(self) -> Iterator[str]:
+        """A folder beside the layers, hence on their file system, that does not outlive the step."""
+        path = f"{self.root}/_staging/{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            tables.drop_table_dir(self.spark, path)
+
+    def _write(self, marked: Marked, path: str, partition_by: Sequence[str], cluster: bool) -> dict[str, int]:
+        """Write marked rows once, to ``valid`` and ``refused`` under ``path``; returns the checks' figures."""
+        rows = marked.rows
+        if partition_by and cluster:
+            rows = rows.hint("rebalance", *partition_by, REASON)
+        # behind the shuffle: a map task that runs again would be counted again
+        seen = Observation(f"publish-{uuid.uuid4().hex}")
+        rows = rows.observe(seen, *marked.counts()).drop(*marked.helpers)
+        rows = rows.withColumn(REASON, F.nullif(F.col(REASON), F.lit("")))
+        rows.write.option("compression", "snappy").partitionBy(REASON, *partition_by).parquet(f"{path}/refused")
+        figures = dict(seen.get)
+        if repeats := marked.repeats(self.spark.read.schema(rows.schema).parquet(f"{path}/refused")):
+            figures |= {name: n.first()[0] for name, n in repeats.items()}
+        valid = f"{path}/refused/{REASON}=__HIVE_DEFAULT_PARTITION__"
+        if tables.exists(self.spark, valid):
+            tables.replace_dir(self.spark, valid, f"{path}/valid")
+        return figures
+
+    def _quarantine(
+        self, path: str, layer: str, table: str, refused: bool, partition_by: Sequence[str], batchwise: bool,
+    ) -> None:
+        """Refused rows of one table take the place of those of the run before."""
+        location = tables.quarantine_location(self.root, layer, table)
+        if not batchwise:
+            tables.drop_table_dir(self.spark, location)
+        if refused:
+            tables.swap_in(self.spark, f"{path}/refused", location, [REASON, *partition_by],
+                           "dynamic" if batchwise else "static")
 
     def ingest(
         self, entity: str, source: str, schema: StructType, system: str,
-        ingested_at: datetime | None = None, partition_by: Sequence[str] = ("_ingestion_date",),
+        ingested_at: datetime | None = None, partition_by: Sequence[str] = (ARRIVED_ON,), year_of: str | None = None,
     ) -> DataFrame:
-        """CSV to bronze with lineage; an earlier ingestion date stays untouched."""
-        raw = tables.scan_csv(self.spark, source, schema)
-        stamped = with_lineage(raw, entity, source.rsplit("/", 1)[-1], system, self.log.run_id,
-                               ingested_at)
-        return self.publish(stamped, "bronze", entity, partition_by=partition_by,
-                            overwrite="dynamic", cluster=set(partition_by) != {"_ingestion_date"})
+        """CSV to bronze with lineage; an earlier ingestion date stays untouched.
+
+        ``year_of`` names a date whose year parts the table inside the other partitions (S07).
+        """
+        with self.log.step("bronze", entity, self.location("bronze", entity)) as step:
+            raw = tables.scan_csv(self.spark, source, schema)
+            stamped = with_lineage(raw, entity, source.rsplit("/", 1)[-1], system, self.log.run_id, ingested_at)
+            if year_of:
+                stamped = stamped.withColumn(YEAR, F.year(year_of))
+                partition_by = [*partition_by, YEAR]
+            self.take_in(step, stamped, "bronze", entity, partition_by=partition_by, overwrite="dynamic",
+                         cluster=set(partition_by) != {ARRIVED_ON})
+        return self.read("bronze", entity)
 
     def together(self, *jobs: Callable[[], object]) -> list:
         """Independent steps submitted side by side, so that one step's small jobs

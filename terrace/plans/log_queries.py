@@ -6,6 +6,8 @@ so the log grows with the events.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from terrace.operators import runlog
@@ -183,12 +185,13 @@ def engine_log(spark, sf_dir):
 @query("manifest", " union all ".join(
     f"""select '{t}' as table_name, (select count(*) from {t}) as rows,
         string_agg(column_name, ', ' order by ordinal_position) as columns,
-        'SUPPLIED' as provenance
+        'SUPPLIED' as provenance, 42::bigint as seed, timestamp '2026-01-15 06:30:00' as made_at
         from (select distinct column_name, ordinal_position from information_schema.columns
               where table_name = '{t}')""" for t in TABLES))
 def manifest(spark, sf_dir):
     """S20."""
-    return table_manifest({t: table(spark, sf_dir, t) for t in TABLES})
+    made = table_manifest({t: table(spark, sf_dir, t) for t in TABLES}, seed=42, made_at=datetime(2026, 1, 15, 6, 30))
+    return made.withColumn("made_at", F.col("made_at").cast("timestamp_ntz"))
 
 
 @query("data_dictionary", " union all ".join(

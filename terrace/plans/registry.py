@@ -70,12 +70,14 @@ n as (
   select yr, assessed, successes,
          {half_up('100.0::double * successes / assessed')} as computed
   from nsum),
+cal as (
+  select min(yr) as y0, max(yr) as y1, min(yr) + 7 as goal, greatest(max(yr), min(yr) + 7) as y2 from g),
 b0 as (
-  select group_id, max(computed) filter (where yr = 1995) as b0,
-         max(computed) filter (where yr = 1996) as b1 from g group by 1),
+  select group_id, max(computed) filter (where yr = y0) as b0,
+         max(computed) filter (where yr = y0 + 1) as b1 from g, cal group by 1),
 nb as (
-  select max(computed) filter (where yr = 1995) as n0,
-         max(computed) filter (where yr = 1996) as n1 from n),
+  select max(computed) filter (where yr = y0) as n0,
+         max(computed) filter (where yr = y0 + 1) as n1 from n, cal),
 base as (
   select nat.group_id, coalesce(b0, b1 - (n1 - n0), n0) as base,
          case when b0 is not null then 'BASE_YEAR' when b1 is not null then 'NEXT_YEAR'
@@ -83,11 +85,11 @@ base as (
   from nat left join b0 using (group_id), nb),
 tgt as (
   select group_id, base, base_source, cast(y.yr as bigint) as yr,
-         case when y.yr > 1995 then
-           {half_up('greatest(least(base + (80.0::double - base) / 7.0::double * (y.yr - 1995), 100.0::double), 0.0::double)')}
+         case when y.yr > y0 then
+           {half_up('greatest(least(base + (80.0::double - base) / 7.0::double * (least(y.yr, goal) - y0), 100.0::double), 0.0::double)')}
          end as target,
-         case when y.yr > 1995 then 'DERIVED_TRAJECTORY' end as target_source
-  from base, generate_series(1995, 2002) as y(yr)),
+         case when y.yr > y0 then 'DERIVED_TRAJECTORY' end as target_source
+  from base, cal, (select unnest(range(y0, y2 + 1)) as yr from cal) as y),
 fact0 as (
   select ey.yr, ey.entity_id, ey.assessed, least(ey.successes, ey.assessed) as successes,
          {half_up('100.0::double * ey.successes / ey.assessed')} as indicator, tgt.target

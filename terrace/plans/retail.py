@@ -3,12 +3,14 @@
 Group = nation, entity = customer, year = order year, assessed = orders of a
 customer in a year, success = an order of at least 250000, context = account
 balance. "Published" is the nation's indicator rounded to a whole percent and
-missing for some (year, nation). Targets run from the 1995 baseline to 80 in 2002.
+missing for some (year, nation). Targets run from the first year of the orders to 80 seven
+years later and stay there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,15 +22,38 @@ from terrace.operators.enrich import enrich
 from terrace.sources.schemas import SCHEMAS
 
 SUCCESS_PRICE = 250000
-BASE_YEAR = 1995
-LAST_YEAR = 2001
-GOAL_YEAR = 2002
+GOAL_AFTER = 7      # years from the first one
 GOAL = 80.0
 MICRO_CUTOFF = 25
 SIZE_EDGES = (2000, 6000)
 SIZE_LABELS = ("SMALL", "MEDIUM", "LARGE")
 
 
+@dataclass(frozen=True)
+class Calendar:
+    """The years that the orders cover, and the year of the goal."""
+
+    first: int
+    last: int
+
+    @property
+    def goal(self) -> int:
+        return self.first + GOAL_AFTER
+
+    @property
+    def end(self) -> int:
+        """Last year of all tables by year: no observed year is left out."""
+        return max(self.last, self.goal)
+
+
+def calendar_of(groups: DataFrame) -> Calendar:
+    """Two numbers from one aggregate over the stored ``group_years``."""
+    first, last = groups.agg(F.min("yr"), F.max("yr")).first()
+    if first is None:
+        raise ValueError("the orders hold no year")
+    return Calendar(first, last)
+
+
 # Reads a named input table, from the supplied files or from a bronze layer.
 Read = Callable[[str], DataFrame]
 
@@ -109,9 +134,9 @@ def national_years(groups: DataFrame) -> DataFrame:
 
 def targets_of(read: Read, groups: DataFrame) -> DataFrame:
     """(year, group) targets; ``groups`` is the staged ``group_years``."""
-    names = dim_group(read)
-    base = t.baselines(names, groups, national_years(groups), BASE_YEAR)
-    return t.group_targets(base, BASE_YEAR, GOAL_YEAR, GOAL)
+    names, years = dim_group(read), calendar_of(groups)
+    base = t.baselines(names, groups, national_years(groups), years.first)
+    return t.group_targets(base, years.first, years.goal, GOAL, last_year=years.end)
 
 
 def published_of(groups: DataFrame, targets: DataFrame) -> DataFrame:
@@ -154,20 +179,21 @@ def micro_fact(read: Read) -> DataFrame:
 
 
 def national_fact(groups: DataFrame) -> DataFrame:
-    """National targets up to the goal year, with the published value where there is one.
+    """National targets of all years up to the goal year or the last one, with the published value where there is one.
 
     The published value is the whole-percent national indicator, missing every fourth year.
     """
     national = national_years(groups)
-    base = t.national_value(national, BASE_YEAR)
+    calendar = calendar_of(groups)
+    base = t.national_value(national, calendar.first)
     known = national.select(
         "yr",
         F.when(F.col("yr") % 4 != 0, F.round("computed", 0)).alias("published"))
-    years = groups.sparkSession.range(BASE_YEAR, GOAL_YEAR + 1).select(F.col("id").alias("yr"))
+    years = groups.sparkSession.range(calendar.first, calendar.end + 1).select(F.col("id").alias("yr"))
     years = years.withColumn("__base", base)
-    target = t.trajectory(F.col("__base"), F.col("yr"), BASE_YEAR, GOAL_YEAR, GOAL)
+    target = t.trajectory(F.col("__base"), F.col("yr"), calendar.first, calendar.goal, GOAL)
     return (
-        years.withColumn("target", F.when(F.col("yr") > BASE_YEAR, target))
+        years.withColumn("target", F.when(F.col("yr") > calendar.first, target))
         .join(known, "yr", "left")
         .select("yr", "target", "published",
                 c.available(F.col("published")).alias("available"),

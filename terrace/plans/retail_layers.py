@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.contracts import load_contracts
 from terrace.operators.dedup import dedup_latest
-from terrace.operators.lineage import drop_technical
+from terrace.operators.lineage import ORIGIN, drop_technical
 from terrace.plans import retail
 from terrace.plans import retail_products as products
-from terrace.plans.layers import Lakehouse
+from terrace.plans.layers import YEAR, Lakehouse
+from terrace.plans.retail_stream import run_stream
 from terrace.sources.schemas import SCHEMAS
 from terrace.sources.staging import freed
+from terrace.streaming import events as ev
 
 CONTRACTS = Path(__file__).parent / "contracts"
 
@@ -23,30 +25,35 @@ CONTRACTS = Path(__file__).parent / "contracts"
 # are unique: only rows that agree in everything are versions of each other.
 KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
-    "orders": ["o_orderkey"], "part": ["p_partkey"], "lineitem": ["_record_hash"],
+    "orders": ["o_orderkey"], "part": ["p_partkey"], "lineitem": ["row_hash"],
 }
-STAGES = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold")
+STAGES = (*LAYERS, "stream")
+
+# Tables that bronze also parts by the year of a date, inside the day of arrival.
+YEAR_OF = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
 
 
 def lakehouse(spark: SparkSession, root: str, **options) -> Lakehouse:
     """A lakehouse at ``root`` under the shipped contracts (Q18, Q19)."""
-    contracts = {layer: load_contracts(CONTRACTS / f"{layer}.yml") for layer in STAGES}
+    contracts = {layer: load_contracts(CONTRACTS / f"{layer}.yml") for layer in LAYERS}
     return Lakehouse(spark, root, contracts, **options)
 
 
-def run_bronze(lake: Lakehouse, landing: str) -> None:
+def run_bronze(lake: Lakehouse, landing: str, names: Sequence[str] = tuple(KEYS)) -> None:
     """CSV files ``<landing>/<table>.csv`` to bronze."""
     lake.together(*[
-        partial(lake.ingest, name, f"{landing}/{name}.csv", SCHEMAS[name], "RETAIL")
-        for name in KEYS
+        partial(lake.ingest, name, f"{landing}/{name}.csv", SCHEMAS[name], "RETAIL", year_of=YEAR_OF.get(name))
+        for name in names
     ])
 
 
 def current(lake: Lakehouse, name: str) -> DataFrame:
     """Latest version of every business key in a bronze table."""
     bronze = lake.read("bronze", name)
-    latest = dedup_latest(bronze, KEYS[name], "_ingestion_timestamp", ["_record_hash"])
-    return drop_technical(latest, "_ingestion_timestamp", "_ingestion_date", "_run_id")
+    bronze = bronze.select("*", bronze[ORIGIN]["at"].alias("arrived"), bronze[ORIGIN]["row_hash"].alias("row_hash"))
+    latest = dedup_latest(bronze, KEYS[name], "arrived", ["row_hash"])
+    return drop_technical(latest, "arrived", "row_hash", YEAR)
 
 
 def publish_micro(lake: Lakehouse) -> DataFrame:
@@ -55,24 +62,26 @@ def publish_micro(lake: Lakehouse) -> DataFrame:
     return lake.publish(lines, "silver", "fact_micro", {"part": current(lake, "part")}, partition_by=["yr"])
 
 
+def run_dimensions(lake: Lakehouse) -> tuple[DataFrame, DataFrame]:
+    """Nations, then customers, whose nation must be known."""
+    read = partial(current, lake)
+    nations = lake.publish(retail.dim_group(read), "silver", "dim_group")
+    return nations, lake.publish(retail.dim_entity(read), "silver", "dim_entity", {"dim_group": nations})
+
+
 def run_silver(lake: Lakehouse) -> None:
     """Bronze to dimensions and facts; later facts check their keys against the dimensions."""
 
     def read(name: str) -> DataFrame:
         return current(lake, name)
 
-    def dimensions():
-        nations = lake.publish(retail.dim_group(read), "silver", "dim_group")
-        return nations, lake.publish(
-            retail.dim_entity(read), "silver", "dim_entity", {"dim_group": nations})
-
     def totals_and_targets():
         years = lake.publish(retail.entity_years(read), "silver", "entity_years")
         totals = lake.publish(retail.group_years(years), "silver", "group_years")
         return years, totals, lake.publish(retail.targets_of(read, totals), "silver", "group_targets")
 
     (nations, entities), (years, totals, targets), _ = lake.together(
-        dimensions, totals_and_targets, lambda: publish_micro(lake))
+        partial(run_dimensions, lake), totals_and_targets, lambda: publish_micro(lake))
     lake.together(
         lambda: lake.publish(retail.national_fact(totals), "silver", "fact_national"),
         lambda: lake.publish(retail.published_of(totals, targets), "silver", "fact_group",
@@ -112,5 +121,8 @@ def run(lake: Lakehouse, landing: str, stages: Sequence[str] = STAGES, reprocess
                 run_silver(lake)
             if "gold" in stages:
                 run_gold(lake)
+            if "stream" in stages:
+                lines = ev.text_stream(lake.spark, f"{landing}/events")
+                run_stream(lake, ev.stamped(lines, "file", lake.log.run_id))
     finally:
         lake.save_log()

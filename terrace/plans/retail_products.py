@@ -11,6 +11,7 @@ from terrace.functions import columns as c
 from terrace.operators import products as p
 from terrace.operators.enrich import enrich, prefer_published
 from terrace.operators.ranking import SPLIT_ABOVE, rank_extremes
+from terrace.sources.staging import stage
 
 # Edges and names of the bands, names of the quarters.
 BANDS = ((40, "CRITICAL"), (60, "ATTENTION"), (80, "ADEQUATE"), (None, "ADVANCED"))
@@ -60,11 +61,12 @@ def national_evolution(national: DataFrame, view: DataFrame, goal: float = 80.0)
         "distance_to_goal", c.gap(F.lit(float(goal)), F.col("indicator")))
 
 
-def inequality_panel(view: DataFrame, split_above: int = SPLIT_ABOVE) -> DataFrame:
-    """Region by quarter of the year's entities along the context."""
-    quarters = p.tiled(view, ["yr"], "context", "entity_id", 4, "quartile", QUARTERS, LAST_QUARTER, split_above)
+def inequality_panel(view: DataFrame) -> DataFrame:
+    """Region by quarter of the year's entities along the context; ``view`` is a stored table."""
+    needed = view.select("yr", "region", "entity_id", "context", "indicator", "assessed", "shortfall")
+    quarters = p.tiled(needed, ["yr"], "context", "entity_id", 4, "quartile", QUARTERS, LAST_QUARTER)
     return p.totals(
-        quarters, ["yr", "region", "quartile", "quartile_label"], ["assessed", "shortfall"],
+        stage(quarters, "quarters"), ["yr", "region", "quartile", "quartile_label"], ["assessed", "shortfall"],
         means={"indicator_mean": ("indicator", 1), "context_mean": ("context", 3)},
         medians={"indicator_median": ("indicator", 1)}, counts={"entities": F.lit(True)})
 

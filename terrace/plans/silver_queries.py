@@ -20,18 +20,16 @@ _INGESTED = datetime(2026, 1, 15, 6, 30)
 
 @query("bronze_lineage_hash", """
     select c_custkey, c_name, c_nationkey, c_mktsegment,
-           timestamp '2026-01-15 06:30:00' as _ingestion_timestamp,
-           '2026-01-15' as _ingestion_date, 'customer.csv' as _source_file,
-           'RETAIL' as _source_system, 'customer' as _source_entity, 'run-1' as _run_id,
-           sha256(concat_ws('||', coalesce(cast(c_custkey as varchar), ''), coalesce(c_name, ''),
-                            coalesce(cast(c_nationkey as varchar), ''),
-                            coalesce(c_mktsegment, ''))) as _record_hash
+           timestamp '2026-01-15 06:30:00' as at, '2026-01-15' as _ingestion_date, 'customer.csv' as file,
+           'RETAIL' as system, 'customer' as entity, 'run-1' as run,
+           sha256(""" + " || ".join(f"coalesce(length(cast({x} as varchar)) || ':' || cast({x} as varchar), '~')" for x in (
+               "c_custkey", "c_name", "c_nationkey", "c_mktsegment")) + """) as row_hash
     from customer""")
 def bronze_lineage_hash(spark, sf_dir):
     """P01, P02, F05."""
     df = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     out = lineage.with_lineage(df, "customer", "customer.csv", "RETAIL", "run-1", _INGESTED)
-    return out.withColumn("_ingestion_timestamp", F.lit(_INGESTED).cast("timestamp_ntz"))
+    return out.select("*", "_origin.*").drop("_origin").withColumn("at", F.lit(_INGESTED).cast("timestamp_ntz"))
 
 
 _LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
@@ -115,9 +113,9 @@ def dim_entity(spark, sf_dir):
 @query("fact_national", with_model(f"""
     select y.yr as yr, y.target, published, published is not null as available,
            {half_up('published - y.target')} as published_gap
-    from (select cast(s.yr as bigint) as yr, case when s.yr > 1995 then
-            {half_up('greatest(least(n0 + (80.0::double - n0) / 7.0::double * (s.yr - 1995), 100.0::double), 0.0::double)')}
-          end as target from nb, generate_series(1995, 2002) as s(yr)) y
+    from (select cast(s.yr as bigint) as yr, case when s.yr > y0 then
+            {half_up('greatest(least(n0 + (80.0::double - n0) / 7.0::double * (least(s.yr, goal) - y0), 100.0::double), 0.0::double)')}
+          end as target from nb, cal, (select unnest(range(y0, y2 + 1)) as yr from cal) as s) y
     left join (select yr, case when yr % 4 <> 0 then {half_up('computed', 0)} end as published
                from n) p on p.yr = y.yr"""))
 def fact_national(spark, sf_dir):

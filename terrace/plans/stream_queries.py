@@ -4,70 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from terrace.plans import retail_layers
 from terrace.plans.registry import half_up, query
-from terrace.plans.retail import table
-from terrace.sources.schemas import schema
+from terrace.plans.retail_stream import FORM, SLICES, deliver, land_events, measures, records, run_stream
+from terrace.session import state_on_disk
 from terrace.sources.staging import scratch_path
 from terrace.streaming import events as ev
 from terrace.streaming import runs
 
-FORM = ev.EventFormat(
-    payload=schema(event_id="string", event_type="string", user_id="long", team="string", sent_at="string",
-                   value="double", k="int"),
-    key="event_id", time="sent_at", required=("user_id",),
-    allowed={"event_type": ("click", "purchase", "signup", "view")}, codes=("team",))
-
-SLICES = 5
-
-
-def measures():
-    """What is counted per window and team."""
-    bought = F.col("event_type") == "purchase"
-    large = F.avg(F.when(bought, (F.col("value") >= 250).cast("int"))) * 100
-    return (
-        F.count(F.lit(1)).alias("events"), F.count_if(bought).alias("purchases"),
-        F.sum(F.when(bought, F.col("value").cast("decimal(18,2)"))).cast("double").alias("revenue"),
-        F.round(large + 1e-8, 1).alias("large_pct"), F.max("latency_s").alias("latency_max_s"),
-        F.approx_count_distinct("user_id").alias("users"))
-
-
-def records(spark, sf_dir):
-    """Events as records with a JSON payload; a record arrives the event's k seconds after it is sent."""
-    events = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int"))
-    ts = F.col("ts").cast("timestamp")
-    payload = F.to_json(F.struct(
-        F.col("event_id").cast("string").alias("event_id"), "event_type", "user_id",
-        F.concat(F.lit(" t"), (F.col("user_id") % 5).cast("string")).alias("team"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("sent_at"), "value", "k"))
-    return events.select(
-        F.col("user_id").cast("string").cast("binary").alias("key"),
-        payload.cast("binary").alias("value"), F.lit("events").alias("topic"),
-        F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
-        F.timestamp_seconds(F.unix_timestamp(ts) + F.col("k")).alias("timestamp"), ts.alias("_ts"))
-
-
-def deliver(batch, path, write):
-    """Write the records slice by slice in the order of their time.
-
-    A slice is as many files as a trigger takes, so each trigger brings one
-    slice and no event is older than the watermark when it arrives.
-    """
-    ends = batch.select(F.percentile_approx(F.unix_micros("_ts"), [k / SLICES for k in range(1, SLICES)])).first()[0]
-    at = F.unix_micros("_ts")
-    for low, high in zip([None, *(ends or [])], [*(ends or []), None], strict=True):
-        part = batch if low is None else batch.where(at > low)
-        part = part if high is None else part.where(at <= high)
-        write(part.repartition(ev.MAX_FILES).drop("_ts").write.mode("append"), path)
-
 
-def record_stream(spark, sf_dir, copies: int = 1):
-    """The records as a stream of files, every record delivered ``copies`` times."""
+def record_stream(spark, sf_dir, copies: int = 1, late: bool = False):
+    """The records as a stream of files, every record delivered ``copies`` times, and ``late`` ones after all."""
     batch = records(spark, sf_dir)
     for _ in range(copies - 1):
         batch = batch.unionByName(records(spark, sf_dir))
     path = scratch_path(spark, "records")
-    deliver(batch, path, lambda writer, to: writer.parquet(to))
+    deliver(batch, path, lambda writer, to: writer.parquet(to), late)
     stream = spark.readStream.schema(ev.RECORD).option("maxFilesPerTrigger", ev.MAX_FILES).parquet(path)
     return ev.stamped(ev.envelope(stream), "records", "run-1")
 
@@ -75,7 +27,7 @@ def record_stream(spark, sf_dir, copies: int = 1):
 def finish(spark, stream, partition_by=()):
     """Run one query over everything available, to the end, and read its sink."""
     path = scratch_path(spark, "sink")
-    started = runs.run_to_table(stream, path, scratch_path(spark, "checkpoint"), partition_by, None)
+    started = runs.to_files(stream, path, scratch_path(spark, "checkpoint"), partitionBy=list(partition_by))
     runs.supervise({"stream": started})
     return spark.read.schema(stream.schema).parquet(path)
 
@@ -106,34 +58,34 @@ def stream_parse(spark, sf_dir):
     select cast(user_id as varchar) as _key, 'events' as _topic, event_id as _offset,
            date_trunc('second', ts) + to_seconds(cast(json_extract(props, '$.k') as bigint))
              as _received_at,
-           'records' as _stream_source, 'run-1' as _run_id, cast(event_id as varchar) as payload_id
+           'records' as system, 'run-1' as run, cast(event_id as varchar) as payload_id
     from events""")
 def stream_bronze(spark, sf_dir):
     """E01, P03, S11, S08."""
     out = finish(spark, record_stream(spark, sf_dir), ["_ingestion_date"])
     return _ntz(out.select(
-        "_key", "_topic", "_offset", "_received_at", "_stream_source", "_run_id",
+        "_key", "_topic", "_offset", "_received_at", "_origin.system", "_origin.run",
         F.get_json_object("_payload", "$.event_id").alias("payload_id")), "_received_at")
 
 
 @query("stream_text_source", f"""
-    with {_EVENTS} select event_id, event_type, sent_at, value, 'file' as _stream_source from ev where valid""")
+    with {_EVENTS} select event_id, event_type, sent_at, value, 'file' as system from ev where valid""")
 def stream_text_source(spark, sf_dir):
     """JSON lines in text files, read under the cap of files per trigger."""
-    lines = records(spark, sf_dir).select(F.col("value").cast("string").alias("value"), "_ts")
     path = scratch_path(spark, "lines")
-    deliver(lines, path, lambda writer, to: writer.text(to))
+    land_events(spark, sf_dir, path)
     stream, source = ev.open_source(spark, path)
     good = ev.accepted(ev.decode(ev.stamped(stream, source, "run-1"), FORM))
-    out = finish(spark, good.select("event_id", "event_type", "sent_at", "value", "_stream_source"))
+    out = finish(spark, good.select("event_id", "event_type", "sent_at", "value", "_origin.system"))
     return _ntz(out, "sent_at")
 
 
 @query("stream_dedup", f"with {_EVENTS} select {', '.join(_DECODED)} from ev where valid")
 def stream_dedup(spark, sf_dir):
-    """Every record is delivered twice, every valid event is kept once."""
+    """Every record is delivered twice, every valid event is kept once; the keys seen lie on disk."""
     decoded = ev.decode(record_stream(spark, sf_dir, copies=2), FORM)
-    return _ntz(finish(spark, ev.once(ev.accepted(decoded).select(*_DECODED), FORM)), "sent_at")
+    with state_on_disk(spark):
+        return _ntz(finish(spark, ev.once(ev.accepted(decoded).select(*_DECODED), FORM)), "sent_at")
 
 
 @query("stream_quarantine", f"""
@@ -153,23 +105,36 @@ w as (
   select time_bucket(interval '5 minutes', sent_at) as window_start, team,
          count(*) as events, count(*) filter (where event_type = 'purchase') as purchases,
          cast(sum(cast(value as decimal(18,2))) filter (where event_type = 'purchase') as double) as revenue,
+         {half_up("cast(sum(cast(value as decimal(18,2))) filter (where event_type = 'purchase') as double)"
+                  " / nullif(count(*) filter (where event_type = 'purchase'), 0)", 2)} as purchase_mean,
          {half_up("avg(case when event_type = 'purchase' then cast(value >= 250 as integer) end) * 100")}
            as large_pct,
-         max(latency_s) as latency_max_s, count(distinct user_id) as users
+         max(latency_s) as latency_max_s, {half_up("avg(latency_s)", 2)} as latency_mean_s,
+         count(distinct user_id) as users
   from ev where valid group by 1, 2)
 """
 _CLOSED = """window_start + interval '5 minutes'
   <= (select max(sent_at) - interval '10 minutes' from ev where valid)"""
 
 
+def tiers(spark, sf_dir):
+    """All tiers over records that come twice, and late ones; the lake and the progress of its queries."""
+    lake = retail_layers.lakehouse(spark, scratch_path(spark, "tiers"))
+    bronze = record_stream(spark, sf_dir, copies=2, late=True)
+    with runs.counted(spark) as progress:
+        run_stream(lake, bronze)
+        progress.complete()
+    return lake, progress
+
+
 @query("stream_windows", f"""
     with {_EVENTS}, {_WINDOWS} select window_start, window_start + interval '5 minutes' as window_end, team,
-      events, purchases, revenue, large_pct, latency_max_s from w where {_CLOSED}""")
+      events, purchases, revenue, purchase_mean, large_pct, latency_max_s, latency_mean_s from w where {_CLOSED}""")
 def stream_windows(spark, sf_dir):
-    """Closed windows only; records delivered twice count once."""
-    good = ev.accepted(ev.decode(record_stream(spark, sf_dir, copies=2), FORM))
-    out = finish(spark, ev.window_metrics(good, FORM, ["team"], measures(), deduplicate=True))
-    return _ntz(out.drop("users"), "window_start", "window_end")
+    """Closed windows over the deduplicated tier; records that come twice
+    count once, and late ones not at all."""
+    lake, _ = tiers(spark, sf_dir)
+    return _ntz(lake.read("gold", "event_windows").drop("users", runs.BATCH), "window_start", "window_end")
 
 
 @query("approx_distinct", f"""
@@ -192,17 +157,22 @@ def approx_distinct(spark, sf_dir):
 
 @query("stream_progress", f"""
     with {_EVENTS}, {_WINDOWS},
-    c as (select count(*) as n, count(*) filter (where valid) as v from ev)
-    select 'bronze' as query, n as recent_rows_read, n as rows_written, true as timed, true as triggers from c
-    union all select 'silver', n, v, true, true from c
-    union all select 'quarantine', n, n - v, true, true from c
-    union all select 'gold', n, (select count(*) from w where {_CLOSED}), true, true from c""")
+    late as (
+      select count(*) as n, count(*) filter (where valid) as v from ev
+      where cast(event_id as bigint) % 20 = 3 and sent_at < (select max(sent_at) - interval '1 hour' from ev)),
+    c as (select 2 * count(*) + (select n from late) as n, count(*) filter (where valid) as v,
+                 2 * count(*) filter (where not valid) + (select n - v from late) as bad from ev)
+    select 'bronze.event_stream' as query, n as rows_read, n as rows_written, 0::bigint as late_rows, true as timed,
+           true as triggers from c
+    union all select 'silver.event_stream', n, v, (select v from late), true, true from c
+    union all select 'refused.event_stream', n, bad, 0, true, true from c
+    union all select 'gold.event_windows', v, (select count(*) from w where {_CLOSED}), 0, true, true from c""")
 def stream_progress(spark, sf_dir):
-    """All four tiers, what each read and wrote, in several triggers."""
-    root = scratch_path(spark, "tiers")
-    queries, sinks = runs.start_tiers(record_stream(spark, sf_dir), root, FORM, ["team"], measures())
-    runs.supervise(queries)
-    progress = runs.progress_frame(spark, queries, sinks)
-    return progress.select("query", "recent_rows_read", "rows_written",
-                           (F.col("recent_batch_ms") > 0).alias("timed"),
-                           (F.col("batches") >= SLICES).alias("triggers"))
+    """All tiers, what each read, wrote and dropped as late, added up over every report."""
+    lake, progress = tiers(spark, sf_dir)
+    written = [(f"{s.layer}.{s.table_name}", s.rows_out) for s in lake.log.steps]
+    written = spark.createDataFrame(written, "query string, rows_written long")
+    least = F.when(F.col("query").startswith("gold"), 1).otherwise(SLICES + 1)
+    return progress.frame(spark).join(written, "query").select(
+        "query", "rows_read", "rows_written", "late_rows", (F.col("mean_batch_ms") > 0).alias("timed"),
+        (F.col("batches") >= least).alias("triggers"))

@@ -24,8 +24,8 @@ def target_trajectory(spark, sf_dir):
 
 _SPARSE = """
 gs as (select yr, group_id, case when (yr + group_id) % 3 <> 0 then computed end as computed from g),
-s0 as (select group_id, max(computed) filter (where yr = 1995) as b0,
-              max(computed) filter (where yr = 1996) as b1 from gs group by 1)
+s0 as (select group_id, max(computed) filter (where yr = y0) as b0,
+              max(computed) filter (where yr = y0 + 1) as b1 from gs, cal group by 1)
 """
 
 
@@ -40,7 +40,7 @@ def baseline_fallback(spark, sf_dir):
     sparse = groups.withColumn(
         "computed", F.when((F.col("yr") + F.col("group_id")) % 3 != 0, F.col("computed")))
     return t.baselines(retail.dim_group(retail.supplied(spark, sf_dir)), sparse, retail.national_years(groups),
-                       retail.BASE_YEAR)
+                       retail.calendar_of(groups).first)
 
 
 @query("group_value_fallback", with_model("""
@@ -49,37 +49,37 @@ def baseline_fallback(spark, sf_dir):
              greatest(least(b.published + (n.computed - nb.n0), 99.0::double), 3.0::double) end,
              n.computed) as value,
            case when g.published is not null then 'PUBLISHED' else 'ESTIMATED' end as value_source
-    from nat, nb, generate_series(1995, 2001) as y(yr)
+    from nat, nb, (select unnest(range(y0, y1 + 1)) as yr from cal) as y
     left join g on g.group_id = nat.group_id and g.yr = y.yr
-    left join (select group_id, published from g where yr = 1995) b on b.group_id = nat.group_id
+    left join (select group_id, published from g, cal where yr = y0) b on b.group_id = nat.group_id
     left join n on n.yr = y.yr"""))
 def group_value_fallback(spark, sf_dir):
     """R06, R10, P33."""
     groups = staged_groups(spark, sf_dir)
-    years = t.scaffold(retail.dim_group(retail.supplied(spark, sf_dir)).select("group_id"),
-                       retail.BASE_YEAR, retail.LAST_YEAR)
-    return t.group_values_with_fallback(years, groups, retail.national_years(groups),
-                                        retail.BASE_YEAR)
+    known = retail.calendar_of(groups)
+    years = t.scaffold(retail.dim_group(retail.supplied(spark, sf_dir)).select("group_id"), known.first, known.last)
+    return t.group_values_with_fallback(years, groups, retail.national_years(groups), known.first)
 
 
 @query("national_target", with_model(f"""
     select cast(y.yr as bigint) as yr,
-           coalesce(p.target, {half_up('v0 + (80.0::double - v0) / 4.0::double * (y.yr - 1998)')})
+           coalesce(p.target, {half_up('v0 + (80.0::double - v0) / (y1 - y0 - 2)::double * (y.yr - y0 - 3)')})
              as target,
            case when p.target is not null then 'PUBLISHED' else 'INTERPOLATED' end as target_source
-    from generate_series(1995, 2002) as y(yr)
-    left join pub p on p.yr = y.yr, (select target as v0 from pub where yr = 1998)""",
+    from cal, (select unnest(range(y0, y1 + 2)) as yr from cal) as y
+    left join pub p on p.yr = y.yr, (select target as v0 from pub, cal where yr = y0 + 3)""",
     f"""pub as (
-      select yr, {half_up('computed', 0)} as target from n where yr <= 1998
+      select yr, {half_up('computed', 0)} as target from n, cal where yr <= y0 + 3
       union all select max(yr) + 1, 80.0::double from n)"""))
 def national_target(spark, sf_dir):
-    """Whole-percent results up to 1998 as published targets, then a line to the goal."""
+    """Whole-percent results of the first four years as published targets, then a line to the goal."""
     groups = staged_groups(spark, sf_dir)
+    years = retail.calendar_of(groups)
     national = retail.national_years(groups)
-    published = national.where(F.col("yr") <= 1998).select(
+    published = national.where(F.col("yr") <= years.first + 3).select(
         "yr", F.round("computed", 0).alias("target"))
     goal = national.agg((F.max("yr") + 1).alias("yr"), F.lit(retail.GOAL).alias("target"))
-    return t.national_targets(published.unionByName(goal), retail.BASE_YEAR, 1998, retail.GOAL_YEAR)
+    return t.national_targets(published.unionByName(goal), years.first, years.first + 3, years.last + 1)
 
 
 _WEIGHTS = {"balance": 1.0, "missing": -0.55}
@@ -135,36 +135,41 @@ def estimated_volume(spark, sf_dir):
         "c_custkey", scoring.estimated_volume(base, 0.17).alias("volume"))
 
 
-def _calibration_sql(rounds: int = 40) -> str:
-    """The same rounds as a chain of CTEs: one shift per group, frozen once it is near."""
+def _calibration_sql() -> str:
+    """Running sums over all bends of a group, in one window."""
     clip = "greatest(least({}, 99.0::double), 2.0::double)"
-    parts = [f"""cv as (
-      select yr, entity_id, group_id, assessed, {clip.format('indicator * 1.6 - 20')} as v from view0
-      ),
-    tg as (select group_id, target from tgt where yr = 2001),
-    ct as materialized (
-      select cv.group_id, v, assessed as w, tg.target from cv join tg using (group_id)),
-    s0 as materialized (select distinct group_id, 0.0::double as s, false as done from ct)"""]
-    for i in range(rounds):
-        moved = clip.format("v + s")
-        parts.append(f"""s{i + 1} as materialized (
-      select group_id, case when abs(e) < 0.05 then s else s + e end as s from (
-        select ct.group_id, max(s) as s,
-               max(target) - cast(sum(cast(w * cast({moved} as decimal(9,6)) as decimal(38,6))) as double)
-                 / cast(sum(w) as double) as e
-        from ct join s{i} using (group_id) group by 1))""")
     final = clip.format("v + coalesce(s, 0)")
-    return (f"with {MODEL}, {', '.join(parts)} "
-            f"select yr, entity_id, group_id, {half_up(final, 3)} as calibrated, "
-            f"cast(round_even(assessed * {half_up(final, 3)} / 100.0::double, 0) as bigint) as successes "
-            f"from cv left join s{rounds} using (group_id)")
+    return f"""with {MODEL},
+    cv as (select yr, entity_id, group_id, assessed, {clip.format('indicator * 1.6 - 20')} as v from view0),
+    tg as (select group_id, target - 2.0::double as t from tgt, cal where yr = y1 and target is not null),
+    cd as (
+      select group_id, cast(v as decimal(24,8)) as v, sum(cast(assessed as decimal(20,6))) as w
+      from cv where v is not null group by 1, 2),
+    bend as (
+      select group_id, 2 - v as p, w as d from cd union all select group_id, 99 - v, -w from cd),
+    run as (
+      select bend.group_id, p, d, t * cast(sum(case when d > 0 then d end) over (partition by bend.group_id) as double) as goal,
+             max(p) over (partition by bend.group_id) as most,
+             cast(sum(d) over o as double) as s, cast(sum(d * p) over o as double) as m,
+             cast(coalesce(sum(d) over b, 0) as double) as s0, cast(coalesce(sum(d * p) over b, 0) as double) as m0
+      from bend join tg using (group_id)
+      window o as (partition by bend.group_id order by p, d rows between unbounded preceding and current row),
+             b as (partition by bend.group_id order by p, d rows between unbounded preceding and 1 preceding)),
+    hit as (
+      select group_id, case when s0 > 0 then (goal + m0) / s0 else cast(p as double) end as s
+      from run where s * cast(p as double) - m >= goal
+      qualify row_number() over (partition by group_id order by p, d) = 1),
+    sh as (select group_id, coalesce(max(hit.s), cast(max(most) as double)) as s from run left join hit using (group_id) group by 1)
+    select yr, entity_id, group_id, {half_up(final, 3)} as calibrated,
+           cast(round_even(assessed * {half_up(final, 3)} / 100.0::double, 0) as bigint) as successes
+    from cv left join sh using (group_id)"""
 
 
 @query("calibrate_group", _calibration_sql())
 def calibrate_group(spark, sf_dir):
     """Stretched indicators calibrated to the group's last target."""
-    rows, _, targets = facts(spark, sf_dir)
-    goal = targets.where(F.col("yr") == retail.LAST_YEAR)
+    rows, groups, targets = facts(spark, sf_dir)
+    goal = targets.where(F.col("yr") == retail.calendar_of(groups).last)
     stretched = rows.withColumn("value", F.col("indicator") * 1.6 - 20)
     stretched = stage(stretched.select("yr", "entity_id", "group_id", "assessed", "value"), "stretched")
     out = calibrate_to_group_mean(stretched, goal.select("group_id", "target"), weight="assessed")

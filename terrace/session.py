@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -17,15 +20,25 @@ RUNTIME_CONF = {
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def tune(spark: SparkSession, rocksdb: bool = False) -> SparkSession:
+def tune(spark: SparkSession) -> SparkSession:
     """Set the runtime settings on a session that somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    if rocksdb:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return spark
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streaming queries that start inside keep their state on disk; the setting before comes back."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def get_session(app: str = "terrace", fmt: str = "parquet") -> tuple[SparkSession, str]:
     """Reuse the platform's session or create one; returns it with the table format.
 

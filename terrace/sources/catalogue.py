@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def table_manifest(tables: Mapping[str, DataFrame], provenance: Mapping[str, str] | None = None) -> DataFrame:
-    """Row count, column list and provenance per table."""
+def table_manifest(
+    tables: Mapping[str, DataFrame], provenance: Mapping[str, str] | None = None, seed: int | None = None,
+    made_at: datetime | None = None,
+) -> DataFrame:
+    """Row count, column list and provenance per table, the seed it was drawn with, and when the manifest was made."""
     provenance = provenance or {}
     parts = [
         df.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit(name).alias("table_name"), "rows",
             F.lit(", ".join(df.columns)).alias("columns"),
-            F.lit(provenance.get(name, "SUPPLIED")).alias("provenance"))
+            F.lit(provenance.get(name, "SUPPLIED")).alias("provenance"), F.lit(seed).cast("long").alias("seed"),
+            (F.current_timestamp() if made_at is None else F.lit(made_at)).cast("timestamp").alias("made_at"))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)

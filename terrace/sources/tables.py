@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -33,6 +35,11 @@ def require(spark: SparkSession, location: str, remedy: str) -> str:
     return location
 
 
+def make_dir(spark: SparkSession, location: str) -> None:
+    path, fs = _path(spark, location)
+    fs.mkdirs(path)
+
+
 def drop_table_dir(spark: SparkSession, location: str) -> bool:
     """Remove one table directory before a full reprocess."""
     path, fs = _path(spark, location)
@@ -109,6 +116,46 @@ def write_table(
     return location
 
 
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def replace_dir(spark: SparkSession, source: str, target: str) -> None:
+    """Put one directory in another's place by renaming, on the same file system.
+
+    The old one steps aside under a hidden name first, so a reader sees the old
+    or the new files, and what failed half-way can be put back.
+    """
+    new, fs = _path(spark, source)
+    old, _ = _path(spark, target)
+    fs.mkdirs(old.getParent())
+    aside, _ = _path(spark, f"{old.getParent()}/_old-{uuid.uuid4().hex}")
+    if fs.exists(old):
+        _rename(fs, old, aside)
+    _rename(fs, new, old)
+    fs.delete(aside, True)
+
+
+def leaves(spark: SparkSession, location: str, depth: int) -> list[str]:
+    """Partition directories ``depth`` levels down, relative to the table."""
+    root, fs = _path(spark, location)
+    found = fs.globStatus(_path(spark, f"{location}/" + "/".join(["*=*"] * depth))[0]) if depth else []
+    # the glob is spelled out by the file system, so the last parts are taken
+    return ["/".join(str(f.getPath().toString()).rsplit("/", depth)[-depth:]) for f in found or []]
+
+
+def swap_in(
+    spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = (), overwrite: str = "static",
+) -> None:
+    """Make written files a table, or only replace the partitions they bring."""
+    if overwrite == "static" or not partition_by:
+        replace_dir(spark, source, target)
+        return
+    for leaf in leaves(spark, source, len(partition_by)):
+        replace_dir(spark, f"{source}/{leaf}", f"{target}/{leaf}")
+
+
 def empty_like(df: DataFrame, **extra: str) -> DataFrame:
     """No rows, the same schema, plus typed null columns."""
     out = df.where(F.lit(False))
@@ -131,11 +178,6 @@ def quarantine_location(root: str, layer: str, table: str) -> str:
     return f"{root}/_quarantine/{layer}/{table}"
 
 
-def write_quarantine(df: DataFrame, root: str, layer: str, table: str) -> str:
-    """Quarantined rows of one table, replaced by each run."""
-    return write_table(df, quarantine_location(root, layer, table))
-
-
 def files_for(size: int, target: int = 128 << 20) -> int:
     """Number of files of about ``target`` bytes."""
     return max(1, -(-size // target))
@@ -189,6 +231,28 @@ def analyze_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"ANALYZE TABLE {_quote(name)} COMPUTE STATISTICS FOR ALL COLUMNS")
 
 
+def column_statistics(spark: SparkSession, name: str, columns: Sequence[str]) -> DataFrame:
+    """What the catalog knows of a table: one row per column with the table's rows and comment, and
+    the column's nulls, different values (estimated), extremes and comment; read without touching the data."""
+    about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {_quote(name)}").collect()}
+    rows = re.search(r"(\d+) rows", about.get("Statistics") or "")
+    out = []
+    for c in columns:
+        told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {_quote(name)} `{c}`").collect()}
+        known = {k: None if v == "NULL" else v for k, v in told.items()}
+        number = {k: None if known.get(k) is None else int(known[k]) for k in ("num_nulls", "distinct_count")}
+        out.append((c, int(rows[1]) if rows else None, number["num_nulls"], number["distinct_count"],
+                    known.get("min"), known.get("max"), about.get("Comment"), known.get("comment")))
+    return spark.createDataFrame(out, "column_name string, rows long, nulls long, distinct_values long, low string, "
+                                      "high string, table_comment string, column_comment string")
+
+
+def comment_column(spark: SparkSession, name: str, column: str, text: str) -> None:
+    """Column comment."""
+    quoted = text.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {_quote(name)} CHANGE COLUMN `{column}` COMMENT '{quoted}'")
+
+
 def comment_table(spark: SparkSession, name: str, text: str) -> None:
     """Table comment."""
     spark.sql(f"COMMENT ON TABLE {_quote(name)} IS :text", args={"text": text})

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from terrace.functions.columns import canonical_code
+from terrace.operators.lineage import ARRIVED_ON, ORIGIN
 from terrace.session import has_kafka
 from terrace.sources.schemas import schema
 
@@ -102,9 +103,8 @@ def open_source(
 
 def stamped(events: DataFrame, source: str, run_id: str) -> DataFrame:
     """When, from where and by which run the events came in."""
-    return events.select("*", F.current_timestamp().alias("_ingestion_timestamp"),
-                         F.current_date().alias("_ingestion_date"), F.lit(source).alias("_stream_source"),
-                         F.lit(run_id).alias("_run_id"))
+    origin = F.struct(F.current_timestamp().alias("at"), F.lit(run_id).alias("run"), F.lit(source).alias("system"))
+    return events.select("*", origin.alias(ORIGIN), F.current_date().alias(ARRIVED_ON))
 
 
 def decode(tier: DataFrame, form: EventFormat) -> DataFrame:
@@ -141,14 +141,12 @@ def once(events: DataFrame, form: EventFormat, delay: str = "10 minutes") -> Dat
 
 def window_metrics(
     events: DataFrame, form: EventFormat, keys: Sequence[str], measures: Sequence[Column],
-    size: str = "5 minutes", delay: str = "10 minutes", deduplicate: bool = False,
+    size: str = "5 minutes", delay: str = "10 minutes",
 ) -> DataFrame:
     """The caller's measures per tumbling window and keys.
 
-    ``deduplicate`` counts an event that is delivered again once, inside the same
-    query; without it feed the deduplicated tier (D12).
+    Feed it the deduplicated tier, so that an event that is delivered again counts once (D12).
     """
-    timed = once(events, form, delay) if deduplicate else events.withWatermark(form.time, delay)
     window = F.window(form.time, size)
-    return timed.groupBy(window.alias("_w"), *keys).agg(*measures).select(
+    return events.withWatermark(form.time, delay).groupBy(window.alias("_w"), *keys).agg(*measures).select(
         F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), "*").drop("_w")

@@ -116,8 +116,8 @@ def test_row_checks_share_one_scan(goods, shelves):
 
 
 def test_shipped_contracts():
-    from terrace.plans.retail_layers import CONTRACTS, STAGES
+    from terrace.plans.retail_layers import CONTRACTS, LAYERS
 
-    loaded = {s: load_contracts(CONTRACTS / f"{s}.yml") for s in STAGES}
+    loaded = {s: load_contracts(CONTRACTS / f"{s}.yml") for s in LAYERS}
     assert all(c.checks and c.description for tables in loaded.values() for c in tables.values())
     assert {"region", "lineitem"} <= set(loaded["bronze"]) and "entity_view" in loaded["gold"]

@@ -106,7 +106,7 @@ def test_staged_run(spark, sf_dir, tmp_path):
     assert staged(spark) == before
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
     steps = {(s.layer, s.table_name): s for s in house.log.steps}
-    assert len(steps) == 21 and all(s.status == "OK" for s in steps.values())
+    assert len(steps) == 25 and all(s.status == "OK" for s in steps.values())
     micro = steps["silver", "fact_micro"]
     assert micro.rows_in == lines == micro.rows_out + micro.rows_quarantined and micro.rows_quarantined > 0
     view = house.read("gold", "entity_view")

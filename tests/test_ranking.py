@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from terrace.operators.ranking import exact_quantiles, ntile_of, rank_extremes, rank_within
+from terrace.operators.ranking import rank_extremes, rank_within
 from terrace.sources.staging import stage
 
 
@@ -44,27 +44,6 @@ def test_no_cell_holds_a_hot_group(skewed):
     assert "__tc" in plan and "__vc" in plan
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 8, 101])
-@pytest.mark.parametrize("tiles", [1, 4])
-def test_ntile(spark, n, tiles):
-    df = spark.range(n).select(F.col("id").alias("k"), F.lit(n).alias("n"))
-    w = Window.orderBy("k")
-    rows = df.select(
-        ntile_of(F.row_number().over(w), F.col("n"), tiles).alias("got"),
-        F.ntile(tiles).over(w).alias("want")).collect()
-    assert [r.got for r in rows] == [r.want for r in rows]
-
-
-@pytest.mark.parametrize("above", [50, 100_000])
-@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 1.0])
-def test_exact_quantile(skewed, p, above):
-    known = skewed.where("g is not null")
-    got = {r.g: r.q for r in exact_quantiles(known, "v", "k", {"q": p}, ["g"], above).collect()}
-    want = {r.g: r.q for r in known.groupBy("g").agg(
-        F.percentile("v", F.lit(p)).alias("q")).collect()}
-    assert got == pytest.approx(want)
-
-
 def test_extremes_overlap_when_few(spark):
     df = spark.createDataFrame([(2000, i) for i in range(1, 6)] + [(2001, i) for i in range(1, 9)],
                                "yr int, rank_all long")

@@ -6,7 +6,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.session import ROCKSDB
+from terrace.operators.contracts import Contract
+from terrace.plans.layers import Lakehouse
+from terrace.session import ROCKSDB, state_on_disk
 from terrace.sources.schemas import schema
 from terrace.sources.tables import count_rows
 from terrace.streaming import events as ev
@@ -54,35 +56,72 @@ def bronze_of(spark, landing, max_files=1):
     return ev.stamped(ev.text_stream(spark, landing, max_files), "file", "run-1")
 
 
-@pytest.fixture(scope="module")
-def tiers(spark, landing, tmp_path_factory):
-    root = str(tmp_path_factory.mktemp("lake"))
-    queries, sinks = runs.start_tiers(bronze_of(spark, landing), root, FORM, ["site"], measures())
-    runs.supervise(queries)
-    return queries, sinks
+CONTRACT = Contract.of({"rule": "unique", "columns": ["window_start", "site"]},
+                       {"rule": "range", "column": "peak", "value": [0, 8], "tolerance_pct": 100})
+
+
+def tiers_of(bronze):
+    decoded = ev.decode(bronze, FORM)
+    return [runs.Tier("bronze", "readings", bronze, ("_ingestion_date",)),
+            runs.Tier("silver", "readings", ev.once(ev.accepted(decoded), FORM)),
+            runs.Tier("refused", "readings", ev.rejected(decoded))]
+
 
+def windows_of(house, bronze):
+    events = runs.read_tier(house, "silver", "readings", ev.accepted(ev.decode(bronze, FORM)).schema)
+    return runs.Tier("gold", "windows", ev.window_metrics(events, FORM, ["site"], measures()))
 
-def test_tiers(spark, tiers):
-    read = {name: spark.read.parquet(path) for name, path in tiers[1].items()}
-    assert read["bronze"].count() == N_LINES and dict(read["bronze"].dtypes)["_ingestion_date"] == "date"
-    assert sorted(r.ref for r in read["silver"].collect()) == ["p", "q", "r", "s", "x"]
-    bad = read["quarantine"].collect()
+
+@pytest.fixture(scope="module")
+def tiers(spark, landing, tmp_path_factory):
+    house = Lakehouse(spark, str(tmp_path_factory.mktemp("lake")), {"gold": {"windows": CONTRACT}})
+    bronze = bronze_of(spark, landing)
+    with runs.counted(spark) as progress:
+        house.together(*[lambda t=t: runs.run_tier(house, t) for t in tiers_of(bronze)])
+        runs.run_tier(house, windows_of(house, bronze))
+        progress.complete()
+    return house, progress
+
+
+def test_tiers(tiers):
+    house, _ = tiers
+    assert house.read("bronze", "readings").count() == N_LINES
+    silver = house.read("silver", "readings")
+    assert sorted(r.ref for r in silver.collect()) == ["p", "q", "r", "s", "x"] and "_processed" in silver.columns
+    bad = house.read("refused", "readings").collect()
     # two without a key, plain text, unreadable time, two wrong topics, no sensor
     assert len(bad) == 7 and any(r._payload == "plain text" for r in bad) and not any(r.valid for r in bad)
+    assert {(s.layer, s.rows_in, s.rows_out) for s in house.log.steps if s.layer != "gold"} == {
+        ("bronze", N_LINES, N_LINES), ("silver", 5, 5), ("refused", 7, 7)}
+
 
+def test_windows_are_closed_count_every_event_once_and_pass_their_contract(spark, tiers):
+    house, _ = tiers
+    rows = {(f"{r.window_start:%H:%M}", r.site): r for r in house.read("gold", "windows").collect()}
+    assert set(rows) == {("08:40", "NORTH")}  # 09:30 is open, "y" came too late
+    # the window of 08:00 has a peak of 9
+    bad = spark.read.parquet(f"{house.root}/_quarantine/gold/windows").collect()
+    assert [(f"{r.window_start:%H:%M}", f"{r.window_end:%H:%M}", r.site, r._quarantine_reason) for r in bad] == [
+        ("08:00", "08:05", "NORTH", "range:peak")]
+    assert (bad[0].n, bad[0].readings, bad[0].peak, bad[0].sensors) == (3, 2, 9.0, 2)
+    step = next(s for s in house.log.steps if s.layer == "gold")
+    assert (step.rows_in, step.rows_out, step.rows_quarantined) == (2, 1, 1)
+    assert {(c.rule, c.status) for c in step.checks} == {("unique", "PASS"), ("range", "PASS")}
 
-def test_windows_are_closed_and_count_every_event_once(spark, tiers):
-    rows = {(f"{r.window_start:%H:%M}", r.site): r for r in spark.read.parquet(tiers[1]["gold"]).collect()}
-    assert set(rows) == {("08:00", "NORTH"), ("08:40", "NORTH")}  # 09:30 is open, "y" came too late
-    first = rows["08:00", "NORTH"]
-    assert (first.n, first.readings, first.peak, first.sensors) == (3, 2, 9.0, 2)
-    assert f"{first.window_end:%H:%M}" == "08:05"
+
+def test_one_stateful_operator_in_a_query(spark, landing, tmp_path):
+    house = Lakehouse(spark, str(tmp_path))
+    bronze = bronze_of(spark, landing)
+    for tier in [*tiers_of(bronze), windows_of(house, bronze)]:
+        plan = tier.stream._jdf.queryExecution().analyzed().toString()
+        assert plan.count("Deduplicate") + plan.count("Aggregate") == (1 if tier.layer in ("silver", "gold") else 0)
 
 
 def test_progress(spark, tiers):
-    rows = {r["query"]: r for r in runs.progress_frame(spark, *tiers).collect()}
-    assert rows["bronze"].recent_rows_read == rows["bronze"].rows_written == N_LINES
-    assert rows["bronze"].batches >= len(FILES) and rows["quarantine"].rows_written == 7
+    rows = {r["query"]: r for r in tiers[1].frame(spark).collect()}
+    assert rows["bronze.readings"].rows_read == N_LINES and rows["bronze.readings"].batches >= len(FILES)
+    assert rows["silver.readings"].late_rows == 1 and rows["gold.windows"].late_rows == 0
+    assert rows["gold.windows"].rows_read == 5 and rows["gold.windows"].watermark.startswith("2025-05-05T09:20")
 
 
 def test_batches_are_counted_beyond_the_kept_reports(spark, tmp_path):
@@ -92,17 +131,73 @@ def test_batches_are_counted_beyond_the_kept_reports(spark, tmp_path):
     try:
         spark.range(40).repartition(8).write.parquet(f"{tmp_path}/in")
         stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
-        q = runs.run_to_table(stream, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
-        runs.supervise({"q": q})
-        row = runs.progress_frame(spark, {"q": q}, {"q": f"{tmp_path}/out"}).first()
-        assert row.batches >= 8 > row.recent_batches and row.rows_written == 40
+        with runs.counted(spark) as progress:
+            q = runs.to_files(stream, f"{tmp_path}/out", f"{tmp_path}/ck", queryName="many")
+            runs.supervise({"q": q})
+            total = progress.complete()["many"]
+        assert len(q.recentProgress) < 8 <= total.batches and total.batches >= 8 and total.rows_read == 40
+        assert count_rows(spark, f"{tmp_path}/out") == 40
     finally:
         spark.conf.set(key, before)
 
 
+def test_a_batch_that_runs_again_repeats_nothing(spark, landing, tmp_path):
+    """The sink fails after a batch was written and before it is noted; the restart brings it again."""
+    house = Lakehouse(spark, str(tmp_path / "lake"))
+    tier = runs.Tier("bronze", "readings", bronze_of(spark, landing))
+    with pytest.MonkeyPatch.context() as patch:
+        take, calls = Lakehouse.take_in, []
+
+        def breaks(self, *args, **more):
+            take(self, *args, **more)
+            calls.append(1)
+            if len(calls) == 2:
+                raise RuntimeError("lost after the write")
+
+        patch.setattr(Lakehouse, "take_in", breaks)
+        with pytest.raises(runs.StreamFailure, match="lost after the write"):
+            runs.run_tier(house, tier)
+    written = house.read("bronze", "readings")
+    assert written.select(runs.BATCH).distinct().count() == 2
+    step = runs.run_tier(house, tier)
+    again = house.read("bronze", "readings")
+    assert again.count() == N_LINES and step.rows_out == N_LINES - written.where("_batch = 0").count()
+    runs.run_tier(house, tier)
+    assert house.read("bronze", "readings").count() == N_LINES
+    assert [s.status for s in house.log.steps] == ["ERROR", "OK", "OK"]
+
+
+def test_windows_go_on_where_they_ended(spark, tmp_path):
+    """More files arrive between two runs; the second run closes the window that was open."""
+    house = Lakehouse(spark, str(tmp_path / "lake"))
+    place = tmp_path / "in"
+    place.mkdir()
+    for k, lines in enumerate(FILES[:3]):
+        (place / f"{k}.json").write_text("\n".join(lines) + "\n")
+        bronze = bronze_of(spark, str(place))
+        runs.run_tier(house, tiers_of(bronze)[1])
+        runs.run_tier(house, windows_of(house, bronze))
+    rows = {f"{r.window_start:%H:%M}": r.n for r in house.read("gold", "windows").collect()}
+    assert rows == {"08:00": 3, "08:40": 1}
+
+
+def test_nothing_kept_by_a_tier_is_late_for_the_next(spark, tmp_path):
+    """One batch whose files lie hours apart: the reader takes it as a whole, whatever file comes first."""
+    house = Lakehouse(spark, str(tmp_path / "lake"))
+    place = tmp_path / "in"
+    place.mkdir()
+    (place / "a.json").write_text("\n".join(line(f"k{h}", f"{h:02d}:00:00") for h in range(24)) + "\n")
+    bronze = bronze_of(spark, str(place)).repartition(8)
+    runs.run_tier(house, tiers_of(bronze)[1])
+    with runs.counted(spark) as progress:
+        runs.run_tier(house, windows_of(house, bronze))
+        assert progress.complete()["gold.windows"].late_rows == 0
+    assert sum(r.n for r in house.read("gold", "windows").collect()) == 23  # the last window is open
+
+
 def test_restart_adds_nothing(spark, landing, tmp_path):
     for _ in range(2):
-        q = runs.run_to_table(bronze_of(spark, landing, 4), f"{tmp_path}/out", f"{tmp_path}/ck", ["_ingestion_date"], None)
+        q = runs.to_files(bronze_of(spark, landing, 4), f"{tmp_path}/out", f"{tmp_path}/ck", partitionBy=["_ingestion_date"])
         runs.supervise({"q": q})
     assert count_rows(spark, f"{tmp_path}/out") == N_LINES
 
@@ -110,22 +205,19 @@ def test_restart_adds_nothing(spark, landing, tmp_path):
 def test_state_on_disk(spark, landing, tmp_path):
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
-    spark.conf.set(key, ROCKSDB)
-    try:
+    with state_on_disk(spark):
+        assert spark.conf.get(key) == ROCKSDB != before
         good = ev.accepted(ev.decode(bronze_of(spark, landing), FORM))
-        q = runs.run_to_table(ev.once(good, FORM), f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
-        runs.supervise({"q": q})
-        assert count_rows(spark, f"{tmp_path}/out") == 5
-    finally:
-        spark.conf.set(key, before)
+        runs.supervise({"q": runs.to_files(ev.once(good, FORM), f"{tmp_path}/out", f"{tmp_path}/ck")})
+    assert count_rows(spark, f"{tmp_path}/out") == 5 and spark.conf.get(key) == before
 
 
 def test_a_time_out_names_what_is_not_finished(spark, landing, tmp_path):
-    q = runs.run_to_table(bronze_of(spark, landing), f"{tmp_path}/out", f"{tmp_path}/ck", trigger="1 hour")
+    q = runs.to_files(bronze_of(spark, landing), f"{tmp_path}/out", f"{tmp_path}/ck", "1 hour")
     with pytest.raises(runs.StreamTimeout, match="slow"):
         runs.supervise({"slow": q}, timeout_s=2)
     assert not q.isActive
-    q = runs.run_to_table(bronze_of(spark, landing), f"{tmp_path}/out", f"{tmp_path}/ck", trigger="1 second")
+    q = runs.to_files(bronze_of(spark, landing), f"{tmp_path}/out", f"{tmp_path}/ck", "1 second")
     runs.observe({"demo": q}, 3)
     assert not q.isActive
 
@@ -153,7 +245,7 @@ class Ends:
 
 def test_failures_are_raised_with_their_cause(spark, landing, tmp_path):
     broken = bronze_of(spark, landing).select(F.raise_error(F.lit("on purpose")).cast("string").alias("x"))
-    q = runs.run_to_table(broken, f"{tmp_path}/out", f"{tmp_path}/ck", trigger=None)
+    q = runs.to_files(broken, f"{tmp_path}/out", f"{tmp_path}/ck")
     with pytest.raises(runs.StreamFailure, match="stream 'q'"):
         runs.supervise({"q": q}, 60)
     with pytest.raises(runs.StreamFailure, match="late"):

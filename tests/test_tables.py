@@ -11,7 +11,7 @@ from terrace.operators import dedup, enrich, lineage
 def test_dedup_keeps_latest(spark):
     df = spark.createDataFrame(
         [(7, "v2", datetime(2025, 6, 2)), (7, "v1", datetime(2025, 6, 1)),
-         (7, "v3", datetime(2025, 6, 3)), (8, "v1", datetime(2025, 5, 1))], "id int, v string, _ingestion_timestamp timestamp")
+         (7, "v3", datetime(2025, 6, 3)), (8, "v1", datetime(2025, 5, 1))], "id int, v string, arrived timestamp")
     once = dedup.dedup_latest(df, ["id"])
     assert {(r.id, r.v) for r in once.collect()} == {(7, "v3"), (8, "v1")}
     assert dedup.dedup_latest(once, ["id"]).exceptAll(once).isEmpty()
@@ -33,13 +33,15 @@ def test_dedup_limits_hot_keys_before_the_shuffle(spark):
 
 
 def test_lineage(spark):
-    df = spark.createDataFrame([(1, None, "x")], "a int, b string, c string")
-    row = lineage.with_lineage(df, "e", "e.csv", "S", "r1", datetime(2026, 1, 2, 3)).head()
-    assert row["_record_hash"] == hashlib.sha256(b"1||||x").hexdigest()
-    assert row["_ingestion_date"] == "2026-01-02" and row["_source_entity"] == "e"
-    assert [c for c in row.asDict() if c.startswith("_")] == [
-        "_ingestion_timestamp", "_ingestion_date", "_source_file", "_source_system",
-        "_source_entity", "_run_id", "_record_hash"]
+    rows = [(1, None, "x"), (1, "", "x"), (1, "~", "x"), (11, ":x", None), (1, "1:x", ""), (1, "é", "x")]
+    df = spark.createDataFrame(rows, "a int, b string, `c.d` string").withColumn("_own", F.lit(1))
+    out = lineage.with_lineage(df, "e", "e.csv", "S", "r1", datetime(2026, 1, 2, 3))
+    first = out.head()
+    assert first._origin.row_hash == hashlib.sha256(b"1:1~1:x").hexdigest()
+    assert first["_ingestion_date"] == "2026-01-02" and first._origin.entity == "e" and first._origin.at == datetime(2026, 1, 2, 3)
+    # values that would read alike in a row have hashes of their own
+    assert len({r._origin.row_hash for r in out.collect()}) == len(rows)
+    assert lineage.drop_technical(lineage.processed(out, "r2", datetime(2026, 1, 3)), "_own").columns == ["a", "b", "c.d"]
 
 
 def test_enrich_by_derived_key(spark):

@@ -109,7 +109,48 @@ def brute_calibration(values, weights, target, rounds=40):
     return values
 
 
-def test_calibration_equals_brute_force(spark):
+def exact_calibration(values, weights, target, low=2.0, high=99.0):
+    """Bisection of the shift."""
+    values = np.clip(np.array(values, float), low, high)
+    a, b = low - high, high - low
+    for _ in range(200):
+        middle = (a + b) / 2
+        a, b = (middle, b) if np.average(np.clip(values + middle, low, high), weights=weights) < target else (a, middle)
+    return np.clip(values + b, low, high)
+
+
+@pytest.mark.parametrize("inside", [100_000, 3])
+@pytest.mark.parametrize("low,high", [(2.0, 99.0), (-500.0, 25_000.0), (0.0, 1e9)])
+def test_calibration_equals_bisection(spark, inside, low, high):
+    rng = np.random.default_rng(6)
+    span, rows = high - low, []
+    share = {1: 0.6, 2: 0.97, 3: 0.02, 4: None, 5: 1.5, 6: -0.5, 7: 1.0, 8: 0.0}
+    goals = {g: None if s is None else low + s * span for g, s in share.items()}
+    for g, n in ((1, 900), *[(g, 40) for g in range(2, 9)]):
+        for i in range(n):
+            v = None if i % 13 == 0 else low + span * (0.5 if i % 3 == 0 else float(rng.normal(0.5, 0.45)))
+            rows.append((g, g * 1000 + i, v, float(rng.integers(0, 40)) / 4))
+    df = spark.createDataFrame(rows, "group_id long, id long, value double, weight double").repartition(3)
+    targets = spark.createDataFrame(list(goals.items()), "group_id long, target double")
+    out = calibrate_to_group_mean(df, targets, low=low, high=high, inside=inside).toPandas().sort_values("id")
+    assert len(out) == len(rows) and out[out.value.isna()].calibrated.isna().all()
+    out = out[out.value.notna()]
+    for g, goal in goals.items():
+        part = out[out.group_id == g]
+        if goal is None:
+            want = np.clip(part.value, low, high)
+        else:
+            want = exact_calibration(part.value, part.weight, goal, low, high)
+            if low < goal < high:
+                assert np.average(part.calibrated, weights=part.weight) == pytest.approx(goal, abs=1e-6 * span)
+                want = np.where(part.weight > 0, want, part.calibrated)
+        if goal is None or low < goal < high:
+            assert np.allclose(part.calibrated, want, atol=1e-6 * span)
+        else:
+            assert np.allclose(part.calibrated[part.weight > 0], high if goal >= high else low, atol=1e-6 * span)
+
+
+def test_calibration_is_as_near_as_the_rounds(spark):
     rng = np.random.default_rng(5)
     rows, goals = [], {1: 60.0, 2: 96.0, 3: 4.0, 4: None}
     for g, n in ((1, 400), (2, 50), (3, 50), (4, 5)):
@@ -123,9 +164,11 @@ def test_calibration_equals_brute_force(spark):
         if goal is None:
             want = np.clip(part.value, 2.0, 99.0)
         else:
+            # trying and shifting in rounds ends within its tolerance of the same values
             want = brute_calibration(part.value, part.weight, goal)
-            assert abs(np.average(part.calibrated, weights=part.weight) - goal) < 0.05
-        assert np.allclose(part.calibrated, want, atol=1e-4)
+            assert abs(np.average(part.calibrated, weights=part.weight) - goal) < 1e-6
+            assert abs(np.average(want, weights=part.weight) - goal) < 0.05
+        assert np.allclose(part.calibrated, want, atol=1.0)
 
 
 def test_weighted_sample_equals_brute_force(spark):
@@ -154,9 +197,17 @@ def test_weighted_sample_is_repeatable(spark):
     assert a.exceptAll(b).isEmpty() and a.count() == 200
 
 
-def test_sample_refuses_fractions(spark):
-    df = spark.createDataFrame([("a", 0.9), ("b", 1.9)], "k string, w double")
-    with pytest.raises(Exception, match="fractions"):
-        sampling.weighted_sample(df, "k", "w", 10).collect()
+@pytest.mark.parametrize("factor", [1.0, 1e-7, 1e9])
+def test_sample_with_fractions(spark, factor):
+    weights = {"a": 0.9, "b": 1.9, "c": 0.0, "d": 0.2, "e": -1.0}
+    df = spark.createDataFrame([(k, w * factor) for k, w in weights.items()] + [("f", None)], "k string, w double")
+    n = 20_000
+    out = sampling.weighted_sample(df, "k", "w", n, cells=5).groupBy("k").count().collect()
+    assert {r.k for r in out} == {"a", "b", "d"} and sum(r["count"] for r in out) == n
+    for r in out:
+        assert r["count"] / n == pytest.approx(weights[r.k] / 3.0, abs=0.015)
+
+
+def test_sample_of_whole_numbers_in_doubles(spark):
     whole = spark.createDataFrame([("a", 9.0), ("b", 19.0)], "k string, w double")
     assert {r.k for r in sampling.weighted_sample(whole, "k", "w", 200).collect()} == {"a", "b"}
