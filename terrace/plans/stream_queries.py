@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from terrace.operators.lineage import PROCESSED
 from terrace.plans import retail_layers
 from terrace.plans.registry import half_up, query
 from terrace.plans.retail_stream import FORM, SLICES, deliver, land_events, measures, records, run_stream
@@ -134,7 +135,7 @@ def stream_windows(spark, sf_dir):
     """Closed windows over the deduplicated tier; records that come twice
     count once, and late ones not at all."""
     lake, _ = tiers(spark, sf_dir)
-    return _ntz(lake.read("gold", "event_windows").drop("users", runs.BATCH), "window_start", "window_end")
+    return _ntz(lake.read("gold", "event_windows").drop("users", runs.BATCH, PROCESSED), "window_start", "window_end")
 
 
 @query("approx_distinct", f"""
@@ -159,7 +160,7 @@ def approx_distinct(spark, sf_dir):
     with {_EVENTS}, {_WINDOWS},
     late as (
       select count(*) as n, count(*) filter (where valid) as v from ev
-      where cast(event_id as bigint) % 20 = 3 and sent_at < (select max(sent_at) - interval '1 hour' from ev)),
+      where cast(event_id as bigint) % 20 = 3 and epoch_us(sent_at) < (select (min(epoch_us(sent_at)) + max(epoch_us(sent_at))) // 2 from ev)),
     c as (select 2 * count(*) + (select n from late) as n, count(*) filter (where valid) as v,
                  2 * count(*) filter (where not valid) + (select n - v from late) as bad from ev)
     select 'bronze.event_stream' as query, n as rows_read, n as rows_written, 0::bigint as late_rows, true as timed,
