@@ -13,7 +13,8 @@ rank is opened to the side where the rank lies. Results are exact.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,35 +31,44 @@ CELLS = 256
 
 @dataclass(frozen=True)
 class Pick:
-    """A value to be found: its column and its rank (1..n, ascending) from the number of known values."""
+    """A value to be found: its column and, as SQL text over ``n``, the number of known values, its rank (1..n, ascending)."""
 
     column: str
-    rank: Callable[[Column], Column]
+    rank: str
 
 
-def _rank(pick: Pick) -> Column:
+# Expressions are put together as text: a call per literal and operator would cost more than the small jobs here.
+
+
+def _names(names: Iterable[str]) -> list[str]:
+    return [f"`{n}`" for n in names]
+
+
+def _rank(pick: Pick) -> str:
     """The rank within 1..n; null without rows."""
-    n = F.col(f"__n_{pick.column}")
-    return F.when(n > 0, F.greatest(F.lit(1), F.least(pick.rank(n), n))).cast("long")
+    n = f"`__n_{pick.column}`"
+    rank = re.sub(r"\bn\b", n, pick.rank)
+    return f"cast(if({n} > 0, greatest(1, least({rank}, {n})), null) as bigint)"
 
 
 def _brackets(df: DataFrame, by: Sequence[str], picks: Mapping[str, Pick], grid: int, accuracy: int) -> DataFrame:
     """Per group: known values of every column, and rank, low and high bound of every pick (null: open)."""
-    points = [k / grid for k in range(1, grid)]
+    points = "array(" + ", ".join(f"{k / grid!r}D" for k in range(1, grid)) + ")"
     columns = dict.fromkeys(p.column for p in picks.values())
-    found = df.groupBy(*by).agg(*[x for c in columns for x in (
-        F.count(F.col(c)).alias(f"__n_{c}"), F.percentile_approx(F.col(c), points, accuracy).alias(f"__q_{c}"))])
+    found = df.groupBy(*by).agg(*[F.expr(x) for c in columns for x in (
+        f"count(`{c}`) as `__n_{c}`", f"percentile_approx(`{c}`, {points}, {accuracy}) as `__q_{c}`")])
+    found = found.selectExpr(*_names(by), *[f"`__{x}_{c}`" for c in columns for x in "nq"],
+                             *[f"{_rank(p)} as `__r_{n}`" for n, p in picks.items()])
 
-    def bounds(name: str, p: Pick) -> list[Column]:
-        place = _rank(p) * grid / F.col(f"__n_{p.column}")
-        q = F.col(f"__q_{p.column}")
+    def bounds(name: str, p: Pick) -> list[str]:
         # the k-th point is at index k - 1; one step more on both sides than the rank needs
-        low, high = F.floor(place).cast("int") - 2, F.ceil(place).cast("int")
-        return [_rank(p).alias(f"__r_{name}"), F.when(low >= 0, F.get(q, low)).alias(f"__lo_{name}"),
-                F.when(high < grid - 1, F.get(q, high)).alias(f"__hi_{name}")]
+        place = f"`__r_{name}` * {grid} / `__n_{p.column}`"
+        low, high = f"cast(floor({place}) as int) - 2", f"cast(ceil({place}) as int)"
+        return [f"`__r_{name}`", f"if({low} >= 0, get(`__q_{p.column}`, {low}), null) as `__lo_{name}`",
+                f"if({high} < {grid - 1}, get(`__q_{p.column}`, {high}), null) as `__hi_{name}`"]
 
-    return stage(found.select(*by, *[f"__n_{c}" for c in columns], *[x for n, p in picks.items() for x in bounds(n, p)]),
-                 "brackets")
+    return stage(found.selectExpr(*_names(by), *[f"`__n_{c}`" for c in columns],
+                                  *[x for n, p in picks.items() for x in bounds(n, p)]), "brackets")
 
 
 def _split(df: DataFrame, by: Sequence[str], picks: Mapping[str, Pick], brackets: DataFrame) -> DataFrame:
@@ -66,38 +76,32 @@ def _split(df: DataFrame, by: Sequence[str], picks: Mapping[str, Pick], brackets
     number of rows below each bracket; the others keep their values."""
     names = [x for n in picks for x in (f"__lo_{n}", f"__hi_{n}")]
     if by:
-        rows = null_safe(df.select(*by, *dict.fromkeys(p.column for p in picks.values())),
-                          brackets.select(*by, *names), by, "inner")
-        bound = {n: F.col(n) for n in names}
+        rows = null_safe(df, brackets.select(*by, *names), by, "inner")
     else:
-        rows, one = df, brackets.first()
-        kind = dict(brackets.dtypes)
-        bound = {n: F.lit(one[n]).cast(kind[n]) for n in names}
-    keys, under_each = [], []
+        one, kind = brackets.select(*names).first(), dict(brackets.dtypes)
+        rows = df.select("*", *[F.lit(one[n]).cast(kind[n]).alias(n) for n in names])
+    keys, under = [], []
     for n, p in picks.items():
-        v, low, high = F.col(p.column), bound[f"__lo_{n}"], bound[f"__hi_{n}"]
-        under = F.coalesce(v < low, F.lit(False))
-        over = F.coalesce(v > high, F.lit(False))
-        keys.append(F.when(~under & ~over, v).alias(f"__k_{n}"))
-        under_each.append(F.count_if(under).alias(f"__b_{n}"))
-    return stage(rows.groupBy(*by, *keys).agg(F.count(F.lit(1)).alias("__c"), *under_each), "inside")
+        below, above = (f"coalesce(`{p.column}` {sign} `__{end}_{n}`, false)" for sign, end in (("<", "lo"), (">", "hi")))
+        keys.append(f"if({below} or {above}, null, `{p.column}`) as `__k_{n}`")
+        under.append(f"{below} as `__b_{n}`")
+    rows = rows.selectExpr(*_names(by), *keys, *under)
+    return stage(rows.groupBy(*by, *[f"__k_{n}" for n in picks]).agg(
+        F.expr("count(1) as __c"), *[F.expr(f"count_if(`__b_{n}`) as `__b_{n}`") for n in picks]), "inside")
 
 
 def _condensed(split: DataFrame, by: Sequence[str], picks: Mapping[str, Pick]) -> DataFrame:
     """(by, pick, value, rows): the values inside, and under a null value the rows below."""
-    parts = []
-    for n in picks:
-        v = F.col(f"__k_{n}")
-        parts += [F.struct(F.lit(n).alias("pick"), x.alias("value"), rows.alias("rows")) for x, rows in (
-            (v, F.when(v.isNotNull(), F.col("__c"))), (F.nullif(v, v), F.col(f"__b_{n}")))]
-    long = split.select(*by, F.explode(F.array(*parts)).alias("__x")).select(*by, "__x.*").where("rows > 0")
+    parts = [x for n in picks for x in (
+        f"named_struct('pick', '{n}', 'value', `__k_{n}`, 'rows', if(`__k_{n}` is not null, __c, 0L))",
+        f"named_struct('pick', '{n}', 'value', nullif(`__k_{n}`, `__k_{n}`), 'rows', `__b_{n}`)")]
+    long = split.selectExpr(*_names(by), f"inline(array({', '.join(parts)}))").where("rows > 0")
     return long.groupBy(*by, "pick", "value").agg(F.sum("rows").alias("rows"))
 
 
 def _ranks(brackets: DataFrame, by: Sequence[str], picks: Mapping[str, Pick]) -> DataFrame:
-    parts = [F.struct(F.lit(n).alias("pick"), F.col(f"__r_{n}").alias("rank"), F.col(f"__n_{p.column}").alias("known"))
-             for n, p in picks.items()]
-    return brackets.select(*by, F.explode(F.array(*parts)).alias("__x")).select(*by, "__x.*")
+    parts = [f"named_struct('pick', '{n}', 'rank', `__r_{n}`, 'known', `__n_{p.column}`)" for n, p in picks.items()]
+    return brackets.selectExpr(*_names(by), f"inline(array({', '.join(parts)}))")
 
 
 def _held(condensed: DataFrame, ranks: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -115,9 +119,9 @@ def _opened(brackets: DataFrame, missed: DataFrame, by: Sequence[str], picks: Ma
     joined = null_safe(brackets, sides, by, "left") if by else brackets.withColumn("__side", sides.scalar())
     new = {}
     for n in picks:
-        side, low, high = F.col("__side")[n], F.col(f"__lo_{n}"), F.col(f"__hi_{n}")
-        new[f"__lo_{n}"] = F.when(side == 1, high).when(side == -1, F.lit(None)).otherwise(low)
-        new[f"__hi_{n}"] = F.when(side == -1, low).when(side == 1, F.lit(None)).otherwise(high)
+        side, low, high = f"__side['{n}']", f"`__lo_{n}`", f"`__hi_{n}`"
+        new[f"__lo_{n}"] = F.expr(f"case {side} when 1 then {high} when -1 then null else {low} end")
+        new[f"__hi_{n}"] = F.expr(f"case {side} when -1 then {low} when 1 then null else {high} end")
     return stage(joined.withColumns(new).drop("__side"), "brackets")
 
 
@@ -156,7 +160,8 @@ def select_ranks(
     by = list(by)
     columns = list(dict.fromkeys(p.column for p in picks.values()))
     kinds = {df.schema[c].dataType for c in columns}
-    df = df.select(*by, *[F.col(c).cast("double").alias(c) if len(kinds) > 1 else c for c in columns if c not in by])
+    df = df.selectExpr(*_names(by), *[f"cast(`{c}` as double) as `{c}`" if len(kinds) > 1 else f"`{c}`"
+                                      for c in columns if c not in by])
     brackets = _brackets(df, by, picks, grid, accuracy)
     ranks = _ranks(brackets, by, picks)
     while True:
@@ -179,7 +184,7 @@ def select_ranks(
         (F.col("end") >= F.col("rank")) & (F.col("end") - F.col("rows") < F.col("rank")))
     placed = placed.withColumn("below", F.col("end") - F.col("rows"))
     wanted = {"": "value", "_rank": "rank", "_known": "known", "_below": "below", "_rows": "rows"}
-    found = placed.groupBy(*by).agg(*[F.max(F.when(F.col("pick") == n, F.col(c))).alias(f"{n}{end}")
+    found = placed.groupBy(*by).agg(*[F.expr(f"max(if(pick = '{n}', `{c}`, null)) as `{n}{end}`")
                                       for n in picks for end, c in wanted.items()])
     return null_safe(brackets.select(*by), found, by, "left") if by else found
 
@@ -188,28 +193,27 @@ def interpolated(
     df: DataFrame, columns: Mapping[str, tuple[str, float]], by: Sequence[str] = (), **options: int,
 ) -> DataFrame:
     """linearly interpolated quantiles per group, as name -> (column, share)."""
-    def spot(n: Column, share: float) -> Column:
-        return F.lit(1.0) + F.lit(float(share)) * (n - 1)
+    def spot(share: float, n: str = "n") -> str:
+        return f"(1.0D + {float(share)!r}D * ({n} - 1))"
 
     picks = {}
     for name, (column, share) in columns.items():
-        picks[f"__low_{name}"] = Pick(column, lambda n, p=share: F.floor(spot(n, p)))
-        picks[f"__high_{name}"] = Pick(column, lambda n, p=share: F.ceil(spot(n, p)))
+        picks[f"__low_{name}"] = Pick(column, f"floor({spot(share)})")
+        picks[f"__high_{name}"] = Pick(column, f"ceil({spot(share)})")
 
-    def value(name: str, share: float) -> Column:
-        a, b = F.col(f"__low_{name}").cast("double"), F.col(f"__high_{name}").cast("double")
-        at = spot(F.col(f"__low_{name}_known"), share)
-        return (a + (b - a) * (at - F.floor(at))).alias(name)
+    def value(name: str, share: float) -> str:
+        a, b, at = f"cast(`__low_{name}` as double)", f"cast(`__high_{name}` as double)", spot(share, f"`__low_{name}_known`")
+        return f"{a} + ({b} - {a}) * ({at} - floor({at})) as `{name}`"
 
     found = select_ranks(df, by, picks, **options)
-    return found.select(*by, *[value(name, share) for name, (_, share) in columns.items()])
+    return found.selectExpr(*_names(by), *[value(name, share) for name, (_, share) in columns.items()])
 
 
 def discrete(
     df: DataFrame, columns: Mapping[str, tuple[str, float]], by: Sequence[str] = (), **options: int,
 ) -> DataFrame:
     """The smallest value that so large a share of the known values does not exceed."""
-    picks = {name: Pick(column, lambda n, p=float(share): F.ceil(F.lit(p) * n)) for name, (column, share) in columns.items()}
+    picks = {name: Pick(column, f"ceil({float(share)!r}D * n)") for name, (column, share) in columns.items()}
     return select_ranks(df, by, picks, **options).select(*by, *columns)
 
 
@@ -224,7 +228,7 @@ def tiles(
     known = df.where(F.col(order).isNotNull())
     ends = range(1, count)
     # the first ``n mod count`` tiles hold one row more
-    picks = {f"__t{t}": Pick(order, lambda n, t=t: F.floor(n / count) * t + F.least(F.lit(t), n % count)) for t in ends}
+    picks = {f"__t{t}": Pick(order, f"(n div {count}) * {t} + least({t}, n % {count})") for t in ends}
     if not picks:
         return known.withColumn(name, F.lit(1))
     cuts = stage(select_ranks(known, within, picks, **options), "tile-ends")
@@ -242,7 +246,7 @@ def tiles(
     else:
         equal = stage(null_safe(known.select(*within, F.col(order).alias("__v"), unique), ties, [*within, "__v"], "inner"),
                       "equals")
-        found = select_ranks(equal, [*within, "__t", "__need"], {"__u": Pick(unique, lambda n: F.col("__need"))}, **options)
+        found = select_ranks(equal, [*within, "__t", "__need"], {"__u": Pick(unique, "__need")}, **options)
         wide = found.groupBy(*within).agg(*[F.max(F.when(F.col("__t") == t, F.col("__u"))).alias(f"__u{t}") for t in ends])
         cuts = stage(null_safe(cuts, wide, within, "left") if within else cuts.withColumns(
             {f"__u{t}": wide.select(f"__u{t}").scalar() for t in ends}), "tile-ends")

@@ -59,7 +59,7 @@ def test_discrete(rows, options):
 
 
 def test_ranks_and_counts(rows):
-    got = q.select_ranks(rows, ["g"], {"x": q.Pick("w", lambda n: F.floor(n / 3))}, **SMALL).where("g = 'hot'").first()
+    got = q.select_ranks(rows, ["g"], {"x": q.Pick("w", "n div 3")}, **SMALL).where("g = 'hot'").first()
     values = sorted(r.w for r in rows.where("g = 'hot'").collect())
     assert got.x_known == len(values) and got.x_rank == len(values) // 3 and got.x == values[got.x_rank - 1]
     assert got.x_below == sum(v < got.x for v in values) and got.x_rows == values.count(got.x)
@@ -104,7 +104,7 @@ def test_plans_rank_nothing_as_a_whole(rows, spark):
 def test_a_hot_group_leaves_few_rows_inside(spark):
     df = stage(spark.range(400_000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 50).alias("g"),
                                            F.rand(3).alias("v")), "hot")
-    picks = {"x": q.Pick("v", lambda n: F.floor(n / 2))}
+    picks = {"x": q.Pick("v", "n div 2")}
     brackets = q._brackets(df, ["g"], picks, q.GRID, q.ACCURACY)
     split = q._split(df, ["g"], picks, brackets)
     assert split.where("g = 1").count() < 266_667 * 4 / q.GRID
