@@ -7,8 +7,8 @@ share so many words share a kept hash: none is missed, whatever stands around
 it. Spans shorter than ``span`` words, of shorter benchmark texts, have windows
 and grams of their own size; sizes that do not occur cost nothing.
 
-The kept hashes of the documents meet the different kept hashes of the
-benchmark. Each hit is extended: the windows of the document that reach over it
+The kept hashes of the documents, each in one number with its place, meet the
+different kept hashes of the benchmark. Each hit is extended: the windows of the document that reach over it
 are looked up among the different windows of the benchmark by 128 bits of hash.
 Both joins find at most one partner for a row, so a passage that is common in
 documents or benchmark multiplies nothing. Only the last step names items, once
@@ -36,10 +36,10 @@ from terrace.llm.common import lower_ascii, split_words, text_of
 from terrace.llm.license_scan import WORD_EDGE, WORD_GAP
 from terrace.sources.staging import stage
 
-MARK = -1            # size and place of the row that every document carries
-MARKS = 1 << 12      # its hash takes so many values, for none of them to be a hot key
+PLACE_BITS = 24              # a kept gram is one number: 39 bits of hash, a set bit, and its place modulo 2**24
+FIRST = 1 << PLACE_BITS
+MARKS = 1 << 12              # every document carries one of so many numbers without the set bit
 ROW = ["_row", "_alt"]
-GRAM = "array<struct<size:int,place:int,hash:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -62,28 +62,27 @@ def _starts(words: Column, size: int) -> Column:
 
 
 def kept_grams(words: Column, size: int) -> Column:
-    """Winnowing: (size, place, hash) of the smallest gram hashes of all runs of ``size`` words.
+    """Winnowing: of the grams in every run of ``size`` words the one with the smallest hash, as packed numbers.
 
-    A gram has half of these words, rounded up. All places of a smallest hash are kept.
+    A gram has half of these words, rounded up; its hash depends on ``size`` too, so
+    grams for runs of different sizes do not meet. Hashes decide first, then places.
     """
     k = (size + 1) // 2
     width = size - k + 1
 
-    def kept(hashes: Column, lows: Column) -> Column:
-        def one(h: Column, i: Column) -> Column:
-            # kept if it is the smallest of one of the runs it lies in
-            first = F.greatest(i - (width - 1), F.lit(0))
-            return F.when(h == F.array_max(F.slice(lows, first + 1, i - first + 1)),
-                          F.struct(F.lit(size).alias("size"), i.alias("place"), h.alias("hash")))
+    def packed(i: Column) -> Column:
+        hashed = F.xxhash64(F.lit(size), F.slice(words, i + 1, k))
+        return hashed.bitwiseAND(F.lit(-2 * FIRST)).bitwiseOR(F.pmod(i, F.lit(FIRST)) + F.lit(FIRST))
 
-        return F.array_compact(F.transform(hashes, one))
+    def lows(grams: Column) -> Column:
+        return F.transform(_starts(words, size), lambda i: F.array_min(F.slice(grams, i + 1, width)))
 
-    def lows(hashes: Column) -> Column:
-        return F.transform(_starts(words, size), lambda i: F.array_min(F.slice(hashes, i + 1, width)))
+    kept = F.array_distinct(_let(F.transform(_starts(words, k), packed), lows))
+    return F.when(F.size(words) >= size, kept).otherwise(F.array().cast("array<bigint>"))
 
-    hashes = F.transform(_starts(words, k), lambda i: F.xxhash64(F.slice(words, i + 1, k)))
-    return F.when(F.size(words) >= size, _let(hashes, lambda h: _let(lows(h), lambda low: kept(h, low)))).otherwise(
-        F.array().cast(GRAM))
+
+def gram_hash(packed: Column) -> Column:
+    return F.shiftright(packed, PLACE_BITS)
 
 
 def _windows(df: DataFrame, starts: Column, *keys: str) -> DataFrame:
@@ -102,32 +101,34 @@ def item_windows(benchmark: DataFrame, key: str = "item_id", text: str = "text",
     items = benchmark.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("item"), words_of(text).alias("_words"))
     items = stage(items.withColumn("size", F.least(F.size("_words"), F.lit(rules.span))).where("size > 0"), "items")
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # ``span`` numbers at most
-    grams = F.array().cast(GRAM)
+    grams = F.array().cast("array<bigint>")
     for size in sizes:
         grams = F.when(F.col("size") == size, kept_grams(F.col("_words"), size)).otherwise(grams)
-    grams = items.select(F.explode(grams).alias("_g")).select("_g.size", "_g.hash")
-    marks = items.sparkSession.range(MARKS).select(F.lit(MARK).alias("size"), F.col("id").alias("hash"))
+    grams = items.select("size", F.explode(grams).alias("_g")).select("size", gram_hash(F.col("_g")).alias("hash")).distinct()
+    marks = items.sparkSession.range(MARKS).select(F.lit(0).alias("size"), (2 * F.col("id")).alias("hash"))
     windows = _windows(items, F.sequence(F.lit(0), F.size("_words") - F.col("size")), "item").drop("start").distinct()
-    return stage(grams.distinct().unionByName(marks), "item-grams"), stage(windows, "item-windows"), sizes
+    return stage(grams.unionByName(marks), "item-grams"), stage(windows, "item-windows"), sizes
 
 
 def gram_hits(rows: DataFrame, grams: DataFrame, sizes: Sequence[int]) -> DataFrame:
-    """(_key, row, n_words, size, place) of the documents' kept grams that the benchmark keeps too, and of the marks."""
+    """(_key, row, n_words, size, place) of the documents' kept grams that the benchmark keeps too; size 0: the mark."""
     kept = rows.select("_key", *ROW, words_of("_text").alias("_words"))
-    mark = F.struct(F.lit(MARK).alias("size"), F.lit(MARK).alias("place"), F.pmod("_row", F.lit(MARKS)).alias("hash"))
+    mark = F.pmod("_row", F.lit(MARKS)) * (2 * FIRST)
     every = F.concat(F.array(mark), *[kept_grams(F.col("_words"), size) for size in sizes])
     kept = kept.select("_key", *ROW, F.size("_words").cast("long").alias("n_words"), F.explode(every).alias("_g"))
-    kept = kept.select("_key", *ROW, "n_words", "_g.size", "_g.place", "_g.hash")
-    return kept.join(grams, ["size", "hash"], "left_semi").drop("hash")
+    hits = kept.withColumn("hash", gram_hash(F.col("_g"))).join(grams, "hash")
+    return hits.select("_key", *ROW, "n_words", "size", F.col("_g").bitwiseAND(F.lit(FIRST - 1)).cast("int").alias("place"))
 
 
 def extended(rows: DataFrame, hits: DataFrame, windows: DataFrame) -> DataFrame:
     """(row, size, start, w1, w2) of the benchmark's windows in the documents: those that reach over a hit gram."""
     at = hits.where("size > 0").groupBy(*ROW, "size").agg(F.collect_set("place").alias("_at"))
     texts = rows.select(*ROW, "_text").join(at, ROW).select(*ROW, "size", "_at", words_of("_text").alias("_words"))
-    size = F.col("size")
-    reach = F.flatten(F.transform("_at", lambda p: F.sequence(
-        F.greatest(p - F.floor(size / 2).cast("int"), F.lit(0)), F.least(p, F.size("_words") - size))))
+    size, n = F.col("size"), F.size("_words")
+    # places are known modulo 2**24
+    places = F.flatten(F.transform("_at", lambda p: F.sequence(p, n - 1, F.lit(FIRST))))
+    reach = F.flatten(F.transform(places, lambda p: F.sequence(
+        F.greatest(p - F.floor(size / 2).cast("int"), F.lit(0)), F.least(p, n - size))))
     known = stage(windows.select("size", "w1", "w2").distinct(), "known")
     return _windows(texts, F.array_distinct(reach), *ROW).distinct().join(known, ["size", "w1", "w2"], "left_semi")
 
@@ -160,7 +161,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     items = named.select(*ROW, "item").distinct().groupBy(*ROW).agg(F.sort_array(F.collect_list("item")).alias("items"))
     leaks = stage(merged_spans(found).join(items, ROW), "leaky")
     words = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
-    return hits.where(F.col("size") == MARK).join(leaks, ROW, "left").select(
+    return hits.where("size = 0").join(leaks, ROW, "left").select(
         F.col("_key").alias(key), "n_words", F.coalesce(words, F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))

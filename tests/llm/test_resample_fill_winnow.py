@@ -167,6 +167,15 @@ def test_find_leaks_with_and_without_broadcast(spark, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_places_beyond_the_packed_ones(spark, monkeypatch):
+    monkeypatch.setattr(winnow, "PLACE_BITS", 3)
+    monkeypatch.setattr(winnow, "FIRST", 8)
+    docs = [(1, f"{PROSE[4]} {PASSAGE} {PROSE[2]} {PASSAGE} {PROSE[0]}"), (2, PROSE[4])]
+    got = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                     spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")).collect()
+    assert spread((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == spread(leaks_by_hand(docs, [(1, PASSAGE)]))
+
+
 def test_winnowing_keeps_a_gram_of_every_shared_run(spark):
     rng = random.Random(4)
     shared = [f"s{i}" for i in range(8)]
@@ -174,7 +183,7 @@ def test_winnowing_keeps_a_gram_of_every_shared_run(spark):
         rows = [([f"{side}{rng.random()}" for _ in range(rng.randrange(6))] + shared[:size] + [f"{side}x"] * rng.randrange(6),)
                 for side in "ab" for _ in range(8)]
         kept = spark.createDataFrame(rows, "w array<string>").select(
-            F.transform(winnow.kept_grams(F.col("w"), size), lambda g: g["hash"])).collect()
+            F.transform(winnow.kept_grams(F.col("w"), size), winnow.gram_hash)).collect()
         assert all(set(a[0]) & set(b[0]) for a in kept[:8] for b in kept[8:])
 
 
