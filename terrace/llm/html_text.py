@@ -4,6 +4,9 @@ Markup is stripped first: the page becomes a sequence of lines, one per block
 element. A line's weight is its text length; it is 0 for furniture (menus,
 headers, footers, sidebars, notices, adverts, forms, comments), for lines made
 of links and, where the page marks its article, for everything outside it.
+Class names and ids are evidence only: the word that says what a name means
+decides, not a word somewhere in it, and an element that holds most of the text
+beside next to nothing else is a wrapper of the page, whatever its name.
 Weights are summed over sliding windows of lines. Text starts where the sum
 surges, with the short lines right before, and ends where it dives to nothing;
 all lines in between are kept, short ones and lines of links too. Inside a
@@ -44,21 +47,25 @@ RAW = frozenset("script style textarea title iframe noscript template".split())
 FURNITURE = frozenset("nav footer aside form button select menu dialog fieldset".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SELF_ENDING = frozenset("p li dt dd option tr td th".split())
+WRAPPING = frozenset("form fieldset dialog".split())     # some pages stand in one of these as a whole
 ARTICLE = frozenset("article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-# Class names and ids of furniture. Most words count anywhere in a name; names of the
-# layout count as a whole, as wrappers around a page's text have them in their names too.
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|"
-    r"commentlist|disqus|repl(?:y|ies)|breadcrumbs?|share|sharing|social|related|recommend\w*|subscribe|newsletter|"
-    r"signup|login|pagination|pager|copyright)(?=$|[\s_-])", re.I)
-_LAYOUT = re.compile(
-    r"(?:^|\s)(?:(?:site|page|left|right|primary|secondary|top|bottom)[_-])?(?:banner|modal|overlay|sidebar|"
-    r"side-bar|comments?|footer|nav|navbar|navigation|menu|search|widget|toolbar|skip)(?=$|\s)"
-    r"|(?:^|\s)(?:comments?[_-](?:list|section|area|thread)|skip[_-]link|search[_-](?:box|bar|form)|"
-    r"nav[_-](?:menu|bar|links?)|main[_-](?:nav|navigation|menu)|footer[_-](?:links?|nav|menu))(?=$|\s)", re.I)
+# Words of class names and ids that name furniture, and those that stand behind such a word
+# without changing what it names.
+NAMED = re.compile(
+    r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|notification|alert|popup|modal|dialog|overlay|"
+    r"banner|sidebar|comments?|commentlist|disqus|repl(?:y|ies)|footer|nav|navbar|navigation|menu|search|widgets?|toolbar|skip|"
+    r"breadcrumbs?|share|sharing|social|related|recommend\w*|subscribe|newsletter|signup|login|pagination|pager|copyright")
+CARRIERS = frozenset(
+    "area bar block body box button buttons card column container content form group icon icons inner item items left line link "
+    "links list menu message module outer panel placeholder posts right row section slot stories text thread top bottom unit "
+    "wrap wrapper".split())
+STATES = frozenset("has is no not with without hide show enable enabled disable disabled open closed active on off".split())
+PAGE_WORDS = frozenset("content main layout page site".split())
+TALK = re.compile(r"comments?|commentlist|disqus|repl(?:y|ies)")
 _PAGE_HEAD = re.compile(r"(?:^|\s)(?:(?:site|page|main)[_-])?(?:header|masthead|topbar)(?=$|\s)", re.I)
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)((?>[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+)/?>")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)([^>]*)>?")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -102,15 +109,47 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
     return out
 
 
-def _furniture(name: str, attributes: str, inside: bool) -> bool:
-    if name in SILENT or name in FURNITURE or (name == "header" and not inside):
-        return True
+def named_head(token: str) -> str:
+    """What a class name or id names, if that is furniture: its last word that is no carrier, place or number.
+
+    ``sidebar-right`` is a sidebar and ``comment-body`` a comment, but ``related-work`` is work,
+    ``has-sidebar`` and ``share-enabled`` are states of something else, and ``content-sidebar-wrap``
+    is a wrapper of the content.
+    """
+    words = [w.lower() for w in _WORD.findall(token.replace("side-bar", "sidebar"))]
+    if not words or words[0] in STATES or words[-1] in STATES:
+        return ""
+    if words[-1] in ("wrap", "wrapper", "container") and PAGE_WORDS.intersection(words):
+        return ""
+    while len(words) > 1 and not NAMED.fullmatch(words[-1]) and (
+            words[-1] in CARRIERS or len(words[-1]) == 1 or words[-1].isdigit()):
+        words.pop()
+    return words[-1] if NAMED.fullmatch(words[-1]) else ""
+
+
+@dataclass(frozen=True)
+class Verdict:
+    """Why an element may be furniture: by its tag alone, or by its name."""
+
+    certain: bool
+    talk: bool = False
+
+
+def _furniture(name: str, attributes: str, inside: bool) -> Verdict | None:
+    if name in SILENT or (name in FURNITURE and name not in WRAPPING) or (name == "header" and not inside):
+        return Verdict(True)
+    if name in WRAPPING:
+        return Verdict(False)
     if name in ARTICLE or name in ("html", "body") or not attributes:
-        return False
+        return None
+    if _HIDDEN.search(attributes):
+        return Verdict(True)
     named = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
     label = f"{named.get('class', '')} {named.get('id', '')}"
-    return bool(_NAMES.search(label) or _LAYOUT.search(label) or (not inside and _PAGE_HEAD.search(label))
-                or named.get("role", "").lower() in ROLES or _HIDDEN.search(attributes))
+    heads = [h for h in map(named_head, label.split()) if h]
+    if heads or (not inside and _PAGE_HEAD.search(label)) or named.get("role", "").lower() in ROLES:
+        return Verdict(False, any(TALK.fullmatch(h) for h in heads))
+    return None
 
 
 def _closings(items: list[tuple[str, str, str]]) -> dict[int, int]:
@@ -147,10 +186,73 @@ def _articles_before(items: list[tuple[str, str, str]]) -> list[int]:
     return counts
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
+class Layout:
+    """Which elements of a page are left out."""
+
+    def __init__(self, items: list[tuple[str, str, str]], rules: BlockRules):
+        self.items, self.rules = items, rules
+        self.closings, self.articles = _closings(items), _articles_before(items)
+        self.prose = self._prose()
+        self.dropped: dict[int, int] = {}       # opening to the index behind the element
+        self._judge(0, len(items), 0)
+
+    def _prose(self) -> list[int]:
+        """Characters of text outside links and scripts, before each index."""
+        total, silent, links = [0], 0, 0
+        for k, (kind, name, _) in enumerate(self.items):
+            if kind == "open" and name in SILENT and name not in VOID:
+                silent = max(silent, _end_of(self.items, self.closings, k))
+            links = 0 if kind != "text" and name not in INLINE else max(0, links + (name == "a") * (
+                1 if kind == "open" else -1 if kind == "close" else 0))
+            counts = kind == "text" and k >= silent and not links
+            total.append(total[-1] + (len(name.strip()) if counts else 0))
+        return total
+
+    def _length(self, begin: int, end: int) -> int:
+        return self.prose[end] - self.prose[begin]
+
+    def _judge(self, begin: int, end: int, depth: int) -> None:
+        """Decide on the outermost suspects between two indexes, then inside those that turn out to be wrappers.
+
+        A suspect that holds most of the text here, beside little that is not suspect, is a
+        wrapper of the page, whatever its name; so is what holds the page's article.
+        """
+        todo = [(begin, end, depth)]
+        while todo:
+            begin, end, depth = todo.pop()
+            suspects: list[tuple[int, int, Verdict, int]] = []
+            free, k = self._length(begin, end), begin
+            while k < end:
+                kind, name, rest = self.items[k]
+                if kind == "open":
+                    verdict = _furniture(name, rest, depth > 0) if name not in VOID else None
+                    if verdict:
+                        stop = min(end, _end_of(self.items, self.closings, k))
+                        suspects.append((k, stop, verdict, depth))
+                        free -= self._length(k, stop)
+                        k = max(stop, k + 1)
+                        continue
+                    depth += name in ARTICLE
+                elif kind == "close" and name in ARTICLE and depth:
+                    depth -= 1
+                k += 1
+            doubtful = [(self._length(k, stop), -k) for k, stop, verdict, _ in suspects if not verdict.certain]
+            most, first = max(doubtful, default=(0, 0))
+            for k, stop, verdict, at in suspects:
+                # readers' comments may be marked as articles too
+                holds = not at and self.articles[stop] > self.articles[k] and self.items[k][1] not in SILENT and (
+                    not verdict.talk or (free < self.rules.surge and not self.articles[k]))
+                little = free < self.rules.surge or (not verdict.talk and 10 * free < most)
+                if holds or (k == -first and most and 2 * most >= self._length(begin, end) and little):
+                    todo.append((k + 1, stop, at))
+                else:
+                    self.dropped[k] = stop
+
+
+def lines_of(page: str, rules: BlockRules = BlockRules()) -> list[tuple[str, int, bool]]:
     """(text, weight, inside an article) of every block of the page that has text."""
     items = tokens(page)
-    closings, articles = _closings(items), _articles_before(items)
+    dropped = Layout(items, rules).dropped
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     linked = depth = links = k = 0
@@ -176,12 +278,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         elif name == "br":
             parts.append(" ")
         if kind == "open":
-            if name not in VOID and _furniture(name, rest, depth > 0):
-                end = _end_of(items, closings, k)
-                # what holds the page's article is a wrapper of it, whatever its name
-                if name in SILENT or depth or articles[end] == articles[k]:
-                    k = end
-                    continue
+            if k in dropped:
+                k = max(dropped[k], k + 1)
+                continue
             if name in ARTICLE:
                 depth += 1
             links += name == "a"
@@ -197,7 +296,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
 def main_text(page: str, rules: BlockRules = BlockRules()) -> str:
     """The lines between surges and dives of the text length, joined by line feeds."""
-    lines = lines_of(page)
+    lines = lines_of(page, rules)
     if any(inside for _, _, inside in lines):
         weights = [max(len(t), 1) if inside else 0 for t, _, inside in lines]
         surge = 1

@@ -316,6 +316,81 @@ def test_layout_names_are_whole_tokens(label):
     assert html_text.main_text(f'<body><div class="{label}"><p>{w}</p></div><div class="sidebar"><p>{w}</p></div>') == w.strip()
 
 
+@pytest.mark.parametrize("label", [
+    "page no-ads", "post share-enabled", "has-cookie-consent", "entry social-science", "story related-work",
+    "content notice-board", "widget", "comments", "adWrapper"])
+def test_a_wrapper_keeps_the_page_whatever_its_name(label):
+    w = "some plain words of an article " * 4
+    body = "".join(f"<p>{w}{k}</p>" for k in range(3))
+    want = "\n".join(f"{w}{k}" for k in range(3))
+    for before, after in (("", ""), ("<nav>Menu of the site</nav><h1>Head</h1>", "<footer>Bye</footer>")):
+        page = f'<body>{before}<div class="{label}">{body}</div>{after}</body>'
+        assert html_text.main_text(page) == ("Head\n" if before else "") + want
+    assert html_text.main_text(f"<form action=/x><div>{body}</div><p>Short.</p></form>") == want + "\nShort."
+
+
+@pytest.mark.parametrize("label", [
+    "sidebar-right", "widget-area", "reader-comments", "comment-body", "comments-wrapper", "user-comments",
+    "entry-comments", "main-footer", "footer-widgets", "modal-dialog", "cookie-banner", "related-posts",
+    "newsletter-signup-form", "ad-300x250", "adSlot", "shareButtons", "side-bar left"])
+def test_named_furniture_is_left_out(label):
+    w = "some plain words of an article " * 4
+    block = f'<div class="{label}"><p>{w} aside</p><p>{w} aside</p></div>'
+    body = f"<p>{w}1</p><p>{w}2</p>"
+    for page in (f"<body>{block}<div>{body}</div></body>", f"<body><div>{body}</div>{block}</body>", f"<main>{body}{block}</main>",
+                 f'<div class="page has-sidebar">{body}{block}</div>', f"<article>{body}</article>{block}"):
+        assert html_text.main_text(page) == f"{w}1\n{w}2"
+
+
+def test_prose_with_a_furniture_word_in_its_name_stays():
+    w = "some plain words of an article " * 4
+    for label in ("related-work", "social-history", "menu-engineering", "ad-hoc", "is-search"):
+        page = f'<article><p>{w}1</p><div class="{label}"><p>{w}2</p></div><p>{w}3</p></article>'
+        assert html_text.main_text(page) == "\n".join(f"{w}{k}" for k in (1, 2, 3))
+
+
+def test_comments_longer_than_the_article():
+    w = "some plain words of an article " * 4
+    talk = "".join(f"<article><p>{w} says reader {k}</p></article>" for k in range(9))
+    assert html_text.main_text(f'<div><p>{w}</p></div><section id="comments">{talk}</section>') == w.strip()
+    assert html_text.main_text(f'<article><p>{w}</p></article><div class="comment-list">{talk}</div>') == w.strip()
+
+
+def test_windows_against_brute_force():
+    rng = random.Random(12)
+    rules = html_text.BlockRules()
+    for _ in range(300):
+        lines = [(rng.choice(["word", "word " * 9, "word " * 30]).strip(), rng.random() < 0.4) for _ in range(rng.randrange(1, 14))]
+        page = "".join(f"<p><a>{t}</a></p>" if link else f"<p>{t}</p>" for t, link in lines)
+        weights = [0 if link else len(t) for t, link in lines]
+        need = min(rules.surge, max(weights))
+        kept = set()
+        # every stretch of lines between two dives (three lines without text) that somewhere surges
+        for k in range(len(lines)):
+            if need and sum(weights[k:k + 3]) >= need:
+                low = k
+                while low and weights[low - 1]:
+                    low -= 1
+                high = k
+                while high < len(lines) and any(weights[high:high + 3]):
+                    high += 1
+                rows = [j for j in range(low, high)]
+                while rows and not weights[rows[0]]:
+                    rows.pop(0)
+                while rows and not weights[rows[-1]]:
+                    rows.pop()
+                kept.update(rows)
+        assert html_text.main_text(page) == "\n".join(lines[j][0] for j in sorted(kept)), lines
+
+
+def test_very_long_and_deep_pages():
+    w = "some plain words of an article " * 4
+    deep = "<form>" * 4000 + f"<p>{w}</p>" + "</form>" * 4000
+    assert html_text.main_text(deep) == w.strip()
+    long = "".join(f"<p>{w}{k}</p><div class=ad>{w}</div>" for k in range(20_000))
+    assert html_text.main_text(long).count("\n") == 19_999
+
+
 def test_short_lines_around_a_surge():
     head, by, day, para = "A headline of thirty letters..", "By Jane Doe.", "1 May 2020", "some plain words " * 18
     links = "".join(f"<p><a href=/{k}>A link to page {k}</a></p>" for k in range(4))
