@@ -136,6 +136,16 @@ class Marked:
     def longest_reason(self) -> int:
         return sum(len(_reason(c)) + 1 for _, c, _ in self.row if c.critical)
 
+    def codes(self) -> Column:
+        """The reason as one digit per critical row check, in their order; empty for a valid row."""
+        failed = [F.when(cond, "0").otherwise("1") for _, check, cond in self.row if check.critical]
+        return F.when(F.col(REASON) != "", F.concat(*failed)).otherwise("")
+
+    def decoded(self, codes: Column) -> Column:
+        """The reason's text from such digits."""
+        reasons = [_reason(c) for _, c, _ in self.row if c.critical]
+        return F.concat_ws("|", *[F.when(F.substring(codes, k + 1, 1) == "1", F.lit(r)) for k, r in enumerate(reasons)])
+
 
 def _reason(check: Check) -> str:
     return f"{check.rule}:{check.column}"

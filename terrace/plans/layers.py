@@ -21,6 +21,7 @@ from terrace.sources.staging import freed
 
 
 YEAR = "_year"
+LONGEST_REASON = 120      # characters that surely fit into a name of a directory, however they are escaped
 
 
 @dataclass
@@ -95,7 +96,7 @@ class Lakehouse:
             step.rows_quarantined += summary["rows_quarantined"]
             step.add_checks(summary["score"], [
                 Check(r["rule"], r["column"], r["critical"], r["status"], r["detail"]) for r in report if r["position"] > 0])
-            self._quarantine(path, layer, table, bool(summary["rows_quarantined"]), partition_by, batchwise)
+            self._quarantine(marked, path, layer, table, bool(summary["rows_quarantined"]), partition_by, batchwise)
             if self.stop_on_critical:
                 enforce(report, f"{layer}.{table}")
             if summary["rows_valid"] == 0 and not (overwrite == "dynamic" and partition_by):
@@ -125,8 +126,10 @@ class Lakehouse:
             rows = rows.hint("rebalance", *partition_by, REASON)
         # behind the shuffle: a map task that runs again would be counted again
         seen = Observation(f"publish-{uuid.uuid4().hex}")
-        rows = rows.observe(seen, *marked.counts()).drop(*marked.helpers)
-        rows = rows.withColumn(REASON, F.nullif(F.col(REASON), F.lit("")))
+        rows = rows.observe(seen, *marked.counts())
+        if marked.longest_reason() > LONGEST_REASON:
+            rows = rows.withColumn(REASON, marked.codes())
+        rows = rows.drop(*marked.helpers).withColumn(REASON, F.nullif(F.col(REASON), F.lit("")))
         rows.write.option("compression", "snappy").partitionBy(REASON, *partition_by).parquet(f"{path}/refused")
         figures = dict(seen.get)
         if repeats := marked.repeats(self.spark.read.schema(rows.schema).parquet(f"{path}/refused")):
@@ -137,15 +140,19 @@ class Lakehouse:
         return figures
 
     def _quarantine(
-        self, path: str, layer: str, table: str, refused: bool, partition_by: Sequence[str], batchwise: bool,
+        self, marked: Marked, path: str, layer: str, table: str, refused: bool, partition_by: Sequence[str], batchwise: bool,
     ) -> None:
         """Refused rows of one table take the place of those of the run before."""
         location = tables.quarantine_location(self.root, layer, table)
         if not batchwise:
             tables.drop_table_dir(self.spark, location)
-        if refused:
-            tables.swap_in(self.spark, f"{path}/refused", location, [REASON, *partition_by],
-                           "dynamic" if batchwise else "static")
+        mode = "dynamic" if batchwise else "static"
+        if refused and marked.longest_reason() > LONGEST_REASON:
+            coded = self.spark.read.schema(marked.rows.drop(*marked.helpers).schema).parquet(f"{path}/refused")
+            tables.write_table(coded.withColumn(REASON, marked.decoded(F.col(REASON))), location,
+                               partition_by=partition_by, overwrite=mode)
+        elif refused:
+            tables.swap_in(self.spark, f"{path}/refused", location, [REASON, *partition_by], mode)
 
     def ingest(
         self, entity: str, source: str, schema: StructType, system: str,

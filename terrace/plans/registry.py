@@ -36,14 +36,19 @@ def half_up(x: str, digits: int = 1) -> str:
     return f"(sign({x}) * floor(abs({x}) * 1e{digits} + 0.5 + 1e-7) / 1e{digits} + 0.0)"
 
 
+def _title(x: str) -> str:
+    """SQL text of the standard form of a name of one word."""
+    return f"(upper(left(trim({x}), 1)) || lower(substr(trim({x}), 2)))"
+
+
 # The canonical model in SQL; a query prefixes the parts it needs.
 MODEL = f"""
 nat as (
-  select cast(n_nationkey as bigint) as group_id, upper(trim(n_name)) as group_name,
+  select cast(n_nationkey as bigint) as group_id, {_title('n_name')} as group_name,
          upper(trim(r_name)) as region
   from nation left join region on n_regionkey = r_regionkey),
 ent as (
-  select c_custkey as entity_id, trim(c_name) as entity_name,
+  select c_custkey as entity_id, {_title('c_name')} as entity_name,
          cast(c_nationkey as bigint) as group_id, c_acctbal as context, group_name, region,
          c_acctbal is not null as context_available,
          case when c_acctbal < 2000 then 'SMALL' when c_acctbal < 6000 then 'MEDIUM'

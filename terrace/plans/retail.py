@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as c
+from terrace.functions.text import standardize_name
 from terrace.operators import targets as t
 from terrace.operators.enrich import enrich
 from terrace.sources.schemas import SCHEMAS
@@ -72,12 +73,12 @@ def supplied(spark: SparkSession, sf_dir: str) -> Read:
 
 
 def dim_group(read: Read) -> DataFrame:
-    """Nations with their region, names and codes standardised."""
+    """Nations under standardised names, with their region's code."""
     nation, region = read("nation"), read("region")
     joined = enrich(nation, region, {"n_regionkey": "r_regionkey"}, ["r_name"])
     return joined.select(
         F.col("n_nationkey").cast("long").alias("group_id"),
-        c.canonical_code(F.col("n_name")).alias("group_name"),
+        standardize_name(F.col("n_name")).alias("group_name"),
         c.canonical_code(F.col("r_name")).alias("region"),
     )
 
@@ -85,7 +86,7 @@ def dim_group(read: Read) -> DataFrame:
 def dim_entity(read: Read) -> DataFrame:
     """Customers with group attributes, size class and availability flag."""
     customer = read("customer").select(
-        F.col("c_custkey").alias("entity_id"), F.trim("c_name").alias("entity_name"),
+        F.col("c_custkey").alias("entity_id"), standardize_name(F.col("c_name")).alias("entity_name"),
         F.col("c_nationkey").cast("long").alias("group_id"),
         F.col("c_acctbal").alias("context"))
     joined = enrich(customer, dim_group(read), "group_id", ["group_name", "region"])

@@ -109,20 +109,31 @@ def run_gold(lake: Lakehouse, k: int = 100) -> None:
     )
 
 
+def run_batch(lake: Lakehouse, landing: str, stages: Sequence[str]) -> None:
+    """The layers of the tables, one after the other."""
+    if "bronze" in stages:
+        run_bronze(lake, landing)
+    with freed(lake.spark):
+        if "silver" in stages:
+            run_silver(lake)
+        if "gold" in stages:
+            run_gold(lake)
+
+
+def run_events(lake: Lakehouse, landing: str) -> None:
+    """The event lines that have arrived, through the tiers of the stream."""
+    lines = ev.text_stream(lake.spark, f"{landing}/events")
+    run_stream(lake, ev.stamped(lines, "file", lake.log.run_id))
+
+
 def run(lake: Lakehouse, landing: str, stages: Sequence[str] = STAGES, reprocess: bool = False) -> None:
-    """The chosen stages in order; the log is saved whatever happens."""
+    """The chosen stages, the tables' layers in order and the stream beside them; the log is saved whatever happens."""
     if reprocess:
         lake.reset()
+    jobs = [lambda: run_batch(lake, landing, stages)]
+    if "stream" in stages:
+        jobs.append(lambda: run_events(lake, landing))
     try:
-        if "bronze" in stages:
-            run_bronze(lake, landing)
-        with freed(lake.spark):
-            if "silver" in stages:
-                run_silver(lake)
-            if "gold" in stages:
-                run_gold(lake)
-            if "stream" in stages:
-                lines = ev.text_stream(lake.spark, f"{landing}/events")
-                run_stream(lake, ev.stamped(lines, "file", lake.log.run_id))
+        lake.together(*jobs)
     finally:
         lake.save_log()

@@ -13,6 +13,7 @@ from terrace.operators.contracts import ContractViolation
 from terrace.operators.runlog import read_run_log, told
 from terrace.plans import retail_layers
 from terrace.plans.gold_queries import _PANEL
+from terrace.plans.layers import Lakehouse
 from terrace.plans.registry import query, with_model
 from terrace.plans.retail import table
 from terrace.plans.retail_stream import land_events
@@ -250,7 +251,7 @@ def catalog_statistics(spark, sf_dir):
 def bronze_years(spark, sf_dir):
     """Orders by day of arrival and year; a second delivery of the last year replaces that year of
     that day only, and a reader of two years opens no other one."""
-    lake = retail_layers.lakehouse(spark, scratch_path(spark, "lake"))
+    lake = Lakehouse(spark, scratch_path(spark, "lake"))
     orders, day = table(spark, sf_dir, "orders"), datetime(2026, 1, 15)
     last = orders.agg(F.max(F.year("o_orderdate"))).first()[0]
     for load, part in (("first", orders), ("second", orders.where(F.year("o_orderdate") == last))):

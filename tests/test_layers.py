@@ -58,6 +58,17 @@ def test_quarantine_beside_valid_rows(spark, tmp_path):
     assert step.bytes_written > 0
 
 
+def test_reasons_too_long_for_a_path(spark, tmp_path):
+    checks = [{"rule": "regex", "column": "name", "value": f"^[^{c}]*$", "tolerance_pct": 100} for c in "abcdefghijklmnopqrst"]
+    house = lake(spark, tmp_path / "lake", *checks, {"rule": "range", "column": "id", "value": [2, 9], "tolerance_pct": 100})
+    out = house.ingest("people", csv(tmp_path, "1,abcdefghijklmnopqrst\n2,tb\n3,xyz\n1,xyz\n"), PEOPLE, "TEST")
+    assert [r.id for r in out.collect()] == [3] and "_quarantine_reason" not in out.columns
+    bad = spark.read.parquet(f"{tmp_path}/lake/_quarantine/bronze/people").collect()
+    assert sorted((r.id, r.name, r._quarantine_reason) for r in bad) == [
+        (1, "abcdefghijklmnopqrst", "|".join(["regex:name"] * 20 + ["range:id"])), (1, "xyz", "range:id"),
+        (2, "tb", "regex:name|regex:name")]
+
+
 def test_a_clean_run_leaves_no_quarantine_and_nothing_staged(spark, tmp_path):
     house = lake(spark, tmp_path / "lake", {"rule": "not_null", "column": "name", "tolerance_pct": 50})
     before = staged(spark)
