@@ -125,15 +125,23 @@ def replace_dir(spark: SparkSession, source: str, target: str) -> None:
     """Put one directory in another's place by renaming, on the same file system.
 
     The old one steps aside under a hidden name first, so a reader sees the old
-    or the new files, and what failed half-way can be put back.
+    or the new files, never both; if the second renaming fails it is put back.
     """
     new, fs = _path(spark, source)
     old, _ = _path(spark, target)
+    if not fs.exists(new):
+        raise FileNotFoundError(f"{source} is missing: nothing to put in the place of {target}")
     fs.mkdirs(old.getParent())
-    aside, _ = _path(spark, f"{old.getParent()}/_old-{uuid.uuid4().hex}")
-    if fs.exists(old):
+    aside, _ = _path(spark, f"{old.getParent().toString()}/_old-{uuid.uuid4().hex}")
+    moved = bool(fs.exists(old))
+    if moved:
         _rename(fs, old, aside)
-    _rename(fs, new, old)
+    try:
+        _rename(fs, new, old)
+    except BaseException:
+        if moved:
+            _rename(fs, aside, old)
+        raise
     fs.delete(aside, True)
 
 

@@ -1,5 +1,7 @@
 """Sources, sinks and catalog."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -143,3 +145,67 @@ def test_clustering_prunes_on_every_column(spark, tmp_path):
     for c in "ab":
         assert sum(r[c] for r in files) / len(files) < 0.5 * 20000
     assert [tables.files_for(n, 10) for n in (0, 10, 11)] == [1, 1, 2]
+
+
+def test_statistics_change_the_order_of_joins(spark, tmp_path):
+    """Without statistics the tables are joined as they are written; with them the selective one comes first."""
+    big = spark.range(20_000).select(F.col("id").alias("k"), (F.col("id") % 100).alias("m"), (F.col("id") % 1000).alias("s"))
+    parts = {"big": big, "mid": spark.range(5000).select((F.col("id") % 100).alias("m"), F.lit("x" * 50).alias("pad")),
+             "small": spark.range(3).select((F.col("id") * 7).alias("s"))}
+    query = "select big.k from shelf_big big join shelf_mid mid on big.m = mid.m join shelf_small small on big.s = small.s"
+    for name, df in parts.items():
+        tables.register_table(spark, f"shelf_{name}", tables.write_table(df, f"{tmp_path}/{name}"))
+    wanted = {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true"}
+    before = {k: spark.conf.get(k) for k in wanted}
+
+    def order():
+        plan = spark.sql(query)._jdf.queryExecution().optimizedPlan().toString()
+        return [name for name in re.findall(r"shelf_(big|mid|small)", plan)]
+
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        written = order()
+        rows = spark.sql(query).count()
+        for name in parts:
+            tables.analyze_table(spark, f"shelf_{name}")
+        known = order()
+        assert written[:2] == ["big", "mid"] and set(known[:2]) == {"big", "small"}
+        assert spark.sql(query).count() == rows > 0
+        about = tables.column_statistics(spark, "shelf_big", ["s"]).first()
+        assert (about.rows, about.nulls, about.low, about.high) == (20_000, 0, "0", "999")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        for name in parts:
+            spark.sql(f"DROP TABLE shelf_{name}")
+
+
+def test_swapping_in_replaces_whole_partitions(spark, tmp_path):
+    first = spark.createDataFrame([(k, d, y) for k, (d, y) in enumerate([("a", 1), ("a", 2), ("b", 1)])], "k int, d string, y int")
+    second = spark.createDataFrame([(9, "a", 2), (8, "c", 1)], "k int, d string, y int")
+    for k, df in enumerate((first, second)):
+        df.write.partitionBy("d", "y").parquet(f"{tmp_path}/s{k}")
+        tables.swap_in(spark, f"{tmp_path}/s{k}", f"{tmp_path}/t", ["d", "y"], "dynamic")
+    assert {(r.k, r.d, r.y) for r in tables.read_table(spark, f"{tmp_path}/t").collect()} == {(0, "a", 1), (9, "a", 2), (2, "b", 1), (8, "c", 1)}
+    plan = tables.read_table(spark, f"{tmp_path}/t").where("d = 'a' and y = 2")
+    assert len(plan.inputFiles()) == 4 and "PartitionFilters: [isnotnull" in plan._jdf.queryExecution().executedPlan().toString()
+    tables.replace_dir(spark, tables.write_table(spark.range(2), f"{tmp_path}/n"), f"{tmp_path}/t")
+    assert tables.read_table(spark, f"{tmp_path}/t").count() == 2
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("_old")]
+    with pytest.raises(FileNotFoundError, match="missing"):
+        tables.replace_dir(spark, f"{tmp_path}/missing", f"{tmp_path}/t")
+    tables.write_table(spark.range(5), f"{tmp_path}/n")
+    with pytest.MonkeyPatch.context() as patch:
+        rename, calls = tables._rename, []
+
+        def breaks(fs, source, target):
+            calls.append(1)
+            if len(calls) == 2:
+                raise OSError("lost")
+            rename(fs, source, target)
+
+        patch.setattr(tables, "_rename", breaks)
+        with pytest.raises(OSError, match="lost"):
+            tables.replace_dir(spark, f"{tmp_path}/n", f"{tmp_path}/t")
+    assert tables.read_table(spark, f"{tmp_path}/t").count() == 2

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from terrace.operators import sampling, scoring
 from terrace.operators import targets as t
 from terrace.operators.calibration import calibrate_to_group_mean
+from terrace.plans import retail
+from terrace.sources.staging import stage
 
 
 @pytest.fixture(scope="module")
@@ -211,3 +213,28 @@ def test_sample_with_fractions(spark, factor):
 def test_sample_of_whole_numbers_in_doubles(spark):
     whole = spark.createDataFrame([("a", 9.0), ("b", 19.0)], "k string, w double")
     assert {r.k for r in sampling.weighted_sample(whole, "k", "w", 200).collect()} == {"a", "b"}
+
+
+def test_no_year_is_left_out(spark):
+    """Years from 1990 to 2010 with gaps: every one is in the tables by year, and the goal lies seven years after the first."""
+    rows = [(y, g, 100, 40 + g) for y in (1990, 1991, 1993, 1997, 2004, 2010) for g in (1, 2)]
+    years = spark.createDataFrame([(y, e, g, a, s) for k, (y, g, a, s) in enumerate(rows) for e in (k,)],
+                                  "yr long, entity_id long, group_id long, assessed long, successes long")
+    groups = stage(retail.group_years(years), "groups")
+    calendar = retail.calendar_of(groups)
+    assert (calendar.first, calendar.last, calendar.goal, calendar.end) == (1990, 2010, 1997, 2010)
+    national = {r.yr: r for r in retail.national_fact(groups).collect()}
+    assert sorted(national) == list(range(1990, 2011)) and national[1990].target is None
+    assert {national[y].target for y in (1997, 1998, 2010)} == {80.0} and national[1996].target < 80
+    assert national[1993].available and not national[1992].available
+
+    names = spark.createDataFrame([(1,), (2,), (3,)], "group_id long")
+    base = t.baselines(names, groups, retail.national_years(groups), calendar.first)
+    targets = t.group_targets(base, calendar.first, calendar.goal, 80.0, last_year=calendar.end)
+    assert targets.count() == 3 * 21
+    fact = retail.entity_fact(years, targets)
+    assert fact.count() == len(rows) and fact.where("target is null").select("yr").distinct().collect() == [(1990,)]
+    early = stage(retail.group_years(years.where("yr < 1992")), "groups")
+    assert retail.calendar_of(early).end == 1997
+    with pytest.raises(ValueError, match="no year"):
+        retail.calendar_of(groups.limit(0))
