@@ -35,7 +35,7 @@ def totals(
         return out
     middle = discrete(df, {name: (col, 0.5) for name, (col, _) in medians.items()}, keys)
     middle = middle.select(*keys, *[F.round(name, digits).alias(name) for name, (_, digits) in medians.items()])
-    return null_safe(out, stage(middle, "medians"), keys, "left")
+    return null_safe(out, middle, keys, "left")
 
 
 def reconciled(

@@ -238,15 +238,20 @@ def tiles(
         return F.col(f"__t{t}_rank") - F.col(f"__t{t}_below") < F.col(f"__t{t}_rows")
 
     tied = F.array_compact(F.array(*[F.when(shared(t), F.struct(
-        F.lit(t).alias("__t"), F.col(f"__t{t}").alias("__v"),
+        F.lit(t).alias("__t"), F.col(f"__t{t}").alias("__v"), F.col(f"__t{t}_rows").alias("__rows"),
         (F.col(f"__t{t}_rank") - F.col(f"__t{t}_below")).alias("__need"))) for t in ends]))
-    ties = stage(cuts.select(*within, F.explode(tied).alias("__x")).select(*within, "__x.*"), "tile-ties")
-    if ties.isEmpty():
+    ties = cuts.select(*within, F.explode(tied).alias("__x")).select(*within, "__x.*")
+    most = ties.agg(F.max("__rows")).first()[0]
+    if most is None:
         last = {t: F.lit(None) for t in ends}
     else:
-        equal = stage(null_safe(known.select(*within, F.col(order).alias("__v"), unique), ties, [*within, "__v"], "inner"),
-                      "equals")
-        found = select_ranks(equal, [*within, "__t", "__need"], {"__u": Pick(unique, "__need")}, **options)
+        equal = null_safe(known.select(*within, F.col(order).alias("__v"), unique), ties, [*within, "__v"], "inner")
+        key = [*within, "__t", "__need"]
+        if most <= options.get("inside", INSIDE):   # so many rows share the value of a tile's end at most
+            place = F.row_number().over(Window.partitionBy(*key).orderBy(unique))
+            found = equal.withColumn("__place", place).where("__place = __need").withColumnRenamed(unique, "__u")
+        else:
+            found = select_ranks(stage(equal, "equals"), key, {"__u": Pick(unique, "__need")}, **options)
         wide = found.groupBy(*within).agg(*[F.max(F.when(F.col("__t") == t, F.col("__u"))).alias(f"__u{t}") for t in ends])
         cuts = stage(null_safe(cuts, wide, within, "left") if within else cuts.withColumns(
             {f"__u{t}": wide.select(f"__u{t}").scalar() for t in ends}), "tile-ends")
