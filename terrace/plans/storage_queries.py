@@ -18,7 +18,7 @@ from terrace.plans.registry import query, with_model
 from terrace.plans.retail import table
 from terrace.plans.retail_stream import land_events
 from terrace.plans.stream_queries import _CLOSED, _EVENTS, _WINDOWS
-from terrace.sources import tables
+from terrace.sources import compaction, tables
 from terrace.sources.schemas import SCHEMAS
 from terrace.sources.staging import scratch_path, stage
 
@@ -62,6 +62,23 @@ def compact_cluster(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query("compact_incremental", """
+    with cut as (select max(year(o_orderdate)) as y from orders)
+    select o_orderkey, o_custkey, o_orderdate, o_totalprice, year(o_orderdate) = y as rewritten from orders, cut""")
+def compact_incremental(spark, sf_dir):
+    """Two clustered files of earlier years, then the last year in six small deliveries; only these are merged."""
+    path = scratch_path(spark, "growing")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    last = orders.agg(F.max(F.year("o_orderdate"))).first()[0]
+    late = F.year("o_orderdate") == last
+    tables.compact(orders.where(~late | late.isNull()), path, ["o_custkey", "o_orderdate"], 2)
+    rules = compaction.CompactionRules(target_bytes=tables.table_bytes(spark, path) // 2)
+    orders.where(late).repartition(6, "o_orderkey").write.mode("append").parquet(path)
+    compaction.compact_files(spark, path, ["o_custkey", "o_orderdate"], rules)
+    live = compaction.read_live(spark, path)
+    return live.select(*orders.columns, F.col("_metadata.file_name").startswith("compact-").alias("rewritten"))
+
+
 @query("csv_scan", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def csv_scan(spark, sf_dir):
     """Customers written as CSV and scanned under their schema."""
