@@ -286,6 +286,41 @@ def test_contexts_find_unseen_identifiers(spark):
     assert [r.text for r in private_data.mask(df).where("doc_id = 20").collect()] == ["you can call me at [PHONE] now"]
 
 
+def test_contexts_find_identifiers_of_other_shapes(spark):
+    phones = [(k, f"Please call me at +49 30 {k}123 4567 now") for k in range(7)]
+    mails = [(10 + k, f"so write to anna{k}@mail.example.org today") for k in range(7)]
+    unseen = {"(030) 123 45 67": "phone", "555 0199": "phone", "030-1234567": "phone", "jane.doe (at) example (dot) org": "email",
+              "jane at example dot org": "email", "jane@localhost": "email", "user77@intranet": "email"}
+    put = [(20 + k, f"Please call me at {x} now" if kind == "phone" else f"so write to {x} today")
+           for k, (x, kind) in enumerate(unseen.items())]
+    clean = [(40, "it costs 1234567 in all, see page 555 0199 there"), (41, "look at that dot on the wall"), (42, "room 12 at 30")]
+    df = spark.createDataFrame([*phones, *mails, *put, *clean], "doc_id int, text string")
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s not in r.base] for r in private_data.find(df).collect()}
+    for k, text in put:
+        x = list(unseen)[k - 20]
+        assert found[k] == [(unseen[x], text.index(x), text.index(x) + len(x))], text
+    assert not any(found[k] for k, _ in phones + mails + clean)
+    hidden = {r.doc_id: r.text for r in private_data.mask(df.withColumn("a.b", F.lit(1))).collect()}
+    assert {hidden[k] for k, _ in put} == {"Please call me at [PHONE] now", "so write to [EMAIL] today"}
+
+
+def test_private_data_in_pieces(spark):
+    draw = random.Random(7)
+    words = ["call", "+1 (017) 555-7713", "a.b@c-d.org", "10.0.0.1", "4111 1111 1111 1111", "1.2.3.4.5", "at", "é😀", "12 34",
+             "x (at) y (dot) org", "+49 30 123", "17,", "end.", "\n", "-", "(030)", "99 ", "+", "@", "dot"]
+    texts = [" ".join(draw.choice(words) for _ in range(n)) for n in (50, 900, 4000)]
+    texts += [" ".join(["12 34"] * 3000), "+1 2345678901 " * 400, "z" * 5000 + " a@b.co", "1.2.3.4 " * 700, ", ".join(["12 34"] * 20_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for r in private_data.find(df).collect():
+        assert [tuple(s) for s in r.base] == base_spans(texts[r.doc_id])
+    parts = df.select("doc_id", F.explode(private_data.pieces(F.col("text"))).alias("p")).select("doc_id", "p.*").collect()
+    for k, t in enumerate(texts):
+        own = [p for p in parts if p.doc_id == k]
+        assert "".join(p.text for p in own) == t
+        assert all(t[p.at:p.at + len(p.text)] == p.text and t[:p.at].endswith(p.before) for p in own)
+        assert k in (3, 4, 5, 6) or max(len(p.text) for p in own) < 3000
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><p>no";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href=/a>One</a></li></ul></nav><div class="cookie-notice"><p>{w}</p></div>
 {open}<h1>Head &amp; tail</h1><p>{w} one&nbsp;two<br>three</p><p>Short.</p><!-- <p>not</p> --><p>{w} last{close}
