@@ -5,7 +5,8 @@ both encodings are searched for a place where each starts a token behind a
 blank. The tokenizer's normaliser and word pattern do not reach over a blank,
 so what stands after it is encoded alike whatever came before: the place is a
 proven common boundary, and the encodings are spliced there. If an overlap has
-no such place it is doubled until it has, or until the text ends.
+no such place it is doubled until it has, or until it is the whole chunk; then
+the chunk is doubled.
 
 Texts below ``HUGE`` are cut at all such places at once: the library counts each
 different piece once per worker, in bounded memory, which gives the counts of
@@ -66,8 +67,8 @@ class Counter:
                 if cut is not None or follow <= begin + skip:
                     break
                 width = min(2 * width, end - begin - skip)
-            if cut is None:             # not one blank since the last splice: take a longer chunk
-                end = min(len(text), end + chunk)
+            if cut is None:             # not one blank since the last splice: twice the chunk, so that
+                end = min(len(text), 2 * end - begin)   # what is encoded again stays in proportion to the text
                 left = self.starts(text[begin:end])
                 continue
             total += sum(skip <= s < cut - begin for s in left)

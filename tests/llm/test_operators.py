@@ -277,6 +277,17 @@ def test_private_data(odd, none, texts):
     assert private_data.mask(odd).columns == odd.columns and private_data.find(none).count() == 0
 
 
+def test_work_on_a_huge_text_without_blanks():
+    library = Tokenizer.from_file(VOCABULARY)
+    draw = random.Random(3)
+    for text in ("".join(draw.choices("的一是不了人我在有他这", k=150_000)), "Zm9vYmFy" * 20_000 + " end " + "x1" * 40_000):
+        counter, seen = token_counts.Counter(library.to_str()), []
+        starts = counter.starts
+        counter.starts = lambda part: (seen.append(len(part)), starts(part))[1]  # noqa: B023
+        assert counter.huge(text) == len(library.encode(text, add_special_tokens=False).ids)
+        assert sum(seen) < 12 * len(text)
+
+
 def test_contexts_find_unseen_identifiers(spark):
     seen = [(k, f"you can call me at +49 30 {k}123 4567 now") for k in range(7)]
     df = spark.createDataFrame([*seen, (20, "you can call me at 030-1234567 now"), (21, "it costs 123456789 in all"),
