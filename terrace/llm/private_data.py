@@ -12,9 +12,9 @@ patterns. Unseen identifiers in places of confident patterns are added to the
 spans. Copies of a text do not raise a confidence, as instances count once.
 
 A text is walked in pieces of about a thousand characters, cut where neither a
-base entity nor a candidate can reach over, so the work grows with the text
-however many entities it holds. (A run of digits, brackets and blanks without
-any other character has no such place and is one piece.)
+base entity nor a candidate can reach over, so that places and contexts are
+looked up within a piece. (A run of digits, brackets and blanks without any
+other character has no such place and is one piece.)
 
 DataFrame functions only. A text is read once; what is shuffled are mentions,
 which few texts have, their patterns and their instances, combined before. The
