@@ -34,7 +34,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word similarity of 0.8): the one with the smallest id (null before all)."""
+    """One document of each group of near copies (candidates by SimHash and min-hash bands, five-word similarity
+    of 0.8): the one with the smallest id (null before all)."""
     groups = near_copies.near_copies(_packed(docs), "_id", "text")
     kept = stage(groups.where(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("_id").agg(
         F.count(F.lit(1)).alias("_rows")), "kept")

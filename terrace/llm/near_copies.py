@@ -1,13 +1,16 @@
-"""Near copies by shared word runs: Jaccard similarity of five-word shingles of 0.8 or more.
+"""Near copies by SimHash and shared word runs: Jaccard similarity of five-word shingles of 0.8 or more.
 
 A text is the set of its shingles' hashes; texts with equal sets are one node.
-Min-hashes of a set are grouped into bands. Two sets of similarity s share a
+The set's SimHash fingerprint comes first: sets whose fingerprints are equal or
+linked by ``simhash.links`` (two bits) are candidates. At a similarity of 0.8
+fingerprints differ in some ten of 64 bits, which no choice of blocks finds, so
+min-hashes look for the rest. Min-hashes of a set are grouped into bands. Two sets of similarity s share a
 band with probability 1 - (1 - s**rows)**bands, at 0.8 all but 4 in ten million;
 the band and its value form the bucket in which they meet. Every candidate is
 verified on the sets themselves.
 
 No bucket is paired off as a whole. First its members meet the first and the
-last of them; verified pairs give components. Only in buckets that still hold
+last of them; verified pairs, with those of the fingerprints, give components. Only in buckets that still hold
 several components do the members outside the largest one meet all others.
 Those pairs pass two bounds before the sets are read: the sizes, and parities
 of the sets, which differ in at most as many bits as the sets in elements.
@@ -31,7 +34,8 @@ from pyspark.sql.types import ArrayType, LongType
 
 from terrace.llm.common import text_of
 from terrace.llm.components import components
-from terrace.llm.simhash import run_hashes
+from terrace.llm.simhash import SimhashRules, run_hashes, vote
+from terrace.llm.simhash import links as fingerprint_links
 from terrace.sources.staging import stage
 
 
@@ -49,7 +53,7 @@ _MULTIPLY, _MASK = np.random.default_rng(20).integers(0, 1 << 63, (2, 1024), dty
 
 
 def sketch(hashes: np.ndarray, rules: NearCopyRules, step: int = 1 << 12) -> np.ndarray:
-    """The values of all bands, then the parity bits, of distinct hashes."""
+    """The values of all bands, then the parity bits, then the SimHash fingerprint of distinct hashes."""
     n = rules.bands * rules.rows
     h = np.ascontiguousarray(hashes, dtype="<i8").view(np.uint64)
     low = np.full(n, np.iinfo(np.uint64).max, np.uint64)
@@ -63,7 +67,8 @@ def sketch(hashes: np.ndarray, rules: NearCopyRules, step: int = 1 << 12) -> np.
         band ^= band >> np.uint64(32)
     places = (h >> np.uint64(7)) % np.uint64(64 * rules.parity)
     odd = (np.bincount(places.astype(np.int64), minlength=64 * rules.parity) & 1).astype(np.uint8)
-    return np.concatenate([band.view("<i8"), np.packbits(odd, bitorder="little").view("<i8")])
+    return np.concatenate([band.view("<i8"), np.packbits(odd, bitorder="little").view("<i8"),
+                           np.array([vote(hashes)], "<i8")])
 
 
 def _sketch(rules: NearCopyRules):
@@ -103,6 +108,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, rules: NearCopyRules) -> DataFr
         _enough(shared, F.size("_x") + F.size("_y"), rules)).select("a", "b")
 
 
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def alike(distinct: DataFrame, rules: NearCopyRules) -> DataFrame:
+    """(a, b) between ids of ``distinct`` whose fingerprints are equal or linked: each id meets the first one
+    of its fingerprint, and the first ones of linked fingerprints meet."""
+    prints = stage(distinct.where("n > 0").select(
+        "id", F.get("sketch", F.lit(rules.bands + rules.parity)).alias("fp")), "prints")
+    heads = stage(prints.groupBy("fp").agg(F.min("id").alias("head")), "heads")
+    equal = prints.join(heads, "fp").where("id <> head").select(*_ordered("id", "head"))
+    close = fingerprint_links(heads.select("fp"), SimhashRules(shingle=rules.shingle))
+    x, y = heads.select(F.col("fp").alias("a"), F.col("head").alias("x")), heads.select(
+        F.col("fp").alias("b"), F.col("head").alias("y"))
+    return stage(equal.unionByName(close.join(x, "a").join(y, "b").select(*_ordered("x", "y"))).distinct(), "alike")
+
+
 def links(df: DataFrame, distinct: DataFrame, text: str, rules: NearCopyRules) -> DataFrame:
     """(a, b) between ids of ``distinct`` (id, n, sketch), enough for all components."""
     keyed = distinct.where("n > 0").select("id", F.posexplode(F.slice("sketch", 1, rules.bands)).alias("band", "part"))
@@ -110,14 +132,17 @@ def links(df: DataFrame, distinct: DataFrame, text: str, rules: NearCopyRules) -
     shared = keyed.groupBy("band", "part").agg(
         F.count(F.lit(1)).alias("_n"), F.min("id").alias("first"), F.max("id").alias("last")).where("_n > 1")
     members = stage(keyed.join(shared.drop("_n"), ["band", "part"]), "members")
-    known = stage(distinct.join(members.select("id").distinct(), "id", "left_semi").select("id", "n", *[
+    printed = alike(distinct, rules)
+    met = members.select("id").union(printed.select("a")).union(printed.select("b")).distinct()
+    known = stage(distinct.join(met, "id", "left_semi").select("id", "n", *[
         F.get("sketch", F.lit(rules.bands + k)).alias(f"p{k}") for k in range(rules.parity)]), "known")
     # texts are shuffled, not their sets, which are larger
     texts = _sets(df, text, rules, text_of(text).alias("_text")).select("id", "_text").join(
         known.select("id"), "id", "left_semi").dropDuplicates(["id"])
     sets = stage(_sets(texts, "_text", rules).select("id", "_set"), "sets")
     ends = members.select("id", F.explode(F.array_distinct(F.array("first", "last"))).alias("end")).where(
-        "id <> end").select(F.least("id", "end").alias("a"), F.greatest("id", "end").alias("b")).distinct()
+        "id <> end").select(*_ordered("id", "end"))
+    ends = ends.unionByName(printed).distinct()
     close = ends.join(known.alias("x"), F.col("a") == F.col("x.id")).join(
         known.alias("y"), F.col("b") == F.col("y.id")).where(_bound("x", "y", rules)).select("a", "b")
     linked = stage(_verified(close, sets, rules), "linked")

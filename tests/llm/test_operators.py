@@ -6,6 +6,7 @@ import re
 from array import array
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from terrace.llm import bpe, html_text, license_scan, line_rules, mixing, piecewise_hash, private_data, simhash
+from terrace.llm import bpe, html_text, license_scan, line_rules, mixing, near_copies, piecewise_hash, private_data, simhash
 from terrace.llm import token_counts, toxicity
 from terrace.llm.components import components
 
@@ -539,3 +540,23 @@ def test_near_copies_by_five_word_similarity(spark, sf_dir):
     df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
     kept = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, sf_dir).collect()}
     assert kept == set(least.values())
+
+
+def test_near_copies_take_candidates_by_simhash(spark):
+    """With bands that nothing shares, sets within two bits of a fingerprint are still found."""
+    words = [f"w{k}" for k in range(9000)]
+    texts = {}
+    for g in range(6):
+        base = rng.sample(words, 1500)
+        for k in range(8):
+            copy = list(base)
+            for at in rng.sample(range(1500), k):
+                copy[at] = rng.choice(words)
+            texts[100 * g + k] = " ".join(copy)
+    df = spark.createDataFrame([*texts.items()], "doc_id long, text string")
+    rules = near_copies.NearCopyRules(bands=1, rows=1000)
+    hashed = near_copies._sets(df, "text", rules, F.col("doc_id")).collect()
+    prints = {r.doc_id: simhash.vote(np.array(r._set, "<i8")) & (2 ** 64 - 1) for r in hashed}
+    found = {r.doc_id: r.component_id for r in near_copies.near_copies(df, rules=rules).collect()}
+    pairs = [(a, b) for a in texts for b in texts if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    assert len(pairs) > 6 and all(a // 100 == b // 100 and found[a] == found[b] for a, b in pairs)
