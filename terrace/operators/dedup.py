@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.operators.enrich import fits_broadcast
+from terrace.sources.staging import stage
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1,
@@ -39,6 +42,31 @@ def dedup_latest(
     return first_per_key(df, keys, order)
 
 
+def current_versions(
+    df: DataFrame, keys: Sequence[str], latest: str = "arrived",
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """``dedup_latest`` of a stored table that spares rows without another version the shuffle.
+
+    Only the keys' hashes are counted first; those that come more than once are
+    stored. Rows of other hashes are versions of nothing. A collision, a null
+    key or a key that repeats goes through the ordered window. A small table, or
+    one with too many repeated keys to broadcast, takes the window as a whole.
+    """
+    if fits_broadcast(df):
+        return dedup_latest(df, keys, latest, tiebreak)
+    key = F.xxhash64(*keys)
+    seen = df.groupBy(key.alias("__key")).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = stage(seen.where("__n > 1").select("__key"), "repeated-keys")
+    if repeated.isEmpty():
+        return df
+    if not fits_broadcast(repeated):
+        return dedup_latest(df, keys, latest, tiebreak)
+    single = df.join(F.broadcast(repeated), key == F.col("__key"), "left_anti")
+    versions = df.join(F.broadcast(repeated), key == F.col("__key"), "left_semi")
+    return single.unionByName(dedup_latest(versions, keys, latest, tiebreak))
+
+
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct key tuples (combined map-side before the shuffle)."""
     return df.select(*keys).distinct()

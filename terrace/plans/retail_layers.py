@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.contracts import load_contracts
-from terrace.operators.dedup import dedup_latest
+from terrace.operators.dedup import current_versions
 from terrace.operators.lineage import ORIGIN, drop_technical
 from terrace.plans import retail
 from terrace.plans import retail_products as products
@@ -52,7 +52,7 @@ def current(lake: Lakehouse, name: str) -> DataFrame:
     """Latest version of every business key in a bronze table."""
     bronze = lake.read("bronze", name)
     bronze = bronze.select("*", bronze[ORIGIN]["at"].alias("arrived"), bronze[ORIGIN]["row_hash"].alias("row_hash"))
-    latest = dedup_latest(bronze, KEYS[name], "arrived", ["row_hash"])
+    latest = current_versions(bronze, KEYS[name], "arrived", ["row_hash"])
     return drop_technical(latest, "arrived", "row_hash", YEAR)
 
 

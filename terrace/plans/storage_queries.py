@@ -100,11 +100,15 @@ def external_csv(spark, sf_dir):
         {"id": "int", "name": "string", "region_id": "int"}, "SUPPLIED", "id")
 
 
+LANDED_ROWS = 1_000_000     # rows in a file: compressed files are not split by their readers
+
+
 def land(spark, sf_dir):
-    """Supplied tables as CSV files of a landing zone, events as JSON lines."""
+    """Supplied tables as compressed CSV files of a landing zone, events as JSON lines."""
     landing = scratch_path(spark, "landing")
     for name in retail_layers.KEYS:
-        table(spark, sf_dir, name).write.option("header", True).csv(f"{landing}/{name}.csv")
+        table(spark, sf_dir, name).write.option("header", True).option("compression", "gzip").option(
+            "maxRecordsPerFile", LANDED_ROWS).csv(f"{landing}/{name}.csv")
     land_events(spark, sf_dir, f"{landing}/events")
     return landing
 

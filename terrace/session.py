@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # few partition values in a task are written side by side, without sorting (and spilling) its rows
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 # Event state kept on disk by the executors instead of on the heap
