@@ -113,11 +113,13 @@ def decode(tier: DataFrame, form: EventFormat) -> DataFrame:
     Malformed text and unreadable times give nulls, hence an invalid event, and
     do not fail the query (D8). The payload itself stays for the quarantine (D11).
     """
-    data = F.from_json("_payload", form.payload)
-    fields = {name: data[name] for name in form.payload.fieldNames()}
-    fields[form.time] = F.try_to_timestamp(data[form.time])
-    fields |= {name: canonical_code(data[name]) for name in form.codes}
-    out = tier.select(*[value.alias(name) for name, value in fields.items()],
+    # a generator is not moved into the filters behind it, each of which would read the text again
+    names = {name: f"__{name}" for name in form.payload.fieldNames()}
+    read = tier.select("*", F.inline(F.array(F.from_json("_payload", form.payload))).alias(*names.values()))
+    fields = {name: F.col(inner) for name, inner in names.items()}
+    fields[form.time] = F.try_to_timestamp(fields[form.time])
+    fields |= {name: canonical_code(fields[name]) for name in form.codes}
+    out = read.select(*[value.alias(name) for name, value in fields.items()],
                       *[c for c in tier.columns if c not in ("_key", "_topic")])
     latency = F.unix_timestamp("_received_at") - F.unix_timestamp(form.time)
     return out.select("*", latency.alias("latency_s"), form.valid().alias("valid"))
