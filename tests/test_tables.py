@@ -104,3 +104,23 @@ def test_union_and_years(spark):
     assert [r.yr for r in dedup.merged_years(a, b).collect()] == [2023, 2025]
     out = dedup.drop_repeats(b.unionByName(b), "yr", [F.asc("b")])
     assert out.count() == 2
+
+
+def test_current_versions_spare_single_rows_the_window(spark, tmp_path):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    single = [(k, k % 3, f"h{k}") for k in range(200)]
+    repeated = [(7, 5, "a"), (7, 5, "b"), (9, 0, "z"), (None, 1, "x"), (None, 4, "y")]
+    try:
+        for rows, bound in ((single, "2000b"), (single + repeated, "2000b"), (single * 2, "1b"), (single, before)):
+            path = f"{tmp_path}/{len(rows)}-{bound}"
+            spark.createDataFrame(rows, "id long, t long, h string").write.parquet(path)
+            df = spark.read.parquet(path)
+            spark.conf.set(limit, bound)
+            out = dedup.current_versions(df, ["id"], "t", ["h"])
+            if rows is single and bound != before:
+                assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+            want = dedup.dedup_latest(df, ["id"], "t", ["h"])
+            assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set(limit, before)
