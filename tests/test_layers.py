@@ -130,3 +130,14 @@ def test_staged_run(spark, sf_dir, tmp_path):
     groups = house.read("gold", "target_vs_actual").agg({"assessed": "sum", "successes": "sum"}).head()
     entities = view.agg({"assessed": "sum", "successes": "sum"}).head()
     assert groups.asDict() == entities.asDict()
+
+
+def test_bronze_by_year_is_not_shuffled(spark, tmp_path, monkeypatch):
+    text = "id,at\n" + "\n".join(f"{k},{2001 + k % 3}-05-0{1 + k % 9}" for k in range(300))
+    (tmp_path / "visits.csv").write_text(text + "\n")
+    shuffled, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, name, *a: shuffled.append(name) or hint(df, name, *a))
+    out = Lakehouse(spark, f"{tmp_path}/lake").ingest(
+        "visits", f"{tmp_path}/visits.csv", schema(id="int", at="timestamp"), "T", year_of="at")
+    assert not shuffled and out.count() == 300
+    assert {r._year: r["count"] for r in out.groupBy("_year").count().collect()} == {2001: 100, 2002: 100, 2003: 100}
