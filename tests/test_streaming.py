@@ -274,3 +274,14 @@ def test_source_falls_back_to_files(spark, landing):
     assert source == "file" and stream.isStreaming
     with pytest.raises(ValueError):
         ev.open_source(spark, servers="h:9092", topic="t")
+
+
+def test_a_payload_is_parsed_once(spark):
+    """Filters on decoded fields must not read the JSON text again."""
+    payloads = [(x,) for lines in FILES for x in lines] + [(None,)]
+    bronze = ev.stamped(ev.envelope(spark.createDataFrame(payloads, "value string")), "s", "r")
+    decoded = ev.decode(bronze, FORM)
+    for out in (ev.accepted(decoded), ev.rejected(decoded)):
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    assert decoded.count() == N_LINES + 1
+    assert decoded.where("_payload is null or _payload = 'plain text'").where("not valid and ref is null").count() == 2
