@@ -32,6 +32,7 @@ class Lakehouse:
     root: str
     contracts: Mapping[str, Mapping[str, Contract]] = field(default_factory=dict)
     fmt: str = "parquet"
+    codec: str = "zstd"         # of Parquet files: most bytes are hashes in hex and payloads, which snappy leaves as they are
     stop_on_critical: bool = True
     parallel: int = 4
     derived: Sequence[str] = ("silver", "gold")     # layers whose rows carry when they were made
@@ -67,8 +68,8 @@ class Lakehouse:
         takes its place before a critical failure raises, so the cause can be
         looked at (D5); a run without quarantined rows removes that of the run
         before. Valid rows become the table by renaming, or not at all.
-        ``overwrite="dynamic"`` replaces only the partitions the rows bring. ``cluster=False`` spares the shuffle of rows whose
-        partition value is constant.
+        ``overwrite="dynamic"`` replaces only the partitions the rows bring. ``cluster=False`` spares the shuffle of rows of
+        which a task holds few partition values.
         """
         with self.log.step(layer, table, self.location(layer, table)) as step:
             self.take_in(step, df, layer, table, references, partition_by, overwrite, cluster)
@@ -130,7 +131,7 @@ class Lakehouse:
         if marked.longest_reason() > LONGEST_REASON:
             rows = rows.withColumn(REASON, marked.codes())
         rows = rows.drop(*marked.helpers).withColumn(REASON, F.nullif(F.col(REASON), F.lit("")))
-        rows.write.option("compression", "snappy").partitionBy(REASON, *partition_by).parquet(f"{path}/refused")
+        rows.write.option("compression", self.codec).partitionBy(REASON, *partition_by).parquet(f"{path}/refused")
         figures = dict(seen.get)
         if repeats := marked.repeats(self.spark.read.schema(rows.schema).parquet(f"{path}/refused")):
             figures |= {name: n.first()[0] for name, n in repeats.items()}

@@ -3,6 +3,7 @@
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from terrace.operators.runlog import failed_checks, latest_run, run_summary
 from terrace.plans import retail_layers
 from terrace.plans.layers import Lakehouse
 from terrace.plans.storage_queries import land
-from terrace.sources.schemas import schema
+from terrace.sources.schemas import SCHEMAS, schema
 from terrace.sources.staging import shared_dir
 from terrace.sources.tables import write_table
 
@@ -141,3 +142,37 @@ def test_bronze_by_year_is_not_shuffled(spark, tmp_path, monkeypatch):
         "visits", f"{tmp_path}/visits.csv", schema(id="int", at="timestamp"), "T", year_of="at")
     assert not shuffled and out.count() == 300
     assert {r._year: r["count"] for r in out.groupBy("_year").count().collect()} == {2001: 100, 2002: 100, 2003: 100}
+
+
+def test_files_of_the_lake_are_compressed_beyond_repeats(spark, tmp_path):
+    """Hashes in hex take half their characters' bytes; with snappy they take all of them."""
+    rows = "".join(f"{k},name {k}\n" for k in range(5000))
+    Lakehouse(spark, f"{tmp_path}/lake").ingest("people", csv(tmp_path, rows), PEOPLE, "TEST")
+    columns = [group.column(k) for file in (tmp_path / "lake" / "bronze").rglob("*.parquet")
+               for group in [pq.ParquetFile(file).metadata.row_group(0)] for k in range(group.num_columns)]
+    hashes = [c for c in columns if c.path_in_schema == "_origin.row_hash"]
+    assert {c.compression for c in columns} == {"ZSTD"}
+    assert sum(c.total_compressed_size for c in hashes) < 40 * 5000
+
+
+def test_order_lines_are_not_shuffled_by_year(spark, tmp_path, monkeypatch):
+    n = 1200
+    lines = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("l_partkey"), F.lit(1).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.when(F.col("id") % 100 == 0, 1.0).otherwise(10.0).alias("l_quantity"),
+        F.lit(5.0).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"), F.lit(0.0).alias("l_tax"),
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.when(F.col("id") % 4 > 0, F.make_timestamp_ntz(
+            1991 + F.col("id") % 4, F.lit(5), F.lit(1), F.lit(0), F.lit(0), F.lit(0))).alias("l_shipdate"))
+    part = spark.range(7).select(F.col("id").alias("p_partkey"), *[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in SCHEMAS["part"] if f.name != "p_partkey"])
+    for name, rows in (("lineitem", lines), ("part", part)):
+        rows.write.option("header", True).csv(f"{tmp_path}/{name}.csv")
+    house = retail_layers.lakehouse(spark, f"{tmp_path}/lake")
+    retail_layers.run_bronze(house, str(tmp_path), ["lineitem", "part"])
+    shuffled, hint = [], type(lines).hint
+    monkeypatch.setattr(type(lines), "hint", lambda df, name, *a: shuffled.append(name) or hint(df, name, *a))
+    out = retail_layers.publish_micro(house)
+    assert not shuffled
+    assert {r.yr: r["count"] for r in out.groupBy("yr").count().collect()} == {None: 288, 1992: 300, 1993: 300, 1994: 300}
+    assert house.log.steps[-1].rows_quarantined == 12
