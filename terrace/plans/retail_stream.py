@@ -53,28 +53,32 @@ def records(spark, sf_dir):
 
 def belated(batch: DataFrame) -> DataFrame:
     """Every twentieth record of the first half of the time, under a new event id: what comes too late, by the
-    watermark that the batch before the last one left."""
+    watermark that the batch before the last one left. Only these are held against each other for repeats."""
     at = F.unix_micros("_ts")
     middle = batch.agg(F.floor((F.min(at) + F.max(at)) / 2)).scalar()
-    late = batch.where((F.col("offset") % 20 == 3) & (at < middle))
+    late = batch.where((F.col("offset") % 20 == 3) & (at < middle)).dropDuplicates(["offset"])
     renamed = F.regexp_replace(F.col("value").cast("string"), '"event_id":"', '"event_id":"late-').cast("binary")
     return late.withColumn("value", renamed)
 
 
-def deliver(batch: DataFrame, path: str, write: Callable, late: bool = False) -> None:
-    """Write the records slice by slice in the order of their time, and ``late`` ones after all.
+def deliver(batch: DataFrame, path: str, write: Callable, late: bool = False, copies: int = 1) -> None:
+    """Write every record ``copies`` times, slice by slice in the order of their time, and ``late`` ones after all.
 
     A slice is as many files as a trigger takes, so each trigger brings one
     slice and no event but the late ones is older than the watermark when it arrives.
+    A record's text is made once, whatever the copies.
     """
     ends = batch.select(F.percentile_approx(F.unix_micros("_ts"), [k / SLICES for k in range(1, SLICES)])).first()[0]
     at = F.unix_micros("_ts")
     slices = []
     for low, high in zip([None, *(ends or [])], [*(ends or []), None], strict=True):
         part = batch if low is None else batch.where(at > low)
-        slices.append(part if high is None else part.where(at <= high))
+        part = part if high is None else part.where(at <= high)
+        if copies > 1:
+            part = part.select("*", F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("_copy")).drop("_copy")
+        slices.append(part)
     if late:
-        slices.append(belated(batch.dropDuplicates(["offset"])))
+        slices.append(belated(batch))
     for part in slices:
         write(part.repartition(ev.MAX_FILES).drop("_ts").write.mode("append"), path)
 

@@ -19,12 +19,10 @@ ROW_GROUP = 8 << 20
 
 def record_stream(spark, sf_dir, copies: int = 1, late: bool = False):
     """The records as a stream of files, every record delivered ``copies`` times, and ``late`` ones after all."""
-    batch = records(spark, sf_dir)
-    for _ in range(copies - 1):
-        batch = batch.unionByName(records(spark, sf_dir))
     path = scratch_path(spark, "records")
     # small row groups, so that a trigger's few files keep all cores busy
-    deliver(batch, path, lambda writer, to: writer.option("parquet.block.size", ROW_GROUP).parquet(to), late)
+    deliver(records(spark, sf_dir), path, lambda writer, to: writer.option("parquet.block.size", ROW_GROUP).parquet(to),
+            late, copies)
     stream = spark.readStream.schema(ev.RECORD).option("maxFilesPerTrigger", ev.MAX_FILES).parquet(path)
     return ev.stamped(ev.envelope(stream), "records", "run-1")
 

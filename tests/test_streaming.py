@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators.contracts import Contract
+from terrace.plans import stream_queries
 from terrace.plans.layers import Lakehouse
+from terrace.plans.retail_stream import deliver
 from terrace.session import ROCKSDB, state_on_disk
 from terrace.sources.schemas import schema
 from terrace.sources.tables import count_rows
@@ -285,3 +287,33 @@ def test_a_payload_is_parsed_once(spark):
         assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
     assert decoded.count() == N_LINES + 1
     assert decoded.where("_payload is null or _payload = 'plain text'").where("not valid and ref is null").count() == 2
+
+
+def some_events(spark, folder):
+    """400 events, one a minute; the first forty come twice in the table."""
+    events = spark.range(400).select(
+        F.col("id").alias("event_id"),
+        F.timestamp_seconds(1735689600 + 60 * F.col("id")).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 9).alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.5).alias("value"),
+        F.concat(F.lit('{"k": '), (F.col("id") % 50).cast("string"), F.lit("}")).alias("props"))
+    events.union(events.where("event_id < 40")).write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+def test_a_record_that_comes_twice_is_written_out_once(spark, tmp_path, monkeypatch):
+    """Copies are made of the finished text, and late records are held against late ones only."""
+    plans, paths = [], []
+
+    def watched(batch, path, write, *more):
+        def noted(writer, to):
+            plans.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+            write(writer, to)
+        paths.append(path)
+        return deliver(batch, path, noted, *more)
+
+    monkeypatch.setattr(stream_queries, "deliver", watched)
+    stream_queries.record_stream(spark, some_events(spark, tmp_path), copies=2, late=True)
+    assert len(plans) == 6 and {p.count("StructsToJson") for p in plans} == {1}
+    found = spark.read.parquet(paths[0]).select("offset", F.col("value").cast("string").contains('"late-').alias("late"))
+    found = {(r.offset, r.late): r["count"] for r in found.groupBy("offset", "late").count().collect()}
+    assert found == {(k, False): 4 if k < 40 else 2 for k in range(400)} | {(k, True): 1 for k in range(3, 200, 20)}
