@@ -84,9 +84,9 @@ def deliver(batch: DataFrame, path: str, write: Callable, late: bool = False, co
 
 
 def land_events(spark, sf_dir, path: str) -> None:
-    """The records' JSON texts as lines of files."""
+    """The records' JSON texts as lines of compressed files."""
     lines = records(spark, sf_dir).select(F.col("value").cast("string").alias("value"), "_ts")
-    deliver(lines, path, lambda writer, to: writer.text(to))
+    deliver(lines, path, lambda writer, to: writer.option("compression", "gzip").text(to))
 
 
 def source_tiers(bronze: DataFrame) -> list[Tier]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from terrace.operators.contracts import Contract
 from terrace.plans import stream_queries
 from terrace.plans.layers import Lakehouse
-from terrace.plans.retail_stream import deliver
+from terrace.plans.retail_stream import deliver, land_events
 from terrace.session import ROCKSDB, state_on_disk
 from terrace.sources.schemas import schema
 from terrace.sources.tables import count_rows
@@ -317,3 +317,11 @@ def test_a_record_that_comes_twice_is_written_out_once(spark, tmp_path, monkeypa
     found = spark.read.parquet(paths[0]).select("offset", F.col("value").cast("string").contains('"late-').alias("late"))
     found = {(r.offset, r.late): r["count"] for r in found.groupBy("offset", "late").count().collect()}
     assert found == {(k, False): 4 if k < 40 else 2 for k in range(400)} | {(k, True): 1 for k in range(3, 200, 20)}
+
+
+def test_landed_events_are_compressed(spark, tmp_path):
+    land_events(spark, some_events(spark, tmp_path), f"{tmp_path}/landing")
+    files = [p.name for p in (tmp_path / "landing").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 5 * ev.MAX_FILES and all(name.endswith(".txt.gz") for name in files)
+    texts = spark.read.text(f"{tmp_path}/landing")
+    assert texts.count() == 440 and texts.select(F.get_json_object("value", "$.event_id")).distinct().count() == 400
